@@ -97,5 +97,5 @@ def latency(df: DataFrame, changed_at: str, feed_col: str | None = None, loaded_
         F.sum("_n").alias("n_rows"),
         (F.sum(F.col("_s") * F.col("_n")) / F.sum("_n")).alias("avg_seconds"),
         F.max("_s").alias("max_seconds"),
-        F.percentile("_s", 0.95, "_n").alias("p95_seconds"),
+        F.percentile("_s", 0.95, F.col("_n")).alias("p95_seconds"),
     )

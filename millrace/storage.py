@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,14 +51,15 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at ``path`` in its file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The Parquet data at ``path``, or None when nothing was ever written there."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def with_load_id(schema: T.StructType) -> T.StructType:
