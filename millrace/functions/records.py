@@ -21,45 +21,45 @@ def not_blank(line: Column) -> Column:
     return F.trim(line, F.lit(JSON_SPACE)) != ""
 
 
+# Follows the text inside the brackets it is parsed in; a line would have to hold it to pass as whole.
+END_MARK = "c1f7a0de-end-of-line-6b29"
+
+
 def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """One row per record of every non-blank line, good and bad together.
 
     Adds ``record`` (VARIANT), ``item`` (position within an outer array) and
     ``reason`` (NULL for a good record). An outer array is stripped; an empty one
-    holds no record. The text is parsed inside brackets, so anything after the first
-    value shows up as a second element instead of being lost.
+    holds no record. The parser stops at the end of the first value, so the text is
+    parsed as ``[text, mark]``: only a text that is one whole value leaves the mark in
+    second place.
     """
     text = F.col(line_col)
-    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
     found = lines.filter(not_blank(text)).select(
         "*",
-        wrapped.alias("_values"),
+        F.try_variant_get(wrapped, "$", "array<variant>").alias("_values"),
         F.ltrim(text, F.lit(JSON_SPACE)).startswith("[").alias("_is_array"),
     )
-    one_value = F.col("_values").isNotNull() & (F.size("_values") == 1)
+    values = F.col("_values")
+    mark = F.try_variant_get(F.get(values, F.lit(1)), "$", "string")
+    whole = (F.size(values) == 2) & (mark == END_MARK)
+    shape = F.when(values.isNull(), MALFORMED).when(~F.coalesce(whole, F.lit(False)), TRAILING)
+    first = F.get(values, F.lit(0))
     items = (
-        F.when(~one_value, F.array(F.lit(None).cast("variant")))
-        .when(F.col("_is_array"), F.try_variant_get(F.col("_values")[0], "$", "array<variant>"))
-        .otherwise(F.col("_values"))
+        F.when(F.col("_shape").isNotNull(), F.array(F.lit(None).cast("variant")))
+        .when(F.col("_is_array"), F.try_variant_get(first, "$", "array<variant>"))
+        .otherwise(F.array(first))
     )
     # The first character tells an object line apart; only array items need a look inside.
     is_object = F.when(
         F.col("_is_array"), F.try_variant_get(F.col(RECORD), "$", "map<string,variant>").isNotNull()
     ).otherwise(F.ltrim(text, F.lit(JSON_SPACE)).startswith("{"))
-    reason = (
-        F.when(F.col("_n_values").isNull(), MALFORMED)
-        .when(F.col("_n_values") != 1, TRAILING)
-        .when(~is_object, NOT_OBJECT)
-    )
     return (
-        found.select(
-            *lines.columns,
-            "_is_array",
-            F.when(F.col("_values").isNotNull(), F.size("_values")).alias("_n_values"),
-            F.posexplode(items).alias(ITEM, RECORD),
-        )
-        .withColumn(REASON, reason)
-        .drop("_is_array", "_n_values")
+        found.withColumn("_shape", shape)
+        .select(*lines.columns, "_is_array", "_shape", F.posexplode(items).alias(ITEM, RECORD))
+        .withColumn(REASON, F.coalesce("_shape", F.when(~is_object, NOT_OBJECT)))
+        .drop("_is_array", "_shape")
     )
 
 
