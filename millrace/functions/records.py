@@ -17,8 +17,9 @@ REASON = "reason"
 JSON_SPACE = " \t\r\n"
 
 
-def not_blank(line: Column) -> Column:
-    return F.trim(line, F.lit(JSON_SPACE)) != ""
+def without_lead(line: Column) -> Column:
+    """The line from its first character that is not JSON white space; empty for a blank line."""
+    return F.ltrim(line, F.lit(JSON_SPACE))
 
 
 # Follows the text inside the brackets it is parsed in; a line would have to hold it to pass as whole.
@@ -36,10 +37,10 @@ def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """
     text = F.col(line_col)
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
-    found = lines.filter(not_blank(text)).select(
+    found = lines.filter(without_lead(text) != "").select(
         "*",
         F.try_variant_get(wrapped, "$", "array<variant>").alias("_values"),
-        F.ltrim(text, F.lit(JSON_SPACE)).startswith("[").alias("_is_array"),
+        F.substring(without_lead(text), 1, 1).alias("_lead"),
     )
     values = F.col("_values")
     mark = F.try_variant_get(F.get(values, F.lit(1)), "$", "string")
@@ -48,18 +49,18 @@ def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     first = F.get(values, F.lit(0))
     items = (
         F.when(F.col("_shape").isNotNull(), F.array(F.lit(None).cast("variant")))
-        .when(F.col("_is_array"), F.try_variant_get(first, "$", "array<variant>"))
+        .when(F.col("_lead") == "[", F.try_variant_get(first, "$", "array<variant>"))
         .otherwise(F.array(first))
     )
     # The first character tells an object line apart; only array items need a look inside.
     is_object = F.when(
-        F.col("_is_array"), F.try_variant_get(F.col(RECORD), "$", "map<string,variant>").isNotNull()
-    ).otherwise(F.ltrim(text, F.lit(JSON_SPACE)).startswith("{"))
+        F.col("_lead") == "[", F.try_variant_get(F.col(RECORD), "$", "map<string,variant>").isNotNull()
+    ).otherwise(F.col("_lead") == "{")
     return (
         found.withColumn("_shape", shape)
-        .select(*lines.columns, "_is_array", "_shape", F.posexplode(items).alias(ITEM, RECORD))
+        .select(*lines.columns, "_lead", "_shape", F.posexplode(items).alias(ITEM, RECORD))
         .withColumn(REASON, F.coalesce("_shape", F.when(~is_object, NOT_OBJECT)))
-        .drop("_is_array", "_shape")
+        .drop("_lead", "_shape")
     )
 
 

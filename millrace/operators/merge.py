@@ -67,10 +67,19 @@ def _order_struct(spec: TableSpec, side: str) -> Column:
     return F.struct(*[F.col(f"{side}.{c}") for c in spec.guard_names])
 
 
+def require_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """``rows``, failing on one without a key.
+
+    The check is a filter, so the key column itself passes through untouched and keeps
+    whatever partitioning the rows already have.
+    """
+    missing = F.raise_error(F.lit(f"{spec.name}: a row without {spec.key} reached the merge")).cast("boolean")
+    return rows.filter(F.when(F.col(spec.key).isNull(), missing).otherwise(F.lit(True)))
+
+
 def _key_column(spec: TableSpec, *sides: str) -> Column:
-    type_ = spec.typed_schema[spec.key].dataType
-    missing = F.raise_error(F.lit(f"{spec.name}: a row without {spec.key} reached the merge")).cast(type_)
-    return F.coalesce(*[F.col(f"{s}.{spec.key}") for s in sides], missing).alias(spec.key)
+    keys = [F.col(f"{s}.{spec.key}") for s in sides]
+    return (F.coalesce(*keys) if len(keys) > 1 else keys[0]).alias(spec.key)
 
 
 def _matched_value(spec: TableSpec, name: str, applies: Column) -> Column:
@@ -101,6 +110,7 @@ def merge_changes(
     sides are shuffled on the key; each key occurs once per side, so no key is hot.
     """
     in_target, in_source = F.col("t._here"), F.col("s._here")
+    changes = require_key(changes, spec)
     marked = changes.withColumn("_here", F.lit(True))
     if fits_broadcast(spec, source_rows):
         small = F.broadcast(marked)
@@ -143,7 +153,7 @@ def _insert_columns(spec: TableSpec) -> list[Column]:
 
 def insert_all(changes: DataFrame, spec: TableSpec) -> DataFrame:
     """The merge into an empty target."""
-    return changes.alias("s").select(*_insert_columns(spec))
+    return require_key(changes, spec).alias("s").select(*_insert_columns(spec))
 
 
 def merge_upsert(
@@ -213,7 +223,7 @@ def apply_changelog(
     ]
     if first_only:
         per_key.append(F.min_by(F.struct(*first_only), data_order).alias("_first"))
-    net = changes.groupBy(spec.key).agg(*per_key)
+    net = require_key(changes, spec).groupBy(spec.key).agg(*per_key)
 
     def first(name: str) -> Column:
         return F.col(f"s._first.{name}") if name in first_only else F.lit(None).cast(spec.typed_schema[name].dataType)

@@ -249,10 +249,10 @@ def records_binned_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def events_staged_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events written to dated folders in files of at most 100 records and read back."""
+    """Events written to dated folders in files of at most 500 records and read back."""
     root = scratch_dir(spark, "write_stage")
     events = feeds.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("day"))
-    path = write_stage(events, root, "salesforce", "accounts", "day", LAYOUT_DAY, max_records=100)
+    path = write_stage(events, root, "salesforce", "accounts", "day", LAYOUT_DAY, max_records=500)
     lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", F.col("_metadata.file_path").alias("file"))
     good, _ = parse_records(lines)
     per_file = good.groupBy("file").agg(
@@ -260,7 +260,7 @@ def events_staged_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = F.regexp_extract("file", r"dt=(\d{4}-\d{2}-\d{2})", 1).alias("folder")
     return per_file.groupBy(folder).agg(
-        F.sum("n").alias("n_records"), F.sum("ids").alias("sum_id"), F.count_if(F.col("n") > 100).alias("n_oversized")
+        F.sum("n").alias("n_records"), F.sum("ids").alias("sum_id"), F.count_if(F.col("n") > 500).alias("n_oversized")
     )
 
 

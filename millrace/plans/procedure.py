@@ -40,5 +40,5 @@ def merge_cdc_batch(
         raise RuntimeError(f"{table}: too many merges by hand since the last load")
     rows = typed(raw.drop(LOAD_ID), spec, "fail", options.on_long, options.normalize_utc)
     changes = rows if spec.changelog else as_changes(reduce_batch(rows, spec), spec, options.started())
-    store.write_load(changes, store.changes_path(spec), load_id)
+    store.write_changes(spec, changes, load_id)
     return MERGED.format(batch="all" if batch_id is None else batch_id, table=table)

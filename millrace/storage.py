@@ -105,9 +105,6 @@ class Store:
     def audit_path(self, spec: TableSpec) -> str:
         return f"{self.root}/audit/{spec.name}"
 
-    def changes_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/{spec.namespace}/{spec.name}/changes"
-
     def base_path(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.namespace}/{spec.name}/base"
 
@@ -117,62 +114,76 @@ class Store:
     def checkpoint_path(self, spec: TableSpec, generation: int) -> str:
         return f"{self.root}/checkpoints/{spec.name}/generation={generation}"
 
-    def write_load(self, df: DataFrame, path: str, load_id: int, max_records: int | None = None) -> None:
+    def write_load(
+        self, df: DataFrame, path: str, load_id: int, max_records: int | None = None, by: str | None = None
+    ) -> None:
         writer = df.write.mode("overwrite")
         if max_records:
             writer = writer.option("maxRecordsPerFile", max_records)
+        if by:
+            writer = writer.partitionBy(by)
         writer.parquet(f"{path}/{LOAD_ID}={load_id}")
 
     def write_errors(self, spec: TableSpec, step: str, load_id: int, errors: DataFrame | None) -> None:
         """Refused records of one step of a load; None clears what an earlier try left."""
         path = f"{self.errors_path(spec)}/step={step}"
-        kept = T.StructType([f for f in ERROR_SCHEMA.fields if f.name not in ("step", LOAD_ID)])
         if errors is None:
-            if if_exists(self.spark, f"{path}/{LOAD_ID}={load_id}", kept) is None:
+            if not path_exists(self.spark, f"{path}/{LOAD_ID}={load_id}"):
                 return
+            kept = T.StructType([f for f in ERROR_SCHEMA.fields if f.name not in ("step", LOAD_ID)])
             errors = self.spark.createDataFrame([], kept)
-        self.write_load(errors, path, load_id)
+        self.write_load(errors, path, load_id, by="dt")
 
     # -- reads -----------------------------------------------------------
 
-    def read(self, path: str, schema: T.StructType) -> DataFrame:
-        found = if_exists(self.spark, path, schema)
-        return self.spark.createDataFrame([], schema) if found is None else found
+    def read(self, path: str, schema: T.StructType, load_id: int | None = None) -> DataFrame:
+        """Everything under ``path``, or the one load's folder without listing the others."""
+        folder = path if load_id is None else f"{path}/{LOAD_ID}={load_id}"
+        if not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(folder)
 
-    def raw(self, spec: TableSpec) -> DataFrame:
-        """All raw rows; an append-only table that may repeat records."""
-        return self.read(self.raw_path(spec), with_load_id(spec.raw_schema))
+    def raw(self, spec: TableSpec, load_id: int | None = None) -> DataFrame:
+        """Raw rows of all loads or of one; an append-only table that may repeat records."""
+        return self.read(self.raw_path(spec), with_load_id(spec.raw_schema), load_id)
 
     def errors(self, spec: TableSpec) -> DataFrame:
         return self.read(self.errors_path(spec), ERROR_SCHEMA)
 
+    def load_errors(self, spec: TableSpec, step: str, load_id: int) -> DataFrame:
+        """Refused records of one step of one load."""
+        schema = T.StructType([f for f in ERROR_SCHEMA.fields if f.name != "step"])
+        return self.read(f"{self.errors_path(spec)}/step={step}", schema, load_id)
+
     def audit(self, spec: TableSpec) -> DataFrame:
         return self.read(self.audit_path(spec), AUDIT_SCHEMA)
 
-    def changes(self, spec: TableSpec) -> DataFrame:
-        return self.read(self.changes_path(spec), with_load_id(change_schema(spec)))
+    def base_version(self, spec: TableSpec) -> int | None:
+        """The load up to which the newest finished base goes."""
+        return self.read(self.bases_path(spec), T.StructType([LOAD_FIELD])).agg(F.max(LOAD_ID)).first()[0]
+
+    def changes_path(self, spec: TableSpec, base: int | None) -> str:
+        """Changes lie beside those of the same base, so a read lists only what it needs."""
+        return f"{self.root}/{spec.namespace}/{spec.name}/changes/after={'start' if base is None else base}"
 
-    def base_version(self, spec: TableSpec, below: int | None = None) -> int | None:
-        """The newest finished base, or the newest one made before load ``below``."""
-        made = self.read(self.bases_path(spec), T.StructType([LOAD_FIELD]))
-        if below is not None:
-            made = made.filter(F.col(LOAD_ID) < below)
-        return made.agg(F.max(LOAD_ID)).first()[0]
+    def write_changes(self, spec: TableSpec, changes: DataFrame, load_id: int) -> None:
+        self.write_load(changes, self.changes_path(spec, self.base_version(spec)), load_id)
+
+    def changes(self, spec: TableSpec, base: int | None) -> DataFrame:
+        """Changes of the loads after ``base``."""
+        rows = self.read(self.changes_path(spec, base), with_load_id(change_schema(spec)))
+        return rows if base is None else rows.filter(F.col(LOAD_ID) > base)
 
     def last_load(self, spec: TableSpec) -> int | None:
-        """The newest load of the table; only its folder names are read."""
-        changed = self.changes(spec).agg(F.max(LOAD_ID)).first()[0]
-        loads = [n for n in (changed, self.base_version(spec)) if n is not None]
-        return max(loads, default=None)
-
-    def typed(self, spec: TableSpec, upto: int | None = None, guard: bool = True, keep_tombstones: bool = False) -> DataFrame:
-        """The typed table, one row per key, as of load ``upto`` (default: now)."""
-        version = self.base_version(spec, None if upto is None else upto + 1)
-        changes = self.changes(spec)
-        if version is not None:
-            changes = changes.filter(F.col(LOAD_ID) > version)
-        if upto is not None:
-            changes = changes.filter(F.col(LOAD_ID) <= upto)
+        """The newest load of the typed table."""
+        base = self.base_version(spec)
+        newest = self.changes(spec, base).agg(F.max(LOAD_ID)).first()[0]
+        return base if newest is None else newest
+
+    def typed(self, spec: TableSpec, guard: bool = True, keep_tombstones: bool = False) -> DataFrame:
+        """The typed table, one row per key."""
+        version = self.base_version(spec)
+        changes = self.changes(spec, version)
         base = None
         if version is not None:
             base = self.spark.read.schema(spec.typed_schema).parquet(f"{self.base_path(spec)}/v={version}")
@@ -184,12 +195,15 @@ class Store:
         # The number of change rows comes from file footers and bounds the folded rows.
         return merge_changes(base, folded, spec, guard, source_rows=changes.count())
 
-    def compact(self, spec: TableSpec, upto: int | None = None, keep_tombstones: bool = False) -> int | None:
-        """Writes the typed table as a new base; later reads start from it."""
-        upto = self.last_load(spec) if upto is None else upto
+    def compact(self, spec: TableSpec, keep_tombstones: bool = False) -> int | None:
+        """Writes the typed table as a new base; later reads start from it.
+
+        Not to be run beside a load of the same table.
+        """
+        upto = self.last_load(spec)
         if upto is None or upto == self.base_version(spec):
             return upto
-        merged = self.typed(spec, upto, keep_tombstones=keep_tombstones)
+        merged = self.typed(spec, keep_tombstones=keep_tombstones)
         merged.write.mode("overwrite").parquet(f"{self.base_path(spec)}/v={upto}")
         # The marker is written last, so an unfinished base is never read.
         marker = self.spark.createDataFrame([(upto,)], T.StructType([LOAD_FIELD]))

@@ -17,7 +17,7 @@ from millrace.operators.merge import as_changes, now_ntz, reduce_batch
 from millrace.sources.landing import UNKNOWN_OPERATION, change_time_of, epoch_millis_batch_id, operation_of, to_raw
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm
 from millrace.sources.stage import read_stage, record_position, with_line_numbers
-from millrace.specs import LOAD_ID, LOADED_AT, OP_POLLED, POSITION_TYPE, RECORD, SOURCE_FILE, TableSpec
+from millrace.specs import LOADED_AT, OP_POLLED, POSITION_TYPE, RECORD, SOURCE_FILE, TableSpec
 from millrace.storage import Store
 
 # Load ids of one checkpoint follow each other at this distance, which leaves room for
@@ -96,7 +96,9 @@ def copy_into_raw(
     store.write_errors(spec, "parse", load_id, None if errors is None else _errors(errors, load_ts))
 
 
-def merge_load(store: Store, spec: TableSpec, raw: DataFrame, load_id: int, options: LoadOptions, load_ts: datetime | str) -> None:
+def merge_load(
+    store: Store, spec: TableSpec, raw: DataFrame, load_id: int, options: LoadOptions, load_ts: datetime | str
+) -> None:
     """Writes the changes that load ``load_id`` brings to the typed table."""
     rows = typed(raw, spec, options.on_bad, options.on_long, options.normalize_utc)
     if BAD_FIELDS in rows.columns:
@@ -108,13 +110,12 @@ def merge_load(store: Store, spec: TableSpec, raw: DataFrame, load_id: int, opti
         )
         store.write_errors(spec, "cast", load_id, _errors(bad, load_ts))
     changes = rows if spec.changelog else as_changes(reduce_batch(rows, spec), spec, load_ts)
-    store.write_load(changes, store.changes_path(spec), load_id)
+    store.write_changes(spec, changes, load_id)
 
 
 def write_audit(store: Store, spec: TableSpec, load_id: int, started: datetime | str, ended: datetime | str) -> None:
     """Per-file counts of a load, taken from what was written."""
-    loaded = store.raw(spec).filter(F.col(LOAD_ID) == load_id)
-    errors = store.errors(spec).filter((F.col(LOAD_ID) == load_id) & (F.col("step") == "parse"))
+    loaded, errors = store.raw(spec, load_id), store.load_errors(spec, "parse", load_id)
     rows = audit_rows(loaded, errors, spec.raw_name, store.environment, started, ended)
     store.write_load(rows.coalesce(1), store.audit_path(spec), load_id)
 
@@ -125,10 +126,9 @@ def load_batch(store: Store, spec: TableSpec, lines: DataFrame, load_id: int, op
     copy_into_raw(store, spec, lines, load_id, options, started)
     write_audit(store, spec, load_id, started, options.started())
     if options.merge:
-        raw = store.raw(spec).filter(F.col(LOAD_ID) == load_id)
-        merge_load(store, spec, raw, load_id, options, started)
+        merge_load(store, spec, store.raw(spec, load_id), load_id, options, started)
         if options.compact_every and (load_id // LOAD_STEP + 1) % options.compact_every == 0:
-            store.compact(spec, load_id)
+            store.compact(spec)
 
 
 def start_stream(
@@ -202,7 +202,7 @@ def pull_once(
     no_position = F.lit(None).cast(POSITION_TYPE)
     raw = to_raw(records, spec, OP_POLLED, started, epoch_millis_batch_id(started), position=no_position)
     store.write_load(raw, store.raw_path(spec), load_id, options.max_records_per_file)
-    written = store.raw(spec).filter(F.col(LOAD_ID) == load_id)
+    written = store.raw(spec, load_id)
     hwm = next_hwm(written, cast_field(F.col(RECORD), spec.field(spec.cursor)))
     if hwm is None:
         return None

@@ -74,8 +74,9 @@ def test_late_row_only_wins_without_guard(spark):
 def test_row_without_key_is_refused(spark):
     target = merge_upsert(None, batch(spark, [(customer(1, "a", 1),)]), CUSTOMERS)
     keyless = batch(spark, [(customer(2, "b", 1),)]).withColumn("id", m.F.lit(None).cast("bigint"))
-    with pytest.raises(Exception, match="a row without id"):
-        merge_upsert(target, keyless, CUSTOMERS).collect()
+    for into in (target, None):
+        with pytest.raises(Exception, match="a row without id"):
+            merge_upsert(into, keyless, CUSTOMERS).collect()
 
 
 record = st.tuples(st.integers(1, 4), st.sampled_from("abcd"), st.one_of(st.none(), st.integers(0, 5)), st.integers(0, 3))
@@ -213,6 +214,12 @@ def test_latest_row_is_cut_before_the_shuffle(spark):
     assert rows(latest_per_key(df, ["k"], ["v"]), "k", "v") == [(0, 999), (1, 997), (2, 998)]
 
 
+def test_merging_into_a_reduced_table_shuffles_each_side_once(spark):
+    first, second = batch(spark, [(customer(1, "a", 1),)]), batch(spark, [(customer(1, "b", 2),)])
+    merged = merge_upsert(merge_upsert(None, first, CUSTOMERS), second, CUSTOMERS)
+    assert plan(merged).count("Exchange hashpartitioning") == 2
+
+
 def test_newest_rows_do_not_sort_the_table(spark):
     df = spark.range(100).selectExpr("id % 7 as v", "id")
     out = newest_rows(df, ["v", "id"], 3)
