@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.typed import cast_field
+from millrace.operators.merge import fits_broadcast
 from millrace.specs import RECORD, RECORD_ID_LENGTHS, Field, TableSpec
 
 # Fixed value: share of expected rows that must have arrived.
@@ -68,12 +69,17 @@ def raw_point_lookup(raw: DataFrame, spec: TableSpec, key: int | str) -> DataFra
 
 
 def raw_in_list(raw: DataFrame, spec: TableSpec, keys: Sequence[int | str] | DataFrame) -> DataFrame:
-    """Raw rows whose key is listed; long lists and key tables become a semi join."""
+    """Raw rows whose key is listed; long lists and key tables become a semi join.
+
+    A list's length is known, so a list that fits is broadcast and ``raw`` stays where it
+    is. A key table is shuffled, or broadcast by Spark once it has seen its size.
+    """
     if not isinstance(keys, DataFrame):
         if len(keys) <= IN_LIST_MAX:
             return raw.filter(raw_key(spec).isin(list(keys)))
         type_ = spec.typed_schema[spec.key].dataType.simpleString()
-        keys = raw.sparkSession.createDataFrame([(k,) for k in keys], f"{spec.key} {type_}")
+        listed = raw.sparkSession.createDataFrame([(k,) for k in keys], f"{spec.key} {type_}")
+        keys = F.broadcast(listed) if fits_broadcast(spec, len(keys)) else listed
     return raw.join(keys.select(F.col(spec.key).alias("_wanted")), raw_key(spec) == F.col("_wanted"), "left_semi")
 
 

@@ -17,7 +17,9 @@ def test_point_lookup_and_lists(spark, monkeypatch):
     assert short.count() == 3 and "Join" not in plan(short)
     monkeypatch.setattr(checks, "IN_LIST_MAX", 2)
     long = checks.raw_in_list(raw, CUSTOMERS, [2, 3, 9])
-    assert long.count() == 3 and "LeftSemi" in plan(long)
+    assert long.count() == 3 and "BroadcastHashJoin" in plan(long) and "LeftSemi" in plan(long)
+    keys = spark.createDataFrame([(2,), (3,), (9,)], "id bigint")
+    assert checks.raw_in_list(raw, CUSTOMERS, keys).count() == 3
 
 
 def test_conformance_counts_missing_null_and_bad(spark):

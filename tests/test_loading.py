@@ -310,3 +310,19 @@ def test_raw_values_are_pruned_to_the_paths_read(spark, root):
     text = found._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<_raw_json:struct<0:bigint>>" in text and "PartitionFilters: [isnotnull(_load_id" in text
     assert typed(store.raw(CUSTOMERS).drop(LOAD_ID), CUSTOMERS).count() == 1
+
+
+def test_a_running_stream_picks_up_new_files(spark, root):
+    store = Store(spark, root)
+    write_file(root, f"{STAGE}/1.json", lines(customer(1, "active", 1)))
+    query = start_stream(store, root, CUSTOMERS, {"processingTime": "1 second"}, maxFilesPerTrigger=1)
+    try:
+        query.processAllAvailable()
+        assert ids(store) == [1]
+        for k in (2, 3):
+            write_file(root, f"{STAGE}/{k}.json", lines(customer(k, "active", 1)))
+        query.processAllAvailable()
+        assert ids(store) == [1, 2, 3]
+        assert store.audit(CUSTOMERS).select(LOAD_ID).distinct().count() == 3
+    finally:
+        query.stop()

@@ -9,7 +9,7 @@ from millrace.functions.typed import typed
 from millrace.operators import merge as m
 from millrace.operators.latest import latest_per_key, newest_rows
 from millrace.operators.merge import apply_changelog, as_changes, fold_loads, insert_all, merge_changes, merge_upsert, reduce_batch
-from millrace.specs import CUSTOMERS, LOAD_ID, ORDERS, SPECS
+from millrace.specs import CUSTOMERS, LOAD_ID, ORDERS, SPECS, table_ddl
 
 LOG = CUSTOMERS.as_changelog()
 SHOWN = ("id", "status", "created_at", "updated_at", "is_deleted", "_cdc_timestamp")
@@ -225,3 +225,11 @@ def test_newest_rows_do_not_sort_the_table(spark):
     out = newest_rows(df, ["v", "id"], 3)
     assert "TakeOrderedAndProject" in plan(out)
     assert [r.id for r in out.collect()] == [97, 90, 83]
+
+
+def test_merge_into_needs_a_table_with_row_level_operations(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS typed")
+    spark.sql(table_ddl(CUSTOMERS, "typed.customers"))
+    changes = as_changes(reduce_batch(batch(spark, [(customer(1, "a", 1),)]), CUSTOMERS), CUSTOMERS, at(0))
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        m.merge_into_table("typed.customers", changes, CUSTOMERS)
