@@ -105,12 +105,11 @@ def repeated_keys(df: DataFrame, key: str) -> DataFrame:
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose reference matches no parent; rows without a reference are fine.
 
-    The references are cut to distinct values before they meet the parent, so a
-    reference shared by much of the child is looked up once.
+    Both sides of the join are plain shuffles, so adaptive execution can split a
+    reference that much of the child shares.
     """
-    refs = child.filter(F.col(fk).isNotNull()).select(fk).distinct()
-    unknown = refs.join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return child.join(unknown, fk, "left_semi")
+    known = parent.select(F.col(pk).alias("_known"))
+    return child.filter(F.col(fk).isNotNull()).join(known, F.col(fk) == F.col("_known"), "left_anti")
 
 
 def missing_ids(expected: DataFrame, raw: DataFrame, key: str) -> DataFrame:

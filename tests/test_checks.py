@@ -160,3 +160,33 @@ def test_specs_hold_together():
         assert spec.key in spec.inserted and spec.key not in spec.updated and spec.cursor in spec.updated
         assert spec.typed_schema[spec.key].nullable is False
     assert CUSTOMERS.insert_only == ("created_at",) and ACCOUNTS.insert_only == ("created_date",)
+
+
+@pytest.fixture
+def small_skew_limits(spark):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_hot_key_is_split_in_joins_that_keep_rows(spark, root, small_skew_limits):
+    n = 30_000
+    rows_ = spark.range(0, n, 1, 8).selectExpr("if(id % 3 = 0, 7, id) as k", "id", "cast(id as string) as s")
+    rows_.select(
+        F.to_variant_object(F.struct(F.col("k").alias("id"), F.col("s").alias("status"))).alias("_raw_json")
+    ).write.parquet(f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
+    listed = checks.raw_in_list(raw, CUSTOMERS, spark.range(0, n))
+    assert len(listed.collect()) == n and "SortMergeJoin(skew=true)" in plan(listed)
+    child = checks.orphans(rows_, spark.range(10, n), "k", "id").select("k", "s")
+    assert len(child.collect()) == n // 3 + 6 and "SortMergeJoin(skew=true)" in plan(child)
