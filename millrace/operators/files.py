@@ -64,6 +64,25 @@ def load_status(row_count: Column, error_count: Column) -> Column:
     return F.when(error_count == 0, LOADED).when(row_count > 0, PARTIAL).otherwise(FAILED)
 
 
+# How a staged file's path tells its day, in the two layouts as written by a
+# dataflow and as written by Spark.
+DAY_IN_PATH = (
+    r"/(\d{4})/(\d{2})/(\d{2})/[^/]*$",
+    r"/(\d{4})-(\d{2})-(\d{2})/[^/]*$",
+    r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/[^/]*$",
+    r"/dt=(\d{4})-(\d{2})-(\d{2})/[^/]*$",
+)
+
+
+def file_day(file: Column) -> Column:
+    """The day a staged file's folder names, NULL when it names none."""
+    days = []
+    for pattern in DAY_IN_PATH:
+        parts = [F.regexp_extract(file, pattern, i) for i in (1, 2, 3)]
+        days.append(F.concat_ws("-", *parts).try_cast("date"))
+    return F.coalesce(*days)
+
+
 def new_files(files: DataFrame, audit: DataFrame) -> DataFrame:
     """Files no load has recorded yet."""
     return files.join(audit.select("file"), "file", "left_anti")

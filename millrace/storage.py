@@ -57,6 +57,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder; False when there was none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The Parquet data at ``path``, or None when nothing was ever written there."""
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
@@ -209,3 +215,22 @@ class Store:
         marker = self.spark.createDataFrame([(upto,)], T.StructType([LOAD_FIELD]))
         marker.coalesce(1).write.mode("overwrite").parquet(f"{self.bases_path(spec)}/v={upto}")
         return upto
+
+    def prune(self, spec: TableSpec, keep: int = 2) -> list[int]:
+        """Removes all but the newest ``keep`` bases and the changes they made needless.
+
+        Keep at least two, so that a read begun before the last compaction can finish.
+        Returns the versions removed.
+        """
+        if keep < 1:
+            raise ValueError("the newest base must stay")
+        made = self.read(self.bases_path(spec), T.StructType([LOAD_FIELD])).select(LOAD_ID).collect()
+        versions = sorted(row[0] for row in made)
+        old = versions[:-keep]
+        # Changes written after a base that goes, and before the first base, are in the bases that stay.
+        for base in [None, *old] if old else []:
+            remove_folder(self.spark, self.changes_path(spec, base))
+        for version in old:
+            remove_folder(self.spark, f"{self.base_path(spec)}/v={version}")
+            remove_folder(self.spark, f"{self.bases_path(spec)}/v={version}")
+        return old

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from helpers import at, customer, raw_customers, rows, write_file
 from millrace.functions.typed import typed
 from millrace.operators.checks import missing_ids, raw_key
-from millrace.operators.files import load_errors, load_history
+from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files
 from millrace.plans.procedure import merge_cdc_batch
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm, object_pull, read_table
 from millrace.sources.stage import LAYOUT_DAY, list_files, read_stage, stage_path, write_stage
@@ -17,6 +17,7 @@ from millrace.streaming.loader import (
     BadRecords,
     LoadOptions,
     load_batch,
+    merge_load,
     pull_once,
     reset_pull,
     reset_stream,
@@ -164,6 +165,43 @@ def test_compaction_keeps_the_table(spark, root):
     assert rows(store.typed(CUSTOMERS), "id", "status") == expected
 
 
+def test_pruning_keeps_what_is_read(spark, root):
+    store = Store(spark, root)
+    for n in range(4):
+        raw = raw_customers(spark, [(customer(n, "a", n),), (customer(9, f"s{n}", n),)])
+        store.write_load(raw, store.raw_path(CUSTOMERS), n * 1000)
+        merge_load(store, CUSTOMERS, store.raw(CUSTOMERS, n * 1000), n * 1000, LoadOptions(), at(n))
+        if n < 3:
+            store.compact(CUSTOMERS)
+    before = rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns)
+    assert [r[:2] for r in rows(store.typed(CUSTOMERS), "id", "status")] == [(0, "a"), (1, "a"), (2, "a"), (3, "a"), (9, "s3")]
+    assert store.prune(CUSTOMERS) == [0]
+    assert store.prune(CUSTOMERS) == [] and store.prune(CUSTOMERS, keep=1) == [1000]
+    assert rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns) == before
+    with pytest.raises(ValueError):
+        store.prune(CUSTOMERS, keep=0)
+
+
+def test_old_loaded_files_are_named(spark, root):
+    store = Store(spark, root)
+    write_file(root, "staged/postgres_cdc/customers/2024/01/02/a.json", lines(customer(1, "a", 1)))
+    write_file(root, "staged/postgres_cdc/customers/2024/01/09/b.json", lines(customer(2, "a", 1)))
+    run(store, root)
+    write_file(root, "staged/postgres_cdc/customers/2024/01/03/late.json", lines(customer(3, "a", 1)))
+    files = list_files(spark, stage_path(root, "postgres_cdc", "customers"))
+    files = files.withColumn("dt", file_day(F.col("file")))
+    audit = store.audit(CUSTOMERS)
+    assert [r.file.rsplit("/", 1)[1] for r in new_files(files, audit).collect()] == ["late.json"]
+    old = expired_files(files, audit, "2024-01-10 00:00:00").collect()
+    assert [r.file.rsplit("/", 1)[1] for r in old] == ["a.json"]
+
+
+def test_days_in_paths(spark):
+    paths = ["s/c/2024/01/02/x.json", "s/c/2024-01-02/x.json", "s/c/y=2024/m=01/d=02/x.json", "s/c/dt=2024-01-02/x.json", "s/c/2024/13/99/x", "s/c/x.json"]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", file_day(F.col("p")).alias("d"))
+    assert [r.d for r in df.orderBy("i").collect()] == [dt.date(2024, 1, 2)] * 4 + [None, None]
+
+
 def test_change_log_stream(spark, root):
     spec = CUSTOMERS.as_changelog()
     store = Store(spark, root)
