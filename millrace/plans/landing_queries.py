@@ -184,7 +184,7 @@ def timestamps_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timestamp texts with an offset, with Z, with +0000, and epoch milliseconds."""
     wall = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     short = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS")
-    millis = F.unix_millis(F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC"))
+    millis = F.unix_millis(F.concat(short, F.lit("Z")).cast("timestamp"))
     line = F.format_string('{"o": "%s+02:00", "z": "%sZ", "s": "%s+0000", "m": %d}', wall, wall, short, millis)
     good, _ = parse_records(feeds.table(spark, sf_dir, "events").select("event_id", line.alias("value")))
     record = F.col("record")

@@ -19,6 +19,13 @@ def read_table(spark: SparkSession, fmt: str, path: str | None = None, **options
     return spark.read.format(fmt).options(**options).load(path)
 
 
+def mark_literal(mark: Any) -> Column:
+    """A mark as a literal; a time without a zone stays a wall clock, whatever the session's zone."""
+    if isinstance(mark, datetime) and mark.tzinfo is None:
+        return F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(mark)
+
+
 def incremental_pull(
     src: DataFrame,
     cursor_col: str | Column,
@@ -35,7 +42,7 @@ def incremental_pull(
         return src
     cursor = F.col(cursor_col) if isinstance(cursor_col, str) else cursor_col
     floor = hwm - overlap if overlap is not None else hwm
-    return src.filter(cursor > F.lit(floor))
+    return src.filter(cursor > mark_literal(floor))
 
 
 def object_pull(objects: DataFrame, age_field: Field, hwm: Any = None, overlap: timedelta | None = None) -> DataFrame:
@@ -44,13 +51,20 @@ def object_pull(objects: DataFrame, age_field: Field, hwm: Any = None, overlap:
         return objects
     floor = hwm - overlap if overlap is not None else hwm
     age = cast_field(F.col(RECORD), age_field)
-    return objects.filter(age.isNull() | (age > F.lit(floor)))
+    return objects.filter(age.isNull() | (age > mark_literal(floor)))
 
 
 def next_hwm(df: DataFrame, cursor_col: str | Column) -> Any:
-    """The largest cursor value pulled, or None when nothing was."""
+    """The largest cursor value pulled, or None when nothing was.
+
+    A zoned cursor gives its wall clock in the session's zone, which is also how
+    ``incremental_pull`` compares it.
+    """
     cursor = F.col(cursor_col) if isinstance(cursor_col, str) else cursor_col
-    return df.agg(F.max(cursor).alias("hwm")).first()["hwm"]
+    top = df.agg(F.max(cursor).alias("hwm"))
+    if top.schema["hwm"].dataType == T.TimestampType():
+        top = top.select(F.col("hwm").cast("timestamp_ntz"))
+    return top.first()["hwm"]
 
 
 STATE_SCHEMA = T.StructType(

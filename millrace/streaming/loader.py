@@ -117,7 +117,7 @@ def write_audit(store: Store, spec: TableSpec, load_id: int, started: datetime |
     """Per-file counts of a load, taken from what was written."""
     loaded, errors = store.raw(spec, load_id), store.load_errors(spec, "parse", load_id)
     rows = audit_rows(loaded, errors, spec.raw_name, store.environment, started, ended)
-    store.write_load(rows.coalesce(1), store.audit_path(spec), load_id)
+    store.write_load(rows, store.audit_path(spec), load_id)
 
 
 def load_batch(store: Store, spec: TableSpec, lines: DataFrame, load_id: int, options: LoadOptions) -> None:

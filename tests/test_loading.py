@@ -318,6 +318,20 @@ def test_pull_filter_reaches_the_scan(spark, root):
     assert next_hwm(table.filter("id > 9"), "updated_at") is None
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_marks_do_not_depend_on_the_session_zone(spark, root, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        table = source(spark, (1, "a", 1), (2, "b", 2), (3, "c", 3))
+        assert rows(incremental_pull(table, "updated_at", at(2)), "id") == [(3,)]
+        zoned = table.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+        mark = next_hwm(zoned.filter("id < 3"), "updated_at")
+        assert mark == at(2) and rows(incremental_pull(zoned, "updated_at", mark), "id") == [(3,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_object_pull_keeps_records_without_an_age(spark):
     raw = raw_customers(spark, [({"Id": "a", "LastModifiedDate": "2024-01-01T05:00:00.000+0000"},), ({"Id": "b"},), ({"Id": "c", "LastModifiedDate": "2024-01-01T02:00:00.000+0000"},)])
     field = CONTACTS.field("last_modified_date")
