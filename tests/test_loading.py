@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from helpers import at, customer, raw_customers, rows, write_file
 from millrace.functions.typed import typed
-from millrace.operators.checks import missing_ids, raw_key
+from millrace.operators.checks import completeness, missing_ids, raw_key
 from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files
+from millrace.operators.watch import throughput
 from millrace.plans.procedure import merge_cdc_batch
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm, object_pull, read_table
 from millrace.sources.stage import LAYOUT_DAY, list_files, read_stage, stage_path, write_stage
@@ -378,3 +379,20 @@ def test_a_running_stream_picks_up_new_files(spark, root):
         assert store.audit(CUSTOMERS).select(LOAD_ID).distinct().count() == 3
     finally:
         query.stop()
+
+
+def test_a_thousand_rows_from_ten_writers_arrive(spark, root):
+    store = Store(spark, root)
+    for writer in range(10):
+        records = [customer(writer * 100 + i, "active", 1) for i in range(100)]
+        write_file(root, f"{STAGE}/{writer}.json", json.dumps(records) if writer % 2 else lines(*records))
+    start = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0) - dt.timedelta(seconds=1)
+    run(store, root, maxFilesPerTrigger=4)
+    end = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0) + dt.timedelta(seconds=1)
+    expected = spark.range(1000)
+    landed = store.raw(CUSTOMERS).select(raw_key(CUSTOMERS).alias("id"))
+    share = completeness(expected, landed, "id").first()
+    assert share.ratio == 1.0 and share.is_complete
+    rate = throughput(store.audit(CUSTOMERS), start, end).first()
+    assert rate.n_rows == 1000 and rate.rows_per_second > 10
+    assert store.typed(CUSTOMERS).count() == 1000

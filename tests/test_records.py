@@ -1,3 +1,6 @@
+import json
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +73,50 @@ def test_pretty_array_as_one_value(spark):
 def test_several_records_in_one_value_are_refused_not_cut(spark):
     _, bad = parse_records(spark.createDataFrame([('{"a":1}\n{"a":2}\n',)], "value string"))
     assert bad.count() == 1
+
+
+def refuse_repeats(pairs):
+    if len({k for k, _ in pairs}) != len(pairs):
+        raise ValueError("repeated key")
+    return dict(pairs)
+
+
+def verdict(line):
+    """What a strict JSON reader says of a line: kinds of its records, or that it is no JSON."""
+    if not line.strip(" \t\r\n"):
+        return []
+    try:
+        value = json.loads(line, object_pairs_hook=refuse_repeats, parse_constant=lambda c: int("no"))
+    except ValueError:
+        return ["refused"]
+    items = value if isinstance(value, list) else [value]
+    return ["good" if isinstance(i, dict) else "not an object" for i in items]
+
+
+def test_broken_lines_against_a_strict_reader(spark):
+    rng = random.Random(11)
+    seeds = [
+        '{"a":1,"b":[{"c":"x]"},2]}', '[{"a":1},{"b":null}]', '{"t":"}{","u":{"v":[]}}', "[]", '[[{"a":1}],{"b":true}]',
+        ' {"a" : -1.5e3} ', '{"q":"\\"],["}', "[{},{}]", '{"a":1}{"b":2}', '{"a":1}],[{"b":2}', '{"a":1},{"b":2}',
+    ]
+    alphabet = list('{}[],:"1ae \t\\')
+    lines = list(seeds)
+    while len(lines) < 3000:
+        chars = list(rng.choice(seeds))
+        for _ in range(rng.randint(1, 3)):
+            at, kind = rng.randrange(len(chars) + 1), rng.random()
+            if kind < 0.4:
+                chars.insert(at, rng.choice(alphabet))
+            elif kind < 0.7 and at < len(chars):
+                del chars[at]
+            else:
+                chars[at:at] = list(rng.choice(seeds))
+        lines.append("".join(chars))
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, value string")
+    outcome = F.when(F.col("reason").isNull(), "good").when(F.col("reason") == "not an object", F.col("reason")).otherwise("refused")
+    found = {}
+    for row in parse_lines(df).select("i", "item", outcome.alias("o")).orderBy("i", "item").collect():
+        found.setdefault(row.i, []).append(row.o)
+    wrong = [(line, found.get(i, []), verdict(line)) for i, line in enumerate(lines) if found.get(i, []) != verdict(line)]
+    assert not wrong, wrong[:5]
+    assert sum(v == ["good"] for v in found.values()) > 50 and sum(v == ["refused"] for v in found.values()) > 500
