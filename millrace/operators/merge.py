@@ -96,6 +96,43 @@ def fits_broadcast(spec: TableSpec, source_rows: int | None) -> bool:
     return source_rows is not None and source_rows * spec.row_bytes() <= BROADCAST_BYTES
 
 
+def _combine(
+    target: DataFrame,
+    source: DataFrame,
+    spec: TableSpec,
+    kept: dict[str, Column],
+    new: dict[str, Column],
+    small: bool,
+    insertable: Column | None = None,
+) -> DataFrame:
+    """Target rows with their source row applied, and the source rows of new keys.
+
+    Both sides hold a key once. ``kept`` and ``new`` give each column but the key, over
+    the sides ``t`` and ``s``; ``insertable`` says which source rows may become new ones.
+    A ``small`` source is broadcast and the target stays where it is.
+    """
+    names = [c for c in spec.typed_columns if c != spec.key]
+    same_key = F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}")
+    marked = source.withColumn("_here", F.lit(True))
+    if small:
+        joined = target.alias("t").join(F.broadcast(marked).alias("s"), same_key, "left")
+        # Keys found in the target are at most the source's own, so they broadcast too.
+        hits = target.select(spec.key).join(F.broadcast(source.select(spec.key)), spec.key, "left_semi")
+        fresh = source.join(F.broadcast(hits), spec.key, "left_anti").alias("s")
+        if insertable is not None:
+            fresh = fresh.filter(insertable)
+        return joined.select(_key_column(spec, "t"), *[kept[c].alias(c) for c in names]).unionByName(
+            fresh.select(_key_column(spec, "s"), *[new[c].alias(c) for c in names])
+        )
+    in_target = F.col("t._here").isNotNull()
+    joined = target.withColumn("_here", F.lit(True)).alias("t").join(marked.alias("s"), same_key, "full_outer")
+    if insertable is not None:
+        joined = joined.filter(in_target | insertable)
+    return joined.select(
+        _key_column(spec, "t", "s"), *[F.when(in_target, kept[c]).otherwise(new[c]).alias(c) for c in names]
+    )
+
+
 def merge_changes(
     target: DataFrame,
     changes: DataFrame,
@@ -109,35 +146,10 @@ def merge_changes(
     broadcast and the target is not shuffled. Without it, or beyond the bound, both
     sides are shuffled on the key; each key occurs once per side, so no key is hot.
     """
-    in_target, in_source = F.col("t._here"), F.col("s._here")
-    changes = require_key(changes, spec)
-    marked = changes.withColumn("_here", F.lit(True))
-    if fits_broadcast(spec, source_rows):
-        small = F.broadcast(marked)
-        joined = target.alias("t").join(small.alias("s"), F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}"), "left")
-        applies = in_source & _guarded(spec, guard)
-        kept = joined.select(
-            *[
-                _key_column(spec, "t") if c == spec.key else _matched_value(spec, c, applies).alias(c)
-                for c in spec.typed_columns
-            ]
-        )
-        # Keys found in the target are at most the changes themselves, so they broadcast too.
-        hits = target.select(spec.key).join(F.broadcast(changes.select(spec.key)), spec.key, "left_semi")
-        fresh = changes.join(F.broadcast(hits), spec.key, "left_anti").alias("s")
-        return kept.unionByName(fresh.select(*_insert_columns(spec)))
-    joined = (
-        target.withColumn("_here", F.lit(True))
-        .alias("t")
-        .join(marked.alias("s"), F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}"), "full_outer")
-    )
-    applies = in_source & _guarded(spec, guard)
-    columns = [_key_column(spec, "t", "s")]
-    for c in spec.typed_columns:
-        if c != spec.key:
-            value = F.when(in_target.isNull(), _inserted_value(spec, c, "s"))
-            columns.append(value.otherwise(_matched_value(spec, c, applies)).alias(c))
-    return joined.select(*columns)
+    applies = F.col("s._here") & _guarded(spec, guard)
+    kept = {c: _matched_value(spec, c, applies) for c in spec.typed_columns}
+    new = {c: _inserted_value(spec, c, "s") for c in spec.typed_columns if c != spec.key}
+    return _combine(target, require_key(changes, spec), spec, kept, new, fits_broadcast(spec, source_rows))
 
 
 def _guarded(spec: TableSpec, guard: bool) -> Column:
@@ -196,12 +208,38 @@ def fold_loads(changes: DataFrame, spec: TableSpec, guard: bool = True) -> DataF
     return folded.select(*[F.col(source[c]).alias(c) for c in changes.columns if c != LOAD_ID])
 
 
+def net_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """What a change log comes to, one row per key.
+
+    ``_last`` tells the last change, ``_data`` the last one that carries data and
+    ``_first`` the values only inserted, of the first one that does. A key with much of
+    the log is cut to one row per task before the shuffle.
+    """
+    order = F.struct(*[F.col(c) for c in spec.order_names])
+    # A NULL order is passed over, so deletes never supply data columns.
+    data_order = F.when(F.col(LINEAGE_OP) != OP_DELETE, order)
+    return (
+        require_key(changes, spec)
+        .groupBy(spec.key)
+        .agg(
+            F.max_by(F.struct(LINEAGE_OP, LINEAGE_TS, spec.cursor, LOADED_AT, BATCH_ID), order).alias("_last"),
+            F.max_by(F.struct(*spec.updated, F.col(LINEAGE_TS).alias("_data_ts")), data_order).alias("_data"),
+            F.min_by(F.struct(*_first_only(spec)), data_order).alias("_first"),
+        )
+    )
+
+
+def _first_only(spec: TableSpec) -> list[str]:
+    return [c for c in spec.insert_only if c != "is_deleted"]
+
+
 def apply_changelog(
     target: DataFrame | None,
     changes: DataFrame,
     spec: TableSpec,
     keep_tombstones: bool = False,
     load_ts: datetime | str | None = None,
+    source_rows: int | None = None,
 ) -> DataFrame:
     """``target`` after applying insert, update and delete changes in log order.
 
@@ -210,71 +248,43 @@ def apply_changelog(
     clears the flag. Columns only inserted come from the first change that carries
     data. A delete of a key never seen makes a row only with ``keep_tombstones``.
     Changes older than the target row are ignored. The load time is the last change's
-    own unless ``load_ts`` is given.
+    own unless ``load_ts`` is given. ``source_rows`` works as in ``merge_changes``.
     """
-    order = F.struct(*[F.col(c) for c in spec.order_names])
-    # A NULL order is passed over, so deletes never supply data columns.
-    data_order = F.when(F.col(LINEAGE_OP) != OP_DELETE, order)
-    updated = list(spec.updated)
-    first_only = [c for c in spec.insert_only if c != "is_deleted"]
-    per_key = [
-        F.max_by(F.struct(LINEAGE_OP, LINEAGE_TS, spec.cursor, LOADED_AT, BATCH_ID), order).alias("_last"),
-        F.max_by(F.struct(*updated, F.col(LINEAGE_TS).alias("_data_ts")), data_order).alias("_data"),
-    ]
-    if first_only:
-        per_key.append(F.min_by(F.struct(*first_only), data_order).alias("_first"))
-    net = require_key(changes, spec).groupBy(spec.key).agg(*per_key)
-
-    def first(name: str) -> Column:
-        return F.col(f"s._first.{name}") if name in first_only else F.lit(None).cast(spec.typed_schema[name].dataType)
-
     last_ts, data_ts = F.col(f"s._last.{LINEAGE_TS}"), F.col("s._data._data_ts")
-    gone = F.col(f"s._last.{LINEAGE_OP}") == OP_DELETE
+    not_older = F.col("s._here") & (F.struct(last_ts) >= F.struct(F.col(f"t.{LINEAGE_TS}")))
+    data_not_older = F.col("s._data").isNotNull() & (F.struct(data_ts) >= F.struct(F.col(f"t.{LINEAGE_TS}")))
     from_last = {
-        "is_deleted": gone,
+        "is_deleted": F.col(f"s._last.{LINEAGE_OP}") == OP_DELETE,
         LINEAGE_OP: F.col(f"s._last.{LINEAGE_OP}"),
         LINEAGE_TS: last_ts,
         ETL_LOADED_AT: F.col(f"s._last.{LOADED_AT}") if load_ts is None else now_ntz(load_ts),
         ETL_BATCH_ID: F.col(f"s._last.{BATCH_ID}"),
     }
-    new_row = {}
+    kept, new = {}, {}
     for c in spec.typed_columns:
-        if c in from_last:
-            new_row[c] = from_last[c]
-        elif c == spec.cursor:
-            new_row[c] = F.coalesce(F.col(f"s._last.{c}"), F.col(f"s._data.{c}"))
-        else:
-            new_row[c] = F.col(f"s._data.{c}") if c in updated else first(c)
-    if target is None:
-        fresh = net.alias("s") if keep_tombstones else net.filter(F.col("_data").isNotNull()).alias("s")
-        return fresh.select(
-            *[_key_column(spec, "s") if c == spec.key else new_row[c].alias(c) for c in spec.typed_columns]
-        )
-    joined = (
-        target.withColumn("_here", F.lit(True))
-        .alias("t")
-        .join(net.withColumn("_here", F.lit(True)).alias("s"), F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}"), "full_outer")
-    )
-    if not keep_tombstones:
-        joined = joined.filter(F.col("t._here").isNotNull() | F.col("s._data").isNotNull())
-    not_older = F.col("s._here") & (F.struct(last_ts) >= F.struct(F.col(f"t.{LINEAGE_TS}")))
-    data_not_older = F.col("s._data").isNotNull() & (F.struct(data_ts) >= F.struct(F.col(f"t.{LINEAGE_TS}")))
-    columns = [_key_column(spec, "t", "s")]
-    for c in spec.typed_columns:
-        if c == spec.key:
-            continue
         old = F.col(f"t.{c}")
         if c in from_last:
-            kept = F.when(not_older, new_row[c]).otherwise(old)
+            new[c] = from_last[c]
+            kept[c] = F.when(not_older, new[c]).otherwise(old)
         elif c == spec.cursor:
-            kept = F.when(not_older, F.coalesce(F.col(f"s._last.{c}"), F.when(data_not_older, F.col(f"s._data.{c}")), old))
-            kept = kept.otherwise(old)
-        elif c in updated:
-            kept = F.when(data_not_older, new_row[c]).otherwise(old)
+            carried, data = F.col(f"s._last.{c}"), F.col(f"s._data.{c}")
+            new[c] = F.coalesce(carried, data)
+            kept[c] = F.when(not_older, F.coalesce(carried, F.when(data_not_older, data), old)).otherwise(old)
+        elif c in spec.updated:
+            new[c] = F.col(f"s._data.{c}")
+            kept[c] = F.when(data_not_older, new[c]).otherwise(old)
+        elif c in _first_only(spec):
+            new[c], kept[c] = F.col(f"s._first.{c}"), old
         else:
-            kept = old
-        columns.append(F.when(F.col("t._here").isNull(), new_row[c]).otherwise(kept).alias(c))
-    return joined.select(*columns)
+            new[c], kept[c] = F.lit(None).cast(spec.typed_schema[c].dataType), old
+    net = net_changes(changes, spec)
+    insertable = None if keep_tombstones else F.col("s._data").isNotNull()
+    if target is None:
+        rows = net.alias("s") if insertable is None else net.alias("s").filter(insertable)
+        return rows.select(_key_column(spec, "s"), *[new[c].alias(c) for c in spec.typed_columns if c != spec.key])
+    # A net row holds up to two of the widest rows.
+    small = source_rows is not None and fits_broadcast(spec, 2 * source_rows)
+    return _combine(target, net, spec, kept, new, small, insertable)
 
 
 def merge_into_table(table: str, changes: DataFrame, spec: TableSpec, guard: bool = True) -> None:

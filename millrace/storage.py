@@ -193,13 +193,12 @@ class Store:
         base = None
         if version is not None:
             base = self.spark.read.schema(spec.typed_schema).parquet(f"{self.base_path(spec)}/v={version}")
+        # The number of change rows comes from file footers and bounds the rows merged.
+        bound = None if base is None else changes.count()
         if spec.changelog:
-            return apply_changelog(base, changes.drop(LOAD_ID), spec, keep_tombstones)
+            return apply_changelog(base, changes.drop(LOAD_ID), spec, keep_tombstones, source_rows=bound)
         folded = fold_loads(changes, spec, guard)
-        if base is None:
-            return insert_all(folded, spec)
-        # The number of change rows comes from file footers and bounds the folded rows.
-        return merge_changes(base, folded, spec, guard, source_rows=changes.count())
+        return insert_all(folded, spec) if base is None else merge_changes(base, folded, spec, guard, bound)
 
     def compact(self, spec: TableSpec, keep_tombstones: bool = False) -> int | None:
         """Writes the typed table as a new base; later reads start from it.

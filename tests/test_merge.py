@@ -196,6 +196,22 @@ def test_changelog_equals_playing_it(spark, drawn, cut, keep):
     assert rows(target, "id", "status", "created_at", "is_deleted", "_cdc_timestamp") == sorted(play(log, keep), key=repr)
 
 
+@pytest.mark.parametrize("keep", [False, True])
+def test_broadcast_changelog_equals_shuffled_changelog(spark, keep):
+    rng = random.Random(5)
+    first = [(customer(k, f"s{k}", k % 7, created=k), "INSERT", k % 7) for k in range(40)]
+    target = apply_changelog(None, typed(raw_customers(spark, first), LOG), LOG)
+    later = []
+    for h in range(60):
+        k, op = rng.randrange(60), rng.choice(["INSERT", "UPDATE", "DELETE"])
+        later.append(({"id": k} if op == "DELETE" else customer(k, f"n{h}", h % 12, created=h), op, h % 12))
+    changes = typed(raw_customers(spark, later), LOG)
+    shuffled = apply_changelog(target, changes, LOG, keep)
+    small = apply_changelog(target, changes, LOG, keep, source_rows=60)
+    assert rows(small, *LOG.typed_columns) == rows(shuffled, *LOG.typed_columns)
+    assert "BroadcastHashJoin" in plan(small) and "FullOuter" not in plan(small)
+
+
 def test_changelog_ignores_late_changes(spark):
     target = apply_changelog(None, typed(raw_customers(spark, [(customer(1, "new", 5), "INSERT", 5)]), LOG), LOG)
     late = [(customer(1, "late", 2), "UPDATE", 2), ({"id": 1}, "DELETE", 3)]
