@@ -83,8 +83,8 @@ class Slice:
         return len(self.offsets) - 1
 
 
-def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iterator[Slice]:
-    """Runs of rows of at most ``limit`` bytes, or one longer row. NULL texts have no bytes."""
+def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES, most_rows: int = 1 << 16) -> Iterator[Slice]:
+    """Runs of at most ``most_rows`` rows and ``limit`` bytes, or one longer row. NULL texts have no bytes."""
     chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
     first = 0
     for chunk in chunks:
@@ -96,7 +96,7 @@ def slices(column: pa.Array | pa.ChunkedArray, limit: int = SLICE_BYTES) -> Iter
         data = np.frombuffer(data_buffer, np.uint8) if data_buffer is not None else np.zeros(0, np.uint8)
         row = 0
         while row < len(chunk):
-            end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
+            end = min(max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1), row + most_rows)
             yield Slice(first + row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row])
             row = end
         first += len(chunk)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, jaccard_join
+from millrace.llm import exact_dedup, jaccard_join, language_id, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -44,3 +45,19 @@ SELECT doc_id, keep_id, group_size, place = 1 AS kept, text_sha256 FROM r
 def op8_jaccard_join(spark, sf_dir):
     """Groups of documents whose 5-word shingle sets have a Jaccard similarity of 0.75 or more."""
     return jaccard_join.near_duplicate_components(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.in_fold("doc_id", 3, 1)
+    found = language_id.identify(docs.select("doc_id", "text"), language_id.fit(docs.filter(~held_out)))
+    return found.select("row.doc_id", "lang_pred", "score").withColumn("held_out", held_out)
+
+
+@query
+def op1_packing(spark, sf_dir):
+    """All documents in sequences of at most 4096 tokens."""
+    pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces)
