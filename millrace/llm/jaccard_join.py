@@ -23,7 +23,7 @@ from millrace.llm._words import Slice, mix, shingles_of, slices, words_of
 PERCENT = 75
 WIDTH = 5
 #: Share of a set's elements, in percent, by which its sample is longer than the prefix that any link must meet.
-SPARE = 5
+SPARE = 15
 #: Elements gathered before a map task sends them on, and blobs per shuffle partition.
 _SEND = 1 << 19
 _BLOBS = 4
@@ -47,9 +47,23 @@ def _signature(u: np.ndarray) -> bytes:
     return np.array([mix(u).sum(dtype=np.uint64), mix(u ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)], np.uint64).tobytes()
 
 
+#: Elements and names travel as 5 bytes each. Two that coincide can only let a set through that need not be.
+_SHORT = (1 << 40) - 1
+
+
 def _ref(signature: bytes) -> np.uint64:
     """A short name of a set, never 0."""
-    return np.frombuffer(signature, np.uint64)[0] | np.uint64(1)
+    return np.frombuffer(signature, np.uint64)[0] & np.uint64(_SHORT) | np.uint64(1)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
 
 
 def set_signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -87,7 +101,7 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         firsts = np.concatenate([[0], cuts]).astype(int)
         ends = np.concatenate([cuts, [len(bucket)]]).astype(int)
-        return [(int(bucket[a]), False, elements[a:b].tobytes(), refs[a:b].tobytes()) for a, b in zip(firsts, ends)]
+        return [(int(bucket[a]), False, _packed(elements[a:b]), _packed(refs[a:b])) for a, b in zip(firsts, ends)]
 
     def flush(held):
         sets = {ref: u for ref, u in held}  # equal sets count once
@@ -122,12 +136,12 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         elements, refs = [], []
         for batch in batches:
             for counted, a, b in zip(batch.column("counted").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist()):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 if counted:
+                    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                     yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["ref", "shared"])
                 else:
-                    elements.append(a)
-                    refs.append(b)
+                    elements.append(_unpacked(a))
+                    refs.append(_unpacked(b))
         if not elements:
             return
         e, r = np.concatenate(elements), np.concatenate(refs)
@@ -200,26 +214,40 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", both.alias("both"), "left", "right").select("a", "b", "both", either.alias("either")).withColumn("distance", 1 - F.col("both") / F.col("either"))
 
 
-def _hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Each list's members beside its first set: as many pairs as entries, however long the list."""
-    heads = postings.groupBy("element").agg(F.min(F.struct(F.col("set_id").alias("a"), F.col("n").alias("m"))).alias("head"), F.count("*").alias("entries")).filter("entries > 1")
-    met = postings.join(heads, "element").filter(F.col("set_id") != F.col("head.a")).filter(_sizes_fit("n", "head.m", percent))
+def _open_lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
+    """The postings of the lists whose sets are not all in one group yet, with the group of each."""
+    now = postings.join(groups, "set_id")
+    mixed = now.groupBy("element").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("element")
+    return now.join(mixed, "element")
+
+
+def _hub_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Each list's members of other groups beside one set of the list: fewer pairs than entries, however long the list."""
+    head = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("draw"), F.col("set_id").alias("a"), F.col("n").alias("m"), F.col("group").alias("own"))
+    met = lists.join(lists.groupBy("element").agg(F.min(head).alias("head")), "element")
+    met = met.filter(F.col("group") != F.col("head.own")).filter(_sizes_fit("n", "head.m", percent))
     return met.select(F.col("head.a").alias("a"), F.col("set_id").alias("b")).distinct()
 
 
-def _other_pairs(postings: DataFrame, hubs: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``set_id, group`` after the groups that ``links`` joins have become one."""
+    ends = links.join(groups.select(F.col("set_id").alias("a"), F.col("group").alias("x")), "a").join(groups.select(F.col("set_id").alias("b"), F.col("group").alias("y")), "b")
+    named = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    met = groups.join(named, groups["group"] == named["node"], "left")
+    return stored(met.select("set_id", F.coalesce("component", "group").alias("group")), "set-groups")
+
+
+def _other_pairs(lists: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose answer the hubs do not give, by blocks of a list that pass the bounds."""
-    p = postings.join(groups, postings["set_id"] == groups["node"], "left").select(
-        "element", "set_id", "n", "pos", F.coalesce("component", "set_id").alias("group"),
+    p = lists.select(
+        "element", "set_id", "n", "pos", "group",
         F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int").alias("size_block"), F.floor(F.log2(F.col("pos") + 1)).cast("int").alias("pos_block"),
     )
-    p = stored(p, "grouped-postings")
     key = ["element", "size_block", "pos_block"]
     blocks = p.groupBy(*key).agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("first"), F.min("group").alias("low"), F.max("group").alias("high")
     )
-    mixed = blocks.groupBy("element").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low <> high").select("element")
-    blocks = blocks.join(mixed, "element")
+    blocks = stored(blocks, "blocks")
     one = blocks.select("element", *[F.col(c).alias(f"{c}_1") for c in blocks.columns[1:]])
     two = blocks.select("element", *[F.col(c).alias(f"{c}_2") for c in blocks.columns[1:]])
     room = F.least(F.col("most_1") - F.col("first_1"), F.col("most_2") - F.col("first_2"))
@@ -239,19 +267,35 @@ def _other_pairs(postings: DataFrame, hubs: DataFrame, groups: DataFrame, percen
     # the nearest hub of a, and how far b is from that hub if they were compared
     near = hubs.groupBy(F.col("b").alias("a")).agg(F.min(F.struct("distance", F.col("a").alias("hub"))).alias("near")).select("a", F.col("near.distance").alias("to_a"), F.col("near.hub").alias("hub"))
     far = hubs.select(F.col("a").alias("hub"), "b", F.col("distance").alias("to_b"))
-    met = met.join(hubs.select("a", "b"), ["a", "b"], "left_anti").join(near, "a", "left").join(far, ["hub", "b"], "left")
+    tested = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = met.join(tested, ["a", "b"], "left_anti").join(near, "a", "left").join(far, ["hub", "b"], "left")
     return met.filter("to_a IS NULL OR to_b IS NULL" + f" OR abs(to_b - to_a) <= {1 - percent / 100} + 1e-9").select("a", "b")
 
 
-def set_links(docs: DataFrame, signs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``a, b`` pairs of set ids that are linked and join all linked sets of a component (not every pair of it)."""
+def set_groups(docs: DataFrame, signs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``set_id, group`` of the sets that can have a link to a different set; linked sets have one group.
+
+    Turn by turn, one set of each list, drawn anew, is its hub and compared with the members of other groups, and groups
+    with a link become one. When a turn finds no link, all pairs that are still open are compared.
+    """
     sets = _linkable_sets(docs, signs, width, percent)
     postings = stored(_postings(sets, percent), "postings")
     linked = 100 * F.col("both") >= percent * F.col("either")
-    hubs = stored(_verified(_hub_pairs(postings, percent), sets), "hub-pairs")
-    first = hubs.filter(linked).select("a", "b")
-    rest = _verified(_other_pairs(postings, hubs.select("a", "b", "distance"), components(first), percent), sets).filter(linked).select("a", "b")
-    return first.unionByName(rest)
+    groups = stored(postings.select("set_id").distinct().withColumn("group", F.col("set_id")), "set-groups")
+    hubs, turn = None, 0
+    while True:
+        lists = stored(_open_lists(postings, groups), "open-lists")
+        found = _hub_pairs(lists, turn, percent)
+        if hubs is not None:
+            found = found.join(hubs.select("a", "b"), ["a", "b"], "left_anti").join(hubs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
+        found = stored(_verified(found, sets), "hub-pairs")
+        hubs = found if hubs is None else hubs.unionByName(found)
+        links = found.filter(linked).select("a", "b")
+        if links.isEmpty():
+            break
+        groups, postings, turn = _merged(groups, links), lists.drop("group"), turn + 1
+    rest = stored(_verified(_other_pairs(lists, hubs.select("a", "b", "distance"), percent), sets).filter(linked).select("a", "b"), "rest-links")
+    return groups if rest.isEmpty() else _merged(groups, rest)
 
 
 def near_duplicate_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -269,9 +313,8 @@ def near_duplicate_components(docs: DataFrame, width: int = WIDTH, percent: int
     is either compared, or both are in one component already, or their known distances to a hub differ by too much.
     """
     signs = stored(set_signatures(docs, width), "signatures")
-    groups = components(set_links(docs, signs, width, percent))
     own = signs.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"))
-    own = own.join(groups, own["set_id"] == groups["node"], "left").select("set_id", "low", F.coalesce("component", "set_id").alias("group"))
+    own = own.join(set_groups(docs, signs, width, percent), "set_id", "left").select("set_id", "low", F.coalesce("group", "set_id").alias("group"))
     own = stored(own, "groups")
     low = own.groupBy("group").agg(F.min("low").alias("component_id"))
     named = own.join(low, "group").select("set_id", "component_id", F.lit(True).alias("grouped"))

@@ -158,11 +158,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = salted.withColumn("_own", rank).join(sizes.drop("_n"), ["length", "_part"])
     ranked = ranked.select(*pieces.columns, (F.col("_own") + F.coalesce("_before", F.lit(0))).cast("long").alias("_rank"))
 
+    names = pieces.columns
+
     def run(batches):
         for batch in batches:
             sequence, offset = plan.place(batch.column("length").to_numpy(), batch.column("_rank").to_numpy())
-            arrays = [batch.column(c) for c in pieces.columns] + [pa.array(sequence), pa.array(offset)]
-            yield pa.RecordBatch.from_arrays(arrays, [*pieces.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     return in_arrow(ranked, run, f"{fields}, sequence_id long, offset long")
