@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import exact_dedup, jaccard_join
+from millrace.llm import decontamination, exact_dedup, jaccard_join, language_id, packing
 from millrace.llm._scratch import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; those that are NULL, empty or without a letter go."""
+    model = language_id.fit(docs.filter(~language_id.in_fold("doc_id", 3, 1)))
+    return language_id.identify(docs, model).filter(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal texts one stays."""
     return exact_dedup.keep_one(docs)
@@ -22,9 +30,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return jaccard_join.keep_representatives(docs)
 
 
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in sequences of 4096 tokens."""
+    return packing.pack(packing.tokenized_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", keep_identified),
     ("exact dedup", drop_copies),
     ("jaccard join", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
 ]
 
 #: A classifier, a tokenizer and alignments are no SQL; tests hold the stages against brute force.

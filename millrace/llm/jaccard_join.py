@@ -27,6 +27,8 @@ SPARE = 15
 #: Elements gathered before a map task sends them on, and blobs per shuffle partition.
 _SEND = 1 << 19
 _BLOBS = 4
+#: Hubs of a list in a turn after the first.
+HUBS = 4
 #: The sets a broadcast may hold; beyond it the same join shuffles.
 BROADCAST_SETS = 200_000
 
@@ -221,10 +223,20 @@ def _open_lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
     return now.join(mixed, "element")
 
 
+def _open_work(lists: DataFrame) -> tuple[int, int]:
+    """How many pairs of different groups the lists hold, counted once per list, and how many entries."""
+    own = lists.groupBy("element", "group").agg(F.count("*").cast("double").alias("n"))
+    sums = own.groupBy("element").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    left, entries = sums.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.sum("n")).first()
+    return int(left or 0), int(entries or 0)
+
+
 def _hub_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each list's members of other groups beside one set of the list: fewer pairs than entries, however long the list."""
-    head = F.struct(F.xxhash64("set_id", F.lit(turn)).alias("draw"), F.col("set_id").alias("a"), F.col("n").alias("m"), F.col("group").alias("own"))
-    met = lists.join(lists.groupBy("element").agg(F.min(head).alias("head")), "element")
+    """Each list's members of other groups beside a few sets of the list: a few pairs per entry, however long the list."""
+    draw = F.xxhash64("set_id", F.lit(turn))
+    head = F.struct(draw.alias("draw"), F.col("set_id").alias("a"), F.col("n").alias("m"), F.col("group").alias("own"))
+    heads = lists.groupBy("element", F.pmod(draw, F.lit(HUBS if turn else 1)).alias("part")).agg(F.min(head).alias("head"))
+    met = lists.join(heads.drop("part"), "element")
     met = met.filter(F.col("group") != F.col("head.own")).filter(_sizes_fit("n", "head.m", percent))
     return met.select(F.col("head.a").alias("a"), F.col("set_id").alias("b")).distinct()
 
@@ -276,23 +288,25 @@ def set_groups(docs: DataFrame, signs: DataFrame, width: int = WIDTH, percent: i
     """``set_id, group`` of the sets that can have a link to a different set; linked sets have one group.
 
     Turn by turn, one set of each list, drawn anew, is its hub and compared with the members of other groups, and groups
-    with a link become one. When a turn finds no link, all pairs that are still open are compared.
+    with a link become one. When that closes less than a twentieth of what is open, or little is, all pairs still open are compared.
     """
     sets = _linkable_sets(docs, signs, width, percent)
     postings = stored(_postings(sets, percent), "postings")
     linked = 100 * F.col("both") >= percent * F.col("either")
     groups = stored(postings.select("set_id").distinct().withColumn("group", F.col("set_id")), "set-groups")
-    hubs, turn = None, 0
+    hubs, turn, before = None, 0, None
     while True:
         lists = stored(_open_lists(postings, groups), "open-lists")
+        left, entries = _open_work(lists)
+        if hubs is not None and (left <= 2 * entries or 20 * left > 19 * before):
+            break
+        before = left
         found = _hub_pairs(lists, turn, percent)
         if hubs is not None:
             found = found.join(hubs.select("a", "b"), ["a", "b"], "left_anti").join(hubs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         found = stored(_verified(found, sets), "hub-pairs")
         hubs = found if hubs is None else hubs.unionByName(found)
         links = found.filter(linked).select("a", "b")
-        if links.isEmpty():
-            break
         groups, postings, turn = _merged(groups, links), lists.drop("group"), turn + 1
     rest = stored(_verified(_other_pairs(lists, hubs.select("a", "b", "distance"), percent), sets).filter(linked).select("a", "b"), "rest-links")
     return groups if rest.isEmpty() else _merged(groups, rest)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, jaccard_join, language_id, packing
+from millrace.llm import decontamination, exact_dedup, html_text, jaccard_join, language_id, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,16 @@ def op1_packing(spark, sf_dir):
     """All documents in sequences of at most 4096 tokens."""
     pieces = packing.tokenized_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces)
+
+
+@query
+def op10_decontamination(spark, sf_dir):
+    """Documents that hold passages of the benchmark, with the best overlap of each item."""
+    found = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
+@query
+def op7_html_extraction(spark, sf_dir):
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
