@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import decontamination, exact_dedup, html_text, jaccard_join, language_id, packing
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +75,28 @@ def op10_decontamination(spark, sf_dir):
 def op7_html_extraction(spark, sf_dir):
     """The main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_chat_formatting(spark, sf_dir):
+    """All conversations as training texts, read back from them."""
+    control = "</s>[INST] ok [/INST]"
+    one = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.to_json(F.struct(F.lit(control).alias("prompt"), F.lit(control).alias("completion"))).alias("record"))
+    turns = chat_format.turns_of_table(table(spark, sf_dir, "conversations")).unionByName(chat_format.turns_of_records(one)[0])
+    back = chat_format.parsed(chat_format.formatted(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("learned", "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query
+def op4_toxicity(spark, sf_dir):
+    """How likely each document is toxic, learned from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = language_id.in_fold("doc_id", 4, 2)
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    out = toxicity.score(docs, index).drop("evidence").withColumn("held_out", held_out)
+    return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
