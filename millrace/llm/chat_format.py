@@ -68,6 +68,16 @@ def turns_of_table(rows: DataFrame) -> DataFrame:
     raise ValueError("no mapping for these columns: " + ", ".join(rows.columns))
 
 
+def _canonical(m: Mapping):
+    def turn(x):
+        role = x[m.role]
+        for old, new in m.roles.items():
+            role = F.when(x[m.role] == old, new).otherwise(role)
+        return F.struct(role.alias("role"), x[m.text].alias("text"))
+
+    return turn
+
+
 def turns_of_records(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> tuple[DataFrame, DataFrame]:
     """Turns of JSON records ``conv_id, record``, and the records no mapping fits (``conv_id, record, reason``).
 
@@ -81,13 +91,7 @@ def turns_of_records(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPING
         if m.turns:
             got = F.try_variant_get("v", m.turns, f"array<struct<`{m.role}`:string,`{m.text}`:string>>")
 
-            def canonical(x, m=m):
-                role = x[m.role]
-                for old, new in m.roles.items():
-                    role = F.when(x[m.role] == old, new).otherwise(role)
-                return F.struct(role.alias("role"), x[m.text].alias("text"))
-
-            made = F.transform(got, canonical)
+            made = F.transform(got, _canonical(m))
         else:
             made = F.array(*[F.struct(F.lit(role).alias("role"), F.try_variant_get("v", path, "string").alias("text")) for role, path in m.parts])
         fits = F.col("print") == record_fingerprint(F.parse_json(F.lit(m.example)))

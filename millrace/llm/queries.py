@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, packing, toxicity
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, language_model, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,9 @@ def op4_toxicity(spark, sf_dir):
     index = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
     out = toxicity.score(docs, index).drop("evidence").withColumn("held_out", held_out)
     return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
+@query
+def op3_lm_scoring(spark, sf_dir):
+    """The log10 probability of every document, learned from six sevenths of them."""
+    return language_model.scored(table(spark, sf_dir, "documents"), language_id.in_fold("doc_id", 7, 2))
