@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, language_model, packing, toxicity
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, language_model, line_dedup, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -106,3 +106,9 @@ def op4_toxicity(spark, sf_dir):
 def op3_lm_scoring(spark, sf_dir):
     """The log10 probability of every document, learned from six sevenths of them."""
     return language_model.scored(table(spark, sf_dir, "documents"), language_id.in_fold("doc_id", 7, 2))
+
+
+@query
+def op6_line_dedup(spark, sf_dir):
+    """Which lines of each document go because an equal or similar line stays elsewhere."""
+    return line_dedup.documents_lines(line_dedup.line_decisions(table(spark, sf_dir, "documents"))).drop("text_key")
