@@ -134,34 +134,55 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if held:
             yield flush(held)
 
+    def totals(refs, counts):
+        named, at = np.unique(np.concatenate(refs), return_inverse=True)
+        return named, np.bincount(at, np.concatenate(counts), len(named)).astype(np.uint64)
+
     def answer(batches):
-        elements, refs = [], []
+        elements, refs, told, counts = [], [], [], []
         for batch in batches:
             for counted, a, b in zip(batch.column("counted").to_pylist(), batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 if counted:
-                    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                    yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["ref", "shared"])
+                    told.append(np.frombuffer(a, np.uint64))
+                    counts.append(np.frombuffer(b, np.uint64))
                 else:
                     elements.append(_unpacked(a))
                     refs.append(_unpacked(b))
-        if not elements:
-            return
-        e, r = np.concatenate(elements), np.concatenate(refs)
-        del elements, refs
-        order = np.argsort(e, kind="stable")
-        e, r = e[order], r[order]
-        first = np.concatenate([[True], e[1:] != e[:-1]])
-        starts = np.flatnonzero(first)
-        # shared: known to be, or named by two different sets
-        known = np.maximum.reduceat((r == 0).astype(np.int8), starts) > 0
-        lows, highs = np.minimum.reduceat(r, starts), np.maximum.reduceat(r, starts)
-        shared = (known | (lows != highs))[np.cumsum(first) - 1]
-        named, counts = np.unique(r[shared & (r != 0)], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(named.view(np.int64)), pa.array(counts.astype(np.int64))], ["ref", "shared"])
+        if elements:
+            e, r = np.concatenate(elements), np.concatenate(refs)
+            del elements, refs
+            order = np.argsort(e, kind="stable")
+            e, r = e[order], r[order]
+            first = np.concatenate([[True], e[1:] != e[:-1]])
+            starts = np.flatnonzero(first)
+            # shared: known to be, or named by two different sets
+            known = np.maximum.reduceat((r == 0).astype(np.int8), starts) > 0
+            lows, highs = np.minimum.reduceat(r, starts), np.maximum.reduceat(r, starts)
+            shared = (known | (lows != highs))[np.cumsum(first) - 1]
+            named, n = np.unique(r[shared & (r != 0)], return_counts=True)
+            told.append(named)
+            counts.append(n.astype(np.uint64))
+        if told:
+            named, n = totals(told, counts)
+            to = mix(named) % np.uint64(buckets)
+            order = np.argsort(to, kind="stable")
+            pieces = [x for x in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(x)]
+            columns = [pa.array([int(to[x[0]]) for x in pieces], pa.int64()), *(pa.array([v[x].tobytes() for x in pieces], pa.binary()) for v in (named, n))]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "a", "b"])
+
+    def add_up(batches):
+        refs, counts = [], []
+        for batch in batches:
+            refs += [np.frombuffer(x, np.uint64) for x in batch.column("a").to_pylist()]
+            counts += [np.frombuffer(x, np.uint64) for x in batch.column("b").to_pylist()]
+        if refs:
+            named, n = totals(refs, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(named.view(np.int64)), pa.array(n.view(np.int64))], ["ref", "shared"])
 
+    width_ = shuffle_width(docs.sparkSession)
     asked = in_arrow(docs.select("text"), ask, "bucket long, counted boolean, a binary, b binary")
-    replies = in_arrow(asked.repartition(shuffle_width(docs.sparkSession), "bucket"), answer, "ref long, shared long")
-    return replies.groupBy("ref").agg(F.sum("shared").alias("shared"))
+    told = in_arrow(asked.repartition(width_, "bucket"), answer, "bucket long, a binary, b binary")
+    return in_arrow(told.repartition(width_, "bucket"), add_up, "ref long, shared long")
 
 
 def _linkable_sets(docs: DataFrame, signs: DataFrame, width: int, percent: int) -> DataFrame:

@@ -27,7 +27,7 @@ UNKNOWN = "und"
 #: Features: hashed byte pairs and triples.
 DIMENSIONS = 1 << 12
 #: Bound of the labelled rows a classifier is fitted on, over all languages together.
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 2000
 _ROWS = 512
 _STEPS = 120
 _RIDGE = 1e-3
@@ -174,7 +174,10 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel |
 
     found = in_arrow(picked, run, "lang string, key long, x binary").toArrow().sort_by([("lang", "ascending"), ("key", "ascending")])
     langs = np.array(found.column("lang").to_pylist(), object)
-    x = np.frombuffer(b"".join(found.column("x").to_pylist()), np.float16).reshape(len(langs), DIMENSIONS).astype(np.float32)
+    x = np.empty((len(langs), DIMENSIONS), np.float32)
+    for k, vector in enumerate(found.column("x")):
+        x[k] = np.frombuffer(vector.as_buffer(), np.float16)
+    del found
     members: dict[str, list[str]] = {}
     for lang in sorted(set(langs)):
         members.setdefault(family_of(lang), []).append(lang)
