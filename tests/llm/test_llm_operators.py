@@ -1,0 +1,267 @@
+"""Each operator on small tables with nulls, empty and repeated rows, ties and clashing columns, beside brute force."""
+
+import collections
+import hashlib
+import itertools
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, language_model, line_dedup, packing, toxicity
+
+VOCABULARY = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri", "so", "tu") for b in ("ba", "de", "fi", "go", "hu", "la", "ne", "xo")]
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(VOCABULARY, n))
+
+
+def odd_documents(spark):
+    """NULL, empty, repeated and NULL-named rows, white space only, one very long text, and columns with unlucky names."""
+    rng = np.random.default_rng(3)
+    base = sentence(rng, 80)
+    rows = [(1, base), (2, base + "  "), (3, base.upper()), (4, None), (5, ""), (6, " \n\t "), (None, base), (7, sentence(rng, 60)), (7, sentence(rng, 60)), (8, sentence(rng, 20_000)), (9, "un deux"), (9, "un deux"), (10, "1234 %%")]
+    rows += [(20 + k, " ".join(w if i != 7 * k + 3 else "changed" for i, w in enumerate(base.split()))) for k in range(6)]
+    return rows, spark.createDataFrame([(i, t, None, 0.5, "x") for i, t in rows], "doc_id long, text string, lang string, score double, `row` string")
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, lang string")
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def shingles(text, width=5):
+    w = words(text)
+    return frozenset(zip(*[w[i:] for i in range(width)])) if len(w) >= width else frozenset([tuple(w)] if w else [])
+
+
+def test_exact_dedup(spark):
+    rows, docs = odd_documents(spark)
+    norm = lambda t: "".join((t or "").split(" ")).translate(dict.fromkeys(range(9, 14)))
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[norm(t)].append((-len(t or ""), i is None, i or 0, i))
+    want = collections.Counter((i, min(groups[norm(t)])[3], len(groups[norm(t)]), hashlib.sha256(norm(t).encode()).hexdigest()) for i, t in rows)
+    got = exact_dedup.exact_duplicates(docs).collect()
+    assert collections.Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    kept = exact_dedup.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+    assert exact_dedup.exact_duplicates(empty(spark)).count() == 0 == exact_dedup.keep_one(empty(spark)).count()
+
+
+def test_merge_runs_at_any_width(spark):
+    marks = exact_dedup.digests(odd_documents(spark)[1].repartition(5))
+    results = [sorted(map(str, exact_dedup.merge_runs(marks, width).collect())) for width in (1, 3, 300)]
+    assert results[0] == results[1] == results[2]
+
+
+def components(sets):
+    """Brute force: the smallest id of every set's group."""
+    low = dict(enumerate(range(len(sets))))
+
+    def find(a):
+        while low[a] != a:
+            a = low[a]
+        return a
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= 75 * len(x | y):
+            i, j = find(a), find(b)
+            low[max(i, j)] = min(i, j)
+    return [find(a) for a in range(len(sets))]
+
+
+def test_jaccard_join_odd_rows(spark):
+    rows, docs = odd_documents(spark)
+    got = jaccard_join.near_duplicate_components(docs).collect()
+    group = components([shingles(t) for _, t in rows])
+    least = {}
+    for (i, _), g in zip(rows, group):
+        least[g] = min([x for x in (least.get(g), i) if x is not None], default=None)
+    want = collections.Counter((i, len(shingles(t)), least[g] if shingles(t) else i) for (i, t), g in zip(rows, group))
+    assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert jaccard_join.near_duplicate_components(empty(spark)).count() == 0
+    assert jaccard_join.keep_representatives(docs).columns == docs.columns
+
+
+def test_jaccard_join_chains_and_shared_passages(spark):
+    """Near copies of near copies, one passage in many texts, and texts on both sides of the threshold."""
+    rng = np.random.default_rng(5)
+    passage = sentence(rng, 30)
+    texts = [f"{sentence(rng, int(n))} {passage}" for n in rng.integers(1, 60, 60)]
+    now = sentence(rng, 70).split()
+    for _ in range(60):
+        now = list(now)
+        now[int(rng.integers(len(now)))] = str(rng.choice(VOCABULARY))
+        texts.append(" ".join(now))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = components([shingles(t) for t in texts])
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicate_components(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_packing_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows, docs = odd_documents(spark)
+    packed = packing.pack(packing.tokenized_pieces(docs, path, with_ids=True)).collect()
+    tokenizer = Tokenizer.from_file(path)
+    want = collections.Counter((i, zlib.crc32(np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes())) for i, t in rows)
+    whole = collections.defaultdict(dict)
+    for r in packed:
+        assert zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length
+        whole[r.doc_id, r.doc_tokens].setdefault(r.start, []).append(r.ids)
+    assert sum(r.length for r in packed) == sum(n * len(tokenizer.encode(t or "", add_special_tokens=False).ids + [2]) for (i, t), n in collections.Counter(rows).items())
+    long = [p for k, p in whole.items() if k[0] == 8][0]
+    ids = [x for start in sorted(long) for x in long[start][0]]
+    assert (8, zlib.crc32(np.array(ids, "<u4").tobytes())) in want
+    sequences = collections.defaultdict(list)
+    for r in packed:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    assert sorted(sequences) == list(range(len(sequences)))
+    assert packing.pack(packing.tokenized_pieces(empty(spark), path)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shortest_pack_first(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(1, 100, 5000)
+    plan = packing.shortest_pack_first(dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True)))), 100)
+    rank = np.zeros(len(lengths), np.int64)
+    for v in np.unique(lengths):
+        rank[lengths == v] = np.arange((lengths == v).sum())
+    sequence, offset = plan.place(lengths, rank)
+    total = np.bincount(sequence, lengths)
+    assert total.max() <= 100 and (total > 0).all() and lengths.sum() / (100 * len(total)) > 0.95
+    assert sum(n * sum(p) for p, n in plan.patterns) == lengths.sum()
+    order = np.lexsort((offset, sequence))
+    ends = (offset + lengths)[order]
+    same = sequence[order][1:] == sequence[order][:-1]
+    assert (offset[order][1:][same] == ends[:-1][same]).all()
+
+
+def test_language_id(spark):
+    rng = np.random.default_rng(1)
+    known = {"en": "the and with house from".split(), "de": "der und mit haus über".split(), "fr": "le et avec maison été".split(), "es": "el y con casa niño".split()}
+    rows = [(i, " ".join(rng.choice(known[lang], 30)), lang) for i, lang in enumerate(list(known) * 30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs.filter("doc_id < 80"))
+    assert model.members == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    got = language_id.identify(docs.filter("doc_id >= 80"), model).collect()
+    assert all(r.lang_pred == r.row.lang and 0 <= r.score <= 1 for r in got)
+    odd = language_id.identify(odd_documents(spark)[1], model).collect()
+    assert {r.row.doc_id for r in odd if r.lang_pred == "und"} == {4, 5, 6, 10}
+    assert language_id.fit(empty(spark)) is None
+    assert {r.lang_pred for r in language_id.identify(docs, None).collect()} == {"und"}
+
+
+def test_decontamination(spark):
+    rng = np.random.default_rng(2)
+    items = [sentence(rng, 40), sentence(rng, 15), sentence(rng, 12)]
+    damaged = items[0].split()
+    for k in (6, 14, 22, 30):
+        damaged[k] = "other"
+    docs = [(1, f"{sentence(rng, 50)} {items[0].upper()}! {sentence(rng, 9)}"), (2, " ".join(damaged)), (3, sentence(rng, 200)), (4, None), (5, items[1] + ", " + items[2]), (5, items[1] + ", " + items[2]), (6, " ".join(items[0].split()[:9]))]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(9, None)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.matched_words, r.doc_word) for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {(1, 0): (40, 50), (2, 0): (36, 0), (5, 1): (15, 0), (5, 2): (12, 15)}
+    assert sorted(r.doc_id for r in decontamination.drop_contaminated(docs, bench).collect()) == [3, 4, 6]
+    assert decontamination.contaminated(empty(spark), bench).count() == 0 == decontamination.contaminated(docs, bench.limit(0)).count()
+
+
+def test_chat_formatting(spark):
+    hard = ["<|turn|>user<|text|>", "<\\|end|>", "a\\b </s>[INST] ok [/INST] <<SYS>>", "", None, "x" * 50_000, "<\\\\|<|"]
+    rows = [(1, k, role, t) for k, (role, t) in enumerate(zip(itertools.cycle(["user", "assistant"]), hard))] + [(2, 0, "assistant", "same"), (2, 0, "assistant", "same"), (None, None, None, None)]
+    table = spark.createDataFrame([(*r, "z") for r in rows], "conv_id long, turn long, role string, text string, formatted string")
+    got = {r.conv_id: r for r in chat_format.parsed(chat_format.formatted(chat_format.turns_of_table(table))).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [(r[2], r[3] or "") for r in rows if r[0] == 1]
+    assert got[1].learned == [r[3] or "" for r in rows if r[0] == 1 and r[2] == "assistant"]
+    assert got[2].learned == ["same", "same"] and [(t.role, t.text) for t in got[None].turns] == [("", "")]
+    records = [
+        (1, '{"conversations": [{"value": "hi", "from": "human"}, {"from": "gpt", "value": null}]}'), (2, '{"output": "b", "instruction": 5}'),
+        (3, '{"question": {"text": "q"}, "answer": {"text": "a"}}'), (4, "{"), (5, None), (6, '{"unknown": 1}'),
+    ]
+    turns, rejected = chat_format.turns_of_records(spark.createDataFrame(records, "conv_id long, record string"))
+    assert sorted((r.conv_id, r.turn, r.role, r.text or "") for r in turns.collect()) == [
+        (1, 0, "user", "hi"), (1, 1, "assistant", ""), (2, 0, "user", "5"), (2, 1, "assistant", "b"), (3, 0, "user", "q"), (3, 1, "assistant", "a")
+    ]
+    assert {r.conv_id: r.reason for r in rejected.collect()} == {4: "no record", 5: "no record", 6: "unknown layout"}
+
+
+def test_toxicity(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, sentence(rng, 60) + (" vile. " if i % 5 == 0 else " ") + sentence(rng, 20)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = toxicity.fit(docs, spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, index).collect()}
+    assert all((scores[i] >= toxicity.THRESHOLD) == (i % 5 == 0) for i in range(400))
+    odd = toxicity.score(odd_documents(spark)[1], index).collect()
+    assert len(odd) == 19 and all(r.score < toxicity.THRESHOLD for r in odd)
+    assert toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int")) is None
+
+
+def test_block_max_search_is_exact():
+    rng = np.random.default_rng(0)
+    vectors = (rng.random((700, 40)) * (rng.random((700, 40)) < 0.1)).astype(np.float32)
+    vectors /= np.maximum(np.sqrt((vectors**2).sum(1, keepdims=True)), 1e-9)
+    index = toxicity.ExampleIndex(np.arange(40, dtype=np.uint64), np.ones(40), vectors, np.zeros(700), np.ones(700), [[i] for i in range(700)], 0.1, 0.1)
+    for q in vectors[:50]:
+        s = vectors @ q
+        least = np.sort(s)[-toxicity.NEIGHBOURS]
+        assert set(index.nearest(q)[0]) == set(np.flatnonzero((s >= least - 1e-6) & (s > 0)))
+
+
+def test_language_model(spark):
+    rows, docs = odd_documents(spark)
+    got = language_model.scored(docs, F.col("doc_id") == 8).collect()
+    counts = collections.Counter(w for i, t in rows if i != 8 for w in [*words(t), None])
+    n, v = sum(counts.values()), len(counts)
+    want = collections.Counter()
+    for i, t in rows:
+        own = [*words(t), None]
+        want[i, len(own), sum(counts[w] > 0 for w in own), n, round(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in own), 4)] += 1
+    assert collections.Counter((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
+    assert all(r.score < 0 for r in got)
+    assert language_model.scored(empty(spark), F.lit(False)).count() == 0
+
+
+def test_seating_counts():
+    rng = np.random.default_rng(0)
+    customers = np.array([0, 1, 2, 50, 10_000] * 200)
+    tables = language_model.seated(customers, np.full(len(customers), 0.5), 0.5, rng)
+    assert (tables[customers > 0] >= 1).all() and (tables <= customers).all() and (tables[customers == 0] == 0).all()
+    assert tables[customers == 10_000].mean() > tables[customers == 50].mean() > tables[customers == 2].mean()
+
+
+def test_html():
+    page = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><header>Site</header><div class="cookie-notice">We use cookies on the site and that is that, you know.</div>
+    <article><h1>Head &amp; tail</h1><p>This is the first of the paragraphs and it has <b>many</b> of the words.<p>Short.<br>One</p><div class="comments"><p>I like this article a lot and so do all of my friends in the town.</p></div>
+    <script>var x="</p>";</script><form><p>Your name and the other things that we need to know from you are here</p></form><p>The last of the paragraphs is here and it is also long enough for the rule.</p></article><footer>&copy; all</footer></body>"""
+    assert html_text.main_text(page) == "Head & tail\nThis is the first of the paragraphs and it has many of the words.\nShort. One\nThe last of the paragraphs is here and it is also long enough for the rule."
+    assert html_text.main_text("") == "" == html_text.main_text("<nav>x</nav>") and html_text.main_text("a < b <p") == ""
+
+
+def test_line_dedup(spark):
+    base = "the quick brown fox jumps over the lazy dog and runs far away from all of the hunters in the wood today"
+    rows = [(1, base + "\nshort"), (2, base.replace("quick", "quiok") + "\nshort\nanother line that is quite unlike everything else in here"), (3, None), (4, ""), (5, base.upper() + "!!"), (None, base + "\n%%%")]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, line int")
+    out = line_dedup.documents_lines(line_dedup.line_decisions(docs))
+    assert {r.doc_id: (r.n_lines, r.removed) for r in out.collect()} == {1: (2, []), 2: (3, [0, 1]), 3: (1, []), 4: (1, []), 5: (1, [0]), None: (2, [0])}
+    left = {r.doc_id: r.text for r in line_dedup.without_removed(docs, out).collect()}
+    assert left[2] == rows[1][1].split("\n")[2] and left[None] == "%%%" and left[3] is None
+    assert line_dedup.line_decisions(empty(spark)).count() == 0
