@@ -89,7 +89,11 @@ def typed(
         value = cast_field(record, f, strict, normalize_utc)
         if f.name == spec.key and strict:
             value = _must_exist(value, f)
-        columns.append(apply_length(value, f, on_long).alias(f.name))
+        # a key is never cut: two keys that differ behind the cut would become one
+        rule = on_long
+        if f.name == spec.key and on_long == "truncate":
+            rule = "fail" if strict else "quarantine"
+        columns.append(apply_length(value, f, rule).alias(f.name))
         if f.path is None:
             continue
         if not strict:
@@ -97,7 +101,7 @@ def typed(
             if f.name != spec.key:
                 bad = bad & F.try_variant_get(record, f.path, "string").isNotNull()
             problems.append(F.when(bad, F.lit(f.name)))
-        if on_long == "quarantine" and f.type == "string" and f.length is not None:
+        if rule == "quarantine" and f.type == "string" and f.length is not None:
             problems.append(F.when(F.length(value) > f.length, F.lit(f.name)))
     lineage = [F.col(c) for c in (*spec.change_names, LOADED_AT, SOURCE_FILE, BATCH_ID, POSITION)]
     if problems:

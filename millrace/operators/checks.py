@@ -75,10 +75,11 @@ def raw_in_list(raw: DataFrame, spec: TableSpec, keys: Sequence[int | str] | Dat
     is. A key table is shuffled, or broadcast by Spark once it has seen its size.
     """
     if not isinstance(keys, DataFrame):
-        if len(keys) <= IN_LIST_MAX:
-            return raw.filter(raw_key(spec).isin(list(keys)))
+        # keys may come as text; a list of any length reads them as the key's type
         type_ = spec.typed_schema[spec.key].dataType.simpleString()
-        listed = raw.sparkSession.createDataFrame([(k,) for k in keys], f"{spec.key} {type_}")
+        if len(keys) <= IN_LIST_MAX:
+            return raw.filter(raw_key(spec).isin([F.lit(str(k)).cast(type_) for k in keys]))
+        listed = raw.sparkSession.createDataFrame([(str(k),) for k in keys], "k string").select(F.col("k").cast(type_).alias(spec.key))
         keys = F.broadcast(listed) if fits_broadcast(spec, len(keys)) else listed
     return raw.join(keys.select(F.col(spec.key).alias("_wanted")), raw_key(spec) == F.col("_wanted"), "left_semi")
 

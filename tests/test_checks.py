@@ -15,9 +15,11 @@ def test_point_lookup_and_lists(spark, monkeypatch):
     assert checks.raw_point_lookup(raw, CUSTOMERS, 2).count() == 2
     short = checks.raw_in_list(raw, CUSTOMERS, [2, 3, 9])
     assert short.count() == 3 and "Join" not in plan(short)
+    assert checks.raw_in_list(raw, CUSTOMERS, ["2", "3"]).count() == 3
     monkeypatch.setattr(checks, "IN_LIST_MAX", 2)
     long = checks.raw_in_list(raw, CUSTOMERS, [2, 3, 9])
     assert long.count() == 3 and "BroadcastHashJoin" in plan(long) and "LeftSemi" in plan(long)
+    assert checks.raw_in_list(raw, CUSTOMERS, ["2", "3", "9"]).count() == 3  # text keys, on either side of the limit
     keys = spark.createDataFrame([(2,), (3,), (9,)], "id bigint")
     assert checks.raw_in_list(raw, CUSTOMERS, keys).count() == 3
 

@@ -105,3 +105,14 @@ def test_quarantine_names_the_bad_columns(spark):
 def test_converted_records_keep_micros_and_known_fields(spark):
     raw = raw_customers(spark, [({"id": 1, "updated_at": "2024-01-01T00:00:00.000001", "colour": "red"},)])
     assert convert_record(raw, CUSTOMERS).first().value == '{"id":1,"updated_at":"2024-01-01T00:00:00.000001"}'
+
+
+def test_key_is_never_cut(spark):
+    from millrace.specs import ACCOUNTS
+
+    raw = raw_customers(spark, [({"Id": "001000000000000AAAx", "Name": "a"},), ({"Id": "001000000000000AAA", "Name": "b"},)], ACCOUNTS)
+    with pytest.raises(Exception, match="sf_id is longer than 18"):
+        typed(raw, ACCOUNTS).collect()
+    good, bad = split_bad(typed(raw, ACCOUNTS, on_bad="quarantine"))
+    assert [r.sf_id for r in good.collect()] == ["001000000000000AAA"]
+    assert bad.first()._bad_fields == ["sf_id"]
