@@ -15,8 +15,10 @@ from millrace.llm._arrow import in_arrow
 from millrace.llm._scratch import shuffle_width, stored
 
 CAPACITY = 4096
-#: Words whose ids a task keeps; when full it starts anew.
+#: Words whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
 _KNOWN_WORDS = 400_000
+#: New words are encoded this many at a time, with this character between them where it has an id of its own.
+_AT_ONCE, _BETWEEN = 500, "\x01"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -37,16 +39,45 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
+        self.between = between[0] if len(between) == 1 else None
+
+    def _apart(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, "<u4").tobytes() for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word, in runs that share the cost of a call."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        if self.between is None:
+            return self._apart(texts)
+        runs = [texts[k : k + _AT_ONCE] for k in range(0, len(texts), _AT_ONCE)]
+        out = []
+        for run, found in zip(runs, self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.between).tolist()
+            if len(cuts) != len(run) - 1:  # a word holds the character itself
+                out += self._apart(run)
+                continue
+            raw = ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
+        return out
 
     def ids(self, text: str) -> bytes:
         words = text.encode("utf-8", "surrogatepass").split()
-        new = list({w for w in words if w not in self.known})
+        new = {w for w in words if w not in self.known}
         if new:
             if len(self.known) + len(new) > _KNOWN_WORDS:
-                self.known.clear()
-                new = list(set(words))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+                self.older, self.known = self.known, {}
+                new = set(words)
+            unseen = []
+            for word in new:
+                found = self.older.get(word)
+                if found is None:
+                    unseen.append(word)
+                else:
+                    self.known[word] = found
+            self.known.update(zip(unseen, self._encoded(unseen)))
         return b"".join(map(self.known.__getitem__, words)) + self.end
 
 
