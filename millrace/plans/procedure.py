@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.functions.typed import typed
 from millrace.operators.merge import as_changes, reduce_batch
 from millrace.specs import BATCH_ID, LOAD_ID, SPECS, TableSpec
 from millrace.storage import Store
-from millrace.streaming.loader import LOAD_STEP, LoadOptions
+from millrace.streaming.loader import LoadOptions
 
 # The two answers of the procedure.
 MERGED = "OK: merged batch {batch} for table {table}"
@@ -31,13 +33,9 @@ def merge_cdc_batch(
     if spec is None:
         return UNKNOWN_TABLE.format(table=table)
     raw = store.raw(spec)
-    last_raw = raw.agg(F.max(LOAD_ID)).first()[0]
     if batch_id is not None:
         raw = raw.filter(F.col(BATCH_ID) == batch_id)
-    known = [n for n in (last_raw, store.last_load(spec)) if n is not None]
-    load_id = max(known, default=0) + 1
-    if load_id % LOAD_STEP == 0:
-        raise RuntimeError(f"{table}: too many merges by hand since the last load")
+    load_id = store.load_id(spec, "hand", uuid.uuid4().hex)
     rows = typed(raw.drop(LOAD_ID), spec, "fail", options.on_long, options.normalize_utc)
     changes = rows if spec.changelog else as_changes(reduce_batch(rows, spec), spec, options.started())
     store.write_changes(spec, changes, load_id)

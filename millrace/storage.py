@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.loads import LoadIds
 from millrace.operators.merge import apply_changelog, fold_loads, insert_all, merge_changes
 from millrace.specs import (
     BATCH_ID,
@@ -172,8 +173,25 @@ class Store:
         """Changes lie beside those of the same base, so a read lists only what it needs."""
         return f"{self.root}/{spec.namespace}/{spec.name}/changes/after={'start' if base is None else base}"
 
+    def load_id(self, spec: TableSpec, source: str, batch: str) -> int:
+        """The id of a source's batch: the one it had if it is repeated, else one no load of the table has.
+
+        Streams, polls and merges by hand all ask here, so none can take another's folders.
+        """
+        ids = LoadIds(self.spark, f"{self.root}/state/loads/{spec.namespace}_{spec.name}")
+        return ids.take(source, batch, None if ids.started() else lambda: self._highest(spec))
+
+    def _highest(self, spec: TableSpec) -> int | None:
+        """The highest id that raw or typed data have."""
+        found = [self.raw(spec).agg(F.max(LOAD_ID)).first()[0], self.last_load(spec)]
+        return max((n for n in found if n is not None), default=None)
+
     def write_changes(self, spec: TableSpec, changes: DataFrame, load_id: int) -> None:
-        self.write_load(changes, self.changes_path(spec, self.base_version(spec)), load_id)
+        """Changes of a load; if a base already goes beyond it, they follow that base under an id of their own."""
+        base = self.base_version(spec)
+        if base is not None and load_id <= base:
+            load_id = self.load_id(spec, "late", f"{load_id}/{base}")
+        self.write_load(changes, self.changes_path(spec, base), load_id)
 
     def changes(self, spec: TableSpec, base: int | None) -> DataFrame:
         """Changes of the loads after ``base``."""

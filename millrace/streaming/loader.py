@@ -20,11 +20,6 @@ from millrace.sources.stage import read_stage, record_position, with_line_number
 from millrace.specs import LOADED_AT, OP_POLLED, POSITION_TYPE, RECORD, SOURCE_FILE, TableSpec
 from millrace.storage import Store
 
-# Load ids of one checkpoint follow each other at this distance, which leaves room for
-# merges asked for by hand in between; a reset starts a new, higher range.
-LOAD_STEP = 1000
-LOADS_PER_GENERATION = 10**12
-
 DEFAULT_TRIGGER = {"processingTime": "1 minute"}
 
 
@@ -127,8 +122,10 @@ def load_batch(store: Store, spec: TableSpec, lines: DataFrame, load_id: int, op
     write_audit(store, spec, load_id, started, options.started())
     if options.merge:
         merge_load(store, spec, store.raw(spec, load_id), load_id, options, started)
-        if options.compact_every and (load_id // LOAD_STEP + 1) % options.compact_every == 0:
-            store.compact(spec)
+        if options.compact_every:
+            base = store.base_version(spec)
+            if load_id - (-1 if base is None else base) >= options.compact_every:
+                store.compact(spec)
 
 
 def start_stream(
@@ -151,7 +148,7 @@ def start_stream(
     lines = read_stage(store.spark, stage_root, spec.namespace, spec.name, stream=True, whole=whole, **rate)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        load_batch(store, spec, batch, generation * LOADS_PER_GENERATION + batch_id * LOAD_STEP, options)
+        load_batch(store, spec, batch, store.load_id(spec, "stream", f"{generation}/{batch_id}"), options)
 
     return (
         lines.writeStream.foreachBatch(body)
@@ -193,7 +190,7 @@ def pull_once(
     feed = pull_feed(spec)
     mark = state.get(feed)
     started = options.started()
-    load_id = mark["generation"] * LOADS_PER_GENERATION + mark["seq"] * LOAD_STEP
+    load_id = store.load_id(spec, "pull", f"{mark['generation']}/{mark['seq']}")
     fresh = incremental_pull(source, cursor_col, mark["hwm"], overlap)
     records = fresh.select(
         F.to_variant_object(F.struct(*[F.col(c) for c in source.columns])).alias("record"),
