@@ -265,3 +265,40 @@ def test_line_dedup(spark):
     left = {r.doc_id: r.text for r in line_dedup.without_removed(docs, out).collect()}
     assert left[2] == rows[1][1].split("\n")[2] and left[None] == "%%%" and left[3] is None
     assert line_dedup.line_decisions(empty(spark)).count() == 0
+
+
+def edits(a, b):
+    before = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
+        before = now
+    return before[-1]
+
+
+def test_line_dedup_recall_beside_edit_similarity(spark):
+    """Lines of 5 to 50 words with words changed or characters mistyped: nearly all that brute force calls like are found."""
+    rng = np.random.default_rng(11)
+    pairs = []
+    for n in (5, 10, 15, 20, 30, 50):
+        for kind in ("word", "typo", "typos", "words"):
+            for _ in range(20):
+                line = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 10))) for _ in range(n)]
+                other = list(line)
+                for at in rng.choice(n, {"word": 1, "typo": 1, "typos": 1 + n // 10, "words": 1 + n // 10}[kind], replace=False):
+                    at_char = rng.integers(len(line[at]))
+                    other[at] = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), len(line[at]))) if kind.startswith("word") else line[at][:at_char] + "q" + line[at][at_char + 1 :]
+                a, b = " ".join(line), " ".join(other)
+                if a != b and 1 - edits(a, b) / max(len(a), len(b)) >= line_dedup.SIMILARITY:
+                    pairs.append((n, kind, a, b))
+    docs = spark.createDataFrame([(k, t) for i, p in enumerate(pairs) for k, t in ((2 * i, p[2]), (2 * i + 1, p[3]))], "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.line_decisions(docs).filter("NOT kept").collect()}
+    assert all(k % 2 for k in gone)
+    found, total = collections.Counter(), collections.Counter()
+    for i, (n, kind, _, _) in enumerate(pairs):
+        for key in ((n, ""), (0, kind), (0, "")):
+            total[key] += 1
+            found[key] += 2 * i + 1 in gone
+    print({k: (found[k], total[k]) for k in sorted(total)})
+    assert all(found[k] >= 0.9 * total[k] for k in total) and found[0, ""] >= 0.97 * total[0, ""]
