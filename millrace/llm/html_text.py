@@ -31,7 +31,16 @@ BOILERPLATE = frozenset(
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription share sharing social related recommended recommendations "
     "comment comments disqus reply replies respond discussion widget login signup toolbar tags pagination pager copyright legal disclaimer".split()
 )
+#: Those of them that mark fluent text which is not the article, so density says nothing about it.
+FLUENT = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
+    "comment comments disqus reply replies respond discussion".split()
+)
+#: Elements that hold the page or the article; marks on them tell of the layout (has-sidebar, comments-open).
+WHOLE = frozenset("html body main article".split())
 LONG_WORDS, STOP_SHARE, LINK_SHARE = 10, 0.1, 0.34
+#: A marked element stays with more than half of the page's open text, or so many words of main text that are this share of it.
+HALF, MUCH_WORDS, MUCH_SHARE = 0.5, 40, 0.2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _MARK = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -46,28 +55,43 @@ class Block:
     linked: int
     skipped: bool
     region: int  # 0 outside any article, else the article's number
+    marks: tuple[int, ...] = ()  # the marked elements around it
+    title: bool = False  # within h1 or main
+
+
+@dataclass
+class Mark:
+    """What a marked element's words say."""
+
+    fluent: bool
 
 
-def _marked(attributes: str) -> bool:
+def _mark(attributes: str) -> Mark | None:
+    words = set()
     for m in _MARK.finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
-        if BOILERPLATE.intersection(_PART.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())):
-            return True
+        words |= BOILERPLATE.intersection(_PART.split(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
+    return Mark(bool(words & FLUENT)) if words else None
+
+
+def _hidden(attributes: str) -> bool:
     return bool(attributes) and bool(_HIDDEN.search(attributes))
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The page's blocks in order: text with references decoded and white space folded, and where each lies."""
+def blocks_of(page: str) -> tuple[list[Block], list[Mark]]:
+    """The page's blocks in order: text with references decoded and white space folded, and where each lies; and the marked elements."""
     out: list[Block] = []
     text: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # open elements: name, whether skipped, article number
+    marks: list[Mark] = []
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # open elements: name, whether skipped, article number, marked elements
     state = {"linked": 0, "links": 0, "articles": 0}
 
     def close_block():
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                out.append(Block(whole, state["linked"], bool(stack) and stack[-1][1], stack[-1][2] if stack else 0))
+                _, skipped, region, own = stack[-1] if stack else ("", False, 0, ())
+                out.append(Block(whole, state["linked"], skipped, region, own, bool(own) and any(x[0] in ("h1", "main") and x[3] == own for x in stack)))
         text.clear()
         state["linked"] = 0
 
@@ -98,7 +122,7 @@ def blocks_of(page: str) -> list[Block]:
             state["links"] = 0 if end else 1
         elif name == "br":
             add(" ")
-        if name not in BLOCKS and name not in SKIPPED and not (attributes and _marked(attributes) and name in ("span", "ins")):
+        if name not in BLOCKS and name not in SKIPPED and not (attributes and name in ("span", "ins") and (_mark(attributes) or _hidden(attributes))):
             continue
         if name in ("hr",):
             close_block()
@@ -114,17 +138,47 @@ def blocks_of(page: str) -> list[Block]:
             del stack[next(i for i, x in enumerate(stack) if x[0] == "p") :]
         if name == "body":
             stack.clear()
-        skipped, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        marked = _marked(attributes) if attributes else False
-        if name in ("article", "main") and not marked and not skipped and not region:
+        skipped, region, own = stack[-1][1:] if stack else (False, 0, ())
+        # an article within an article may be a comment
+        mark = _mark(attributes) if attributes and (name not in WHOLE or (name == "article" and any(x[0] == "article" for x in stack))) else None
+        skipped = skipped or _hidden(attributes) or name in SKIPPED
+        if name in ("article", "main") and not skipped and not region:
             state["articles"] += 1
             region = state["articles"]
-        skipped = skipped or marked or name in SKIPPED or (name == "header" and not region)
+        skipped = skipped or (name == "header" and not region)
         if attributes.rstrip().endswith("/") and name not in ("p", "div"):
             continue
-        stack.append((name, skipped, region))
+        if mark:
+            marks.append(mark)
+            own = (*own, len(marks) - 1)
+        stack.append((name, skipped, region, own))
     close_block()
-    return out
+    return out, marks
+
+
+def _skip_marked(blocks: list[Block], marks: list[Mark]) -> None:
+    """Skips what lies in marked elements, but for those that hold the article by the density rules.
+
+    Inner elements are judged first, so that what they hold does not speak for the outer ones.
+    """
+    labels = [_first_pass(b) for b in blocks]
+    open_ = sum(len(b.text) for b, label in zip(blocks, labels) if label is not False)
+    within: list[list[int]] = [[] for _ in marks]
+    for i, b in enumerate(blocks):
+        for k in b.marks:
+            within[k].append(i)
+    for k in range(len(marks) - 1, -1, -1):
+        held = [i for i in within[k] if not blocks[i].skipped]
+        own = sum(len(blocks[i].text) for i in held if labels[i] is not False)
+        main = [blocks[i] for i in held if labels[i]]
+        stays = any(blocks[i].title and blocks[i].marks[-1] == k for i in held)
+        if not marks[k].fluent and main:
+            stays = stays or own > HALF * open_
+            stays = stays or sum(len(_WORD.findall(b.text)) for b in main) >= MUCH_WORDS and own >= MUCH_SHARE * open_
+        if not stays:
+            open_ -= own
+            for i in held:
+                blocks[i].skipped, labels[i] = True, False
 
 
 def _first_pass(b: Block) -> bool | None:
@@ -146,9 +200,11 @@ def main_text(page: str) -> str:
     First pass: a block in a menu, advert, notice, comment or the like, or mostly of links, is boilerplate; a long block with
     enough stop words is main text. Second pass: what is still open takes the label of the nearest decided block of its region (the
     one before on a tie). In a region without any, blocks of an article are main text, others are not. Once a page has
-    an article with main text, blocks outside of articles are boilerplate.
+    an article with main text, blocks outside of articles are boilerplate. A mark on an element that holds the article does not count.
+    Blocks are joined by one line feed.
     """
-    blocks = blocks_of(page)
+    blocks, marks = blocks_of(page)
+    _skip_marked(blocks, marks)
     inside = [b for b in blocks if b.region and not b.skipped]
     if inside:
         blocks = inside

@@ -256,6 +256,32 @@ def test_html():
     assert html_text.main_text("") == "" == html_text.main_text("<nav>x</nav>") and html_text.main_text("a < b <p") == ""
 
 
+P1 = "This is the first of the paragraphs and it has many of the words that one would like to read in a text."
+P2 = "The last of the paragraphs is here and it is also long enough for the rule that we have made for it."
+
+
+@pytest.mark.parametrize(
+    "opening, closing",
+    [
+        ("<body class='has-sidebar'><article>", "</article></body>"),
+        ("<body><article class='post comments-open'>", "</article></body>"),
+        ("<body><main><article class='post comments-open'>", "</article></main></body>"),
+        ("<body><div class='content with-sidebar'>", "</div></body>"),
+        ("<html class='no-sidebar'><body><div class='content with-sidebar'><article>", "</article></div></body></html>"),
+        ("<body><div id='page' class='comments-closed'><main>", "</main></div></body>"),
+    ],
+)
+def test_html_marks_on_what_holds_the_article(opening, closing):
+    aside = "<div class='comments'><p>I like this article a lot and so do all of my friends in the town.</p><article class='comment'><p>So it is for me and for all of us in here.</p></article></div>"
+    page = f"{opening}<p>{P1}</p><p>{P2}</p>{aside}<div class='ad'><p>This is an advert for the best of all of the shoes in the world.</p></div>{closing}"
+    assert html_text.main_text(page) == f"{P1}\n{P2}"
+
+
+def test_html_marks_on_a_section():
+    page = f"<body><article><p>{P1}</p><section id='related-work'><p>{P2}</p><p>{P1}</p></section><div class='related'><a href=x>{P2}</a></div><div hidden><p>{P2}</p></div></article></body>"
+    assert html_text.main_text(page) == f"{P1}\n{P2}\n{P1}"
+
+
 def test_line_dedup(spark):
     base = "the quick brown fox jumps over the lazy dog and runs far away from all of the hunters in the wood today"
     rows = [(1, base + "\nshort"), (2, base.replace("quick", "quiok") + "\nshort\nanother line that is quite unlike everything else in here"), (3, None), (4, ""), (5, base.upper() + "!!"), (None, base + "\n%%%")]
