@@ -240,6 +240,24 @@ def test_language_model(spark):
     assert language_model.scored(empty(spark), F.lit(False)).count() == 0
 
 
+def test_language_model_weighs_tables_by_true_totals(spark):
+    """One very frequent word: scores stay the same however many buckets there are, up to the seatings drawn."""
+    rng = np.random.default_rng(6)
+    rare = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(60)]
+    texts = [" ".join(w for _ in range(4) for w in ("the", "the", "the", str(rng.choice(rare)))) if i % 5 else f"unseen{i} the {rare[i % 60]}" for i in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before, scores = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for width in (1, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", str(width))
+            scores.append({r.doc_id: r.score / r.n_tokens for r in language_model.scored(docs, F.col("doc_id") % 5 == 0).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    off = [abs(scores[0][i] - scores[1][i]) / abs(scores[0][i]) for i in scores[0]]
+    print("largest and mean relative difference", max(off), sum(off) / len(off))
+    assert sum(off) / len(off) < 0.01
+
+
 def test_seating_counts():
     rng = np.random.default_rng(0)
     customers = np.array([0, 1, 2, 50, 10_000] * 200)
