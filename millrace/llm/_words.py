@@ -30,6 +30,8 @@ def folded(values: np.ndarray) -> np.ndarray:
 
 
 _FOLDED = folded(_VALUES)
+#: Byte values for words as they are, upper and lower case apart.
+AS_IS = _VALUES
 
 
 def _letters() -> np.ndarray:
@@ -134,6 +136,22 @@ def words_of(part: Slice, separators: np.ndarray = SPACES, values: np.ndarray =
     return Words(row, hashes, start, end, bounds)
 
 
+def windows_of(words: Words, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words from each place on, across rows too; as many fewer as the last ``width - 1`` places."""
+    n = max(0, len(words.hash) - width + 1)
+    sums = np.zeros(len(words.hash) + 1, np.uint64)
+    np.cumsum(words.hash * _UP.upto(len(words.hash)), out=sums[1:])
+    return mix((sums[len(sums) - n :] - sums[:n]) * _DOWN.upto(n))
+
+
+def least_of_run(values: np.ndarray, run: int) -> np.ndarray:
+    """The smallest of the ``run`` values from each place on."""
+    low, size = values, 1
+    while 2 * size <= run:
+        low, size = np.minimum(low[: len(low) - size], low[size:]), 2 * size
+    return np.minimum(low[: len(low) - (run - size)], low[run - size :]) if len(low) else low
+
+
 def shingles_of(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles in text order, and the bounds of each row's.
 
