@@ -104,17 +104,22 @@ def _combine(
     new: dict[str, Column],
     small: bool,
     insertable: Column | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """Target rows with their source row applied, and the source rows of new keys.
 
     Both sides hold a key once. ``kept`` and ``new`` give each column but the key, over
     the sides ``t`` and ``s``; ``insertable`` says which source rows may become new ones.
-    A ``small`` source is broadcast and the target stays where it is.
+    A target ``in_place`` is stored by key: only the source is shuffled, to where the target's
+    rows are, and read once; a ``small`` one is hashed there, so the target is not sorted.
+    Of another target a ``small`` source is broadcast and the target stays where it is.
     """
     names = [c for c in spec.typed_columns if c != spec.key]
     same_key = F.col(f"t.{spec.key}") == F.col(f"s.{spec.key}")
     marked = source.withColumn("_here", F.lit(True))
-    if small:
+    if in_place and small:
+        marked = marked.hint("shuffle_hash")
+    if small and not in_place:
         joined = target.alias("t").join(F.broadcast(marked).alias("s"), same_key, "left")
         # Keys found in the target are at most the source's own, so they broadcast too.
         hits = target.select(spec.key).join(F.broadcast(source.select(spec.key)), spec.key, "left_semi")
@@ -139,17 +144,19 @@ def merge_changes(
     spec: TableSpec,
     guard: bool = True,
     source_rows: int | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """``target`` after merging ``changes`` that hold one row per key (``as_changes`` form).
 
     With ``source_rows``, an upper bound of the number of changes, a small source is
     broadcast and the target is not shuffled. Without it, or beyond the bound, both
     sides are shuffled on the key; each key occurs once per side, so no key is hot.
+    A target ``in_place``, bucketed by its key, is not shuffled either way.
     """
     applies = F.col("s._here") & _guarded(spec, guard)
     kept = {c: _matched_value(spec, c, applies) for c in spec.typed_columns}
     new = {c: _inserted_value(spec, c, "s") for c in spec.typed_columns if c != spec.key}
-    return _combine(target, require_key(changes, spec), spec, kept, new, fits_broadcast(spec, source_rows))
+    return _combine(target, require_key(changes, spec), spec, kept, new, fits_broadcast(spec, source_rows), in_place=in_place)
 
 
 def _guarded(spec: TableSpec, guard: bool) -> Column:
@@ -240,6 +247,7 @@ def apply_changelog(
     keep_tombstones: bool = False,
     load_ts: datetime | str | None = None,
     source_rows: int | None = None,
+    in_place: bool = False,
 ) -> DataFrame:
     """``target`` after applying insert, update and delete changes in log order.
 
@@ -248,7 +256,7 @@ def apply_changelog(
     clears the flag. Columns only inserted come from the first change that carries
     data. A delete of a key never seen makes a row only with ``keep_tombstones``.
     Changes older than the target row are ignored. The load time is the last change's
-    own unless ``load_ts`` is given. ``source_rows`` works as in ``merge_changes``.
+    own unless ``load_ts`` is given. ``source_rows`` and ``in_place`` work as in ``merge_changes``.
     """
     last_ts, data_ts = F.col(f"s._last.{LINEAGE_TS}"), F.col("s._data._data_ts")
     not_older = F.col("s._here") & (F.struct(last_ts) >= F.struct(F.col(f"t.{LINEAGE_TS}")))
@@ -284,7 +292,7 @@ def apply_changelog(
         return rows.select(_key_column(spec, "s"), *[new[c].alias(c) for c in spec.typed_columns if c != spec.key])
     # A net row holds up to two of the widest rows.
     small = source_rows is not None and fits_broadcast(spec, 2 * source_rows)
-    return _combine(target, net, spec, kept, new, small, insertable)
+    return _combine(target, net, spec, kept, new, small, insertable, in_place)
 
 
 def merge_into_table(table: str, changes: DataFrame, spec: TableSpec, guard: bool = True) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +24,7 @@ from millrace.specs import (
 
 LOAD_FIELD = T.StructField(LOAD_ID, T.LongType())
 
+# Columns of the error area.
 ERROR_SCHEMA = T.StructType(
     [
         T.StructField("line", T.StringType()),
@@ -34,6 +37,24 @@ ERROR_SCHEMA = T.StructType(
     ]
 )
 
+# Which version's folder holds each bucket of a base; ``made`` names the base for the session's catalog.
+MANIFEST_SCHEMA = T.StructType(
+    [
+        LOAD_FIELD,
+        T.StructField("made", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("version", T.LongType()),
+    ]
+)
+
+# Rows of a bucket, about, when a base is first dealt into buckets; dealt anew when it has four times as many.
+BUCKET_ROWS = 4_000_000
+BUCKET = "_bucket"
+# Spark takes no more buckets than this.
+MOST_BUCKETS = 65_536
+
+# Columns of the load history.
 AUDIT_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
@@ -64,6 +85,18 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none when there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """The bucket of a key: the partition that Spark's hash partitioning and bucketing give it."""
+    return F.pmod(F.hash(key), F.lit(buckets))
+
+
 def if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The Parquet data at ``path``, or None when nothing was ever written there."""
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
@@ -94,12 +127,17 @@ class Store:
     repeated, so a repeated load changes nothing. A typed table is its last base plus
     the changes of later loads, merged when read; ``compact`` writes a new base. A load
     so costs what it brings, not what the table holds.
+
+    A base lies in buckets by the hash of its key. A new base writes only the buckets that
+    changed and takes the files of the others over; merging joins it bucket by bucket,
+    without shuffling it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, environment: str = "dev"):
+    def __init__(self, spark: SparkSession, root: str, environment: str = "dev", bucket_rows: int = BUCKET_ROWS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.environment = environment
+        self.bucket_rows = bucket_rows
 
     # -- folders ---------------------------------------------------------
 
@@ -165,9 +203,44 @@ class Store:
     def audit(self, spec: TableSpec) -> DataFrame:
         return self.read(self.audit_path(spec), AUDIT_SCHEMA)
 
+    def base_versions(self, spec: TableSpec) -> list[int]:
+        """The finished bases, by the load up to which each goes; a listing, not a job."""
+        found = []
+        for name in folder_names(self.spark, self.bases_path(spec)):
+            parts = folder_names(self.spark, f"{self.bases_path(spec)}/{name}")
+            # Spark shows a file only once its job is done
+            if any(not part.startswith(("_", ".")) for part in parts):
+                found.append(int(name.removeprefix("v=")))
+        return sorted(found)
+
     def base_version(self, spec: TableSpec) -> int | None:
         """The load up to which the newest finished base goes."""
-        return self.read(self.bases_path(spec), T.StructType([LOAD_FIELD])).agg(F.max(LOAD_ID)).first()[0]
+        return max(self.base_versions(spec), default=None)
+
+    def _manifest(self, spec: TableSpec, version: int) -> tuple[str, int, dict[int, int]]:
+        """Name of a base, how many buckets it has, and by bucket the version whose folder holds it."""
+        path = f"{self.bases_path(spec)}/v={version}"
+        rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect()
+        return rows[0].made, rows[0].buckets, {r.bucket: r.version for r in rows if r.bucket is not None}
+
+    def base(self, spec: TableSpec, version: int) -> DataFrame:
+        """The rows of a base with their bucket, read as a bucketed table of the session's catalog.
+
+        Such a table is never changed: each base has one of its own, under a name nothing else has.
+        """
+        made, buckets, versions = self._manifest(spec, version)
+        name = f"millrace_{spec.namespace}_{spec.name}_{made}"
+        if not self.spark.catalog.tableExists(name):
+            folder = self.base_path(spec)
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.typed_schema.fields)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}, {BUCKET} INT) USING parquet PARTITIONED BY ({BUCKET}) "
+                f"CLUSTERED BY (`{spec.key}`) INTO {buckets} BUCKETS LOCATION '{folder}/empty'"
+            )
+            parts = " ".join(f"PARTITION ({BUCKET}={b}) LOCATION '{folder}/v={v}/{BUCKET}={b}'" for b, v in versions.items())
+            if parts:
+                self.spark.sql(f"ALTER TABLE {name} ADD {parts}")
+        return self.spark.table(name)
 
     def changes_path(self, spec: TableSpec, base: int | None) -> str:
         """Changes lie beside those of the same base, so a read lists only what it needs."""
@@ -208,46 +281,89 @@ class Store:
         """The typed table, one row per key."""
         version = self.base_version(spec)
         changes = self.changes(spec, version)
-        base = None
-        if version is not None:
-            base = self.spark.read.schema(spec.typed_schema).parquet(f"{self.base_path(spec)}/v={version}")
+        base = None if version is None else self.base(spec, version)
+        return self._merged(spec, base, changes, guard, keep_tombstones)
+
+    def _merged(
+        self, spec: TableSpec, base: DataFrame | None, changes: DataFrame, guard: bool, keep_tombstones: bool
+    ) -> DataFrame:
         # The number of change rows comes from file footers and bounds the rows merged.
         bound = None if base is None else changes.count()
         if spec.changelog:
-            return apply_changelog(base, changes.drop(LOAD_ID), spec, keep_tombstones, source_rows=bound)
+            return apply_changelog(base, changes.drop(LOAD_ID), spec, keep_tombstones, source_rows=bound, in_place=True)
         folded = fold_loads(changes, spec, guard)
-        return insert_all(folded, spec) if base is None else merge_changes(base, folded, spec, guard, bound)
+        return insert_all(folded, spec) if base is None else merge_changes(base, folded, spec, guard, bound, in_place=True)
 
     def compact(self, spec: TableSpec, keep_tombstones: bool = False) -> int | None:
-        """Writes the typed table as a new base; later reads start from it.
+        """Writes the buckets that changed since the last base as parts of a new one; later reads start from it.
 
         Not to be run beside a load of the same table.
         """
-        upto = self.last_load(spec)
-        if upto is None or upto == self.base_version(spec):
+        upto, version = self.last_load(spec), self.base_version(spec)
+        if upto is None or upto == version:
             return upto
-        merged = self.typed(spec, keep_tombstones=keep_tombstones)
-        merged.write.mode("overwrite").parquet(f"{self.base_path(spec)}/v={upto}")
-        # The marker is written last, so an unfinished base is never read.
-        marker = self.spark.createDataFrame([(upto,)], T.StructType([LOAD_FIELD]))
-        marker.coalesce(1).write.mode("overwrite").parquet(f"{self.bases_path(spec)}/v={upto}")
+        changes = self.changes(spec, version)
+        rows, buckets, kept = changes.count(), None, {}
+        base = None if version is None else self.base(spec, version)
+        if base is not None:
+            _, buckets, kept = self._manifest(spec, version)
+            rows += base.count()
+        if buckets is None or (rows > 4 * self.bucket_rows * buckets and buckets < MOST_BUCKETS):
+            buckets, kept = min(1 << (max(1, -(-rows // self.bucket_rows)) - 1).bit_length(), MOST_BUCKETS), {}
+            merged = self._merged(spec, base, changes, True, keep_tombstones).repartition(buckets, spec.key)
+        else:
+            touched = [r[0] for r in changes.select(bucket_of(spec.key, buckets)).distinct().collect()]
+            kept = {b: v for b, v in kept.items() if b not in touched}
+            merged = self._merged(spec, base.filter(F.col(BUCKET).isin(touched)), changes, True, keep_tombstones)
+        written = self._write_base(spec, merged, buckets, upto)
+        # The manifest is written last, so an unfinished base is never read.
+        made = uuid.uuid4().hex
+        entries = [(upto, made, buckets, b, v) for b, v in (kept | written).items()] or [(upto, made, buckets, None, None)]
+        manifest = self.spark.createDataFrame(entries, MANIFEST_SCHEMA)
+        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.bases_path(spec)}/v={upto}")
         return upto
 
+    def _write_base(self, spec: TableSpec, rows: DataFrame, buckets: int, upto: int) -> dict[int, int]:
+        """Writes rows by bucket under the version ``upto``, over what an unfinished try left; which buckets there are."""
+        path = f"{self.base_path(spec)}/v={upto}"
+        remove_folder(self.spark, path)
+        name = f"millrace_{spec.namespace}_{spec.name}_{uuid.uuid4().hex}"
+        out = rows.withColumn(BUCKET, bucket_of(spec.key, buckets))
+        out.write.partitionBy(BUCKET).bucketBy(buckets, spec.key).option("path", path).saveAsTable(name, format="parquet")
+        # the table was only a way to write; its files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        return {int(n.split("=")[1]): upto for n in folder_names(self.spark, path) if n.startswith(f"{BUCKET}=")}
+
     def prune(self, spec: TableSpec, keep: int = 2) -> list[int]:
         """Removes all but the newest ``keep`` bases and the changes they made needless.
 
-        Keep at least two, so that a read begun before the last compaction can finish.
-        Returns the versions removed.
+        Keep at least two, so that a read begun before the last compaction can finish. Buckets
+        that a newer base took over stay. Returns the versions removed.
         """
         if keep < 1:
             raise ValueError("the newest base must stay")
-        made = self.read(self.bases_path(spec), T.StructType([LOAD_FIELD])).select(LOAD_ID).collect()
-        versions = sorted(row[0] for row in made)
+        versions = self.base_versions(spec)
         old = versions[:-keep]
         # Changes written after a base that goes, and before the first base, are in the bases that stay.
         for base in [None, *old] if old else []:
             remove_folder(self.spark, self.changes_path(spec, base))
+        needed = {(v, b) for version in versions[-keep:] for b, v in self._manifest(spec, version)[2].items()}
         for version in old:
-            remove_folder(self.spark, f"{self.base_path(spec)}/v={version}")
+            made, _, _ = self._manifest(spec, version)
             remove_folder(self.spark, f"{self.bases_path(spec)}/v={version}")
+            self.spark.sql(f"DROP TABLE IF EXISTS millrace_{spec.namespace}_{spec.name}_{made}")
+        if old:
+            self._remove_unneeded(spec, needed, versions[-1])
         return old
+
+    def _remove_unneeded(self, spec: TableSpec, needed: set[tuple[int, int]], newest: int) -> None:
+        """Bucket folders up to the newest base that no base names."""
+        folder = self.base_path(spec)
+        for name in folder_names(self.spark, folder):
+            version = int(name.removeprefix("v=")) if name.startswith("v=") else None
+            if version is None or version > newest:
+                continue
+            held = [n for n in folder_names(self.spark, f"{folder}/{name}") if n.startswith(f"{BUCKET}=")]
+            gone = [n for n in held if (version, int(n.split("=")[1])) not in needed]
+            for n in gone if len(gone) < len(held) else [None]:
+                remove_folder(self.spark, f"{folder}/{name}" if n is None else f"{folder}/{name}/{n}")
