@@ -1,10 +1,11 @@
 import json
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.records import parse_lines, parse_records
+from millrace.functions.records import TOO_LARGE, VARIANT_BYTES, parse_lines, parse_records
 
 CASES = [
     ('{"a":1}', ["{\"a\":1}"]),
@@ -120,3 +121,39 @@ def test_broken_lines_against_a_strict_reader(spark):
     wrong = [(line, found.get(i, []), verdict(line)) for i, line in enumerate(lines) if found.get(i, []) != verdict(line)]
     assert not wrong, wrong[:5]
     assert sum(v == ["good"] for v in found.values()) > 50 and sum(v == ["refused"] for v in found.values()) > 500
+
+
+def test_array_items_keep_their_digits(spark):
+    text = '[{"a": 1.10, "b": 12345678901234567890.123450}, {"a": -0.0, "b": "x\\u00e9 ]},{ \\"q\\""}]'
+    good, bad = parse_records(spark.createDataFrame([(text,)], "value string"))
+    got = [tuple(r) for r in good.orderBy("item").select(F.variant_get("record", "$.a", "string"), F.variant_get("record", "$.b", "string")).collect()]
+    assert got[0] == ("1.1", "12345678901234567890.12345") and got[1][1] == 'xé ]},{ "q"' and bad.count() == 0
+
+
+def one_line_array(spark, root, records):
+    """A file with one array of so many records in one line."""
+    item = F.concat(F.lit('{"id":'), F.col("id").cast("string"), F.lit(',"note":"'), F.repeat(F.lit("]},{["), 20), F.lit('"}'))
+    chunks = spark.range(records, numPartitions=1).select(item.alias("i")).toLocalIterator()
+    with open(f"{root}/array.json", "w") as f:
+        f.write("[")
+        for k, row in enumerate(chunks):
+            f.write(("," if k else "") + row.i)
+        f.write("]\n")
+    return f"{root}/array.json"
+
+
+def test_an_array_beyond_one_variant_loads_whole(spark, root):
+    n = 1_100_000
+    path = one_line_array(spark, root, n)
+    assert os.path.getsize(path) > VARIANT_BYTES
+    parsed = parse_lines(spark.read.text(path))
+    got = parsed.agg(F.count("*"), F.count("reason"), F.sum(F.variant_get("record", "$.id", "bigint")), F.max("item")).first()
+    assert tuple(got) == (n, 0, n * (n - 1) // 2, n - 1)
+
+
+def test_a_record_beyond_a_variant_has_its_own_reason(spark):
+    long = F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), VARIANT_BYTES + 1), F.lit('"'))
+    texts = [F.concat(long, F.lit("}")), F.concat(F.lit('[{"b":1},'), long, F.lit("}]")), F.concat(long, F.lit("} junk"))]
+    for text, reason in zip(texts, [TOO_LARGE, TOO_LARGE, "malformed"]):
+        parsed = parse_lines(spark.range(1).select(text.alias("value")))
+        assert [r.reason for r in parsed.select("reason").collect()] == [reason]
