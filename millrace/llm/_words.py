@@ -30,8 +30,9 @@ def folded(values: np.ndarray) -> np.ndarray:
 
 
 _FOLDED = folded(_VALUES)
-#: Byte values for words as they are, upper and lower case apart.
+#: Byte values for words as they are, upper and lower case apart; and others, for hashes that have nothing to do with the first.
 AS_IS = _VALUES
+AS_IS_TOO = np.random.default_rng(0x2EED).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
 
 def _letters() -> np.ndarray:
