@@ -10,6 +10,7 @@ MALFORMED = "malformed"
 TRAILING = "trailing data"
 NOT_OBJECT = "not an object"
 TOO_LARGE = "too large"
+NO_CHANGE_TIME = "no change time"
 
 RECORD = "record"
 ITEM = "item"

@@ -70,7 +70,7 @@ def typed(
     raw: DataFrame,
     spec: TableSpec,
     on_bad: str = "fail",
-    on_long: str = "truncate",
+    on_long: str = "fail",
     normalize_utc: bool = False,
     keep_record: bool = False,
 ) -> DataFrame:
@@ -78,7 +78,8 @@ def typed(
 
     ``on_bad='fail'`` stops on a bad cast or a missing key. ``on_bad='quarantine'``
     keeps the row and lists the offending columns in ``_bad_fields``; ``split_bad``
-    then parts the rows. ``keep_record`` leaves the record itself in.
+    then parts the rows. A string over its length stops or is set aside too; it is cut only
+    when ``on_long='truncate'`` asks for it. ``keep_record`` leaves the record itself in.
     """
     if on_bad not in ("fail", "quarantine"):
         raise ValueError(f"unknown cast policy {on_bad!r}")
@@ -111,6 +112,13 @@ def typed(
     return raw.select(*columns, *lineage)
 
 
+def cut_fields(spec: TableSpec) -> Column:
+    """Names of a raw row's string fields that ``on_long='truncate'`` cuts."""
+    long = [f for f in spec.fields if f.path and f.type == "string" and f.length and f.name != spec.key]
+    names = [F.when(F.length(F.try_variant_get(F.col(RECORD), f.path, "string")) > f.length, F.lit(f.name)) for f in long]
+    return F.array_compact(F.array(*names))
+
+
 def split_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)`` of rows made with a quarantine policy."""
     has_problem = F.size(BAD_FIELDS) > 0

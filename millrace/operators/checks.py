@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.typed import cast_field
 from millrace.operators.merge import fits_broadcast
-from millrace.specs import RECORD, RECORD_ID_LENGTHS, Field, TableSpec
+from millrace.specs import RAW_KEY, RECORD, RECORD_ID_LENGTHS, Field, TableSpec
 
 # Fixed value: share of expected rows that must have arrived.
 COMPLETE_SHARE = 0.95
@@ -58,14 +58,19 @@ def id_length_check(raw: DataFrame, path: str = "$.Id") -> DataFrame:
 
 
 def raw_key(spec: TableSpec) -> Column:
-    """The key inside a raw record, for filters on the raw table."""
+    """The key inside a raw record, for filters on raw rows that were never stored."""
     key = spec.field(spec.key)
     return F.variant_get(F.col(RECORD), key.path, key.type)
 
 
+def key_of(raw: DataFrame, spec: TableSpec) -> Column:
+    """The key of raw rows: their real column where they have one, which Parquet can skip by, else the path."""
+    return F.col(RAW_KEY) if RAW_KEY in raw.columns else raw_key(spec)
+
+
 def raw_point_lookup(raw: DataFrame, spec: TableSpec, key: int | str) -> DataFrame:
-    """Raw rows of one key."""
-    return raw.filter(raw_key(spec) == F.lit(key))
+    """Raw rows of one key. Of a stored raw table only row groups are read whose key range and bloom filter may hold it."""
+    return raw.filter(key_of(raw, spec) == F.lit(key))
 
 
 def raw_in_list(raw: DataFrame, spec: TableSpec, keys: Sequence[int | str] | DataFrame) -> DataFrame:
@@ -78,10 +83,10 @@ def raw_in_list(raw: DataFrame, spec: TableSpec, keys: Sequence[int | str] | Dat
         # keys may come as text; a list of any length reads them as the key's type
         type_ = spec.typed_schema[spec.key].dataType.simpleString()
         if len(keys) <= IN_LIST_MAX:
-            return raw.filter(raw_key(spec).isin([F.lit(str(k)).cast(type_) for k in keys]))
+            return raw.filter(key_of(raw, spec).isin([F.lit(str(k)).cast(type_) for k in keys]))
         listed = raw.sparkSession.createDataFrame([(str(k),) for k in keys], "k string").select(F.col("k").cast(type_).alias(spec.key))
         keys = F.broadcast(listed) if fits_broadcast(spec, len(keys)) else listed
-    return raw.join(keys.select(F.col(spec.key).alias("_wanted")), raw_key(spec) == F.col("_wanted"), "left_semi")
+    return raw.join(keys.select(F.col(spec.key).alias("_wanted")), key_of(raw, spec) == F.col("_wanted"), "left_semi")
 
 
 def uniqueness(df: DataFrame, key: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.merge import now_ntz
@@ -15,6 +16,10 @@ LOADED = "Loaded"
 PARTIAL = "Partially loaded"
 FAILED = "Load failed"
 COPY = "COPY"
+MERGE = "MERGE"
+
+# Characters kept of an error's text.
+MESSAGE_LENGTH = 2000
 
 # Days staged files and error files are kept.
 STAGED_DAYS = 3
@@ -25,26 +30,26 @@ ERROR_REPORT_ROWS = 20
 
 
 def audit_rows(
-    loaded: DataFrame,
-    errors: DataFrame,
+    landed: DataFrame,
     table_name: str,
     environment: str,
     start: datetime | str,
     end: datetime | str | None = None,
+    files: DataFrame | None = None,
 ) -> DataFrame:
     """One row per file of a load: rows parsed, loaded and refused, and the outcome.
 
-    ``loaded`` and ``errors`` only need ``_source_file`` (and ``reason``). Rows are
-    counted per file inside each task before any shuffle.
+    ``landed`` only needs ``_source_file`` and ``reason``, NULL for a good record. Rows are
+    counted per file inside each task before any shuffle. A file of ``files`` without any
+    record has a row with zeros.
     """
-    ok = loaded.groupBy(SOURCE_FILE).agg(F.count("*").alias("row_count"))
-    bad = errors.groupBy(SOURCE_FILE).agg(F.count("*").alias("error_count"), F.min("reason").alias("error_message"))
-    counts = ok.join(bad, SOURCE_FILE, "full_outer").select(
-        F.col(SOURCE_FILE).alias("file"),
-        F.coalesce("row_count", F.lit(0)).alias("row_count"),
-        F.coalesce("error_count", F.lit(0)).alias("error_count"),
-        "error_message",
+    counts = landed.groupBy(F.col(SOURCE_FILE).alias("file")).agg(
+        F.count_if(F.col("reason").isNull()).alias("row_count"),
+        F.count("reason").alias("error_count"),
+        F.min("reason").alias("error_message"),
     )
+    if files is not None:
+        counts = files.select("file").distinct().join(counts, "file", "full_outer").fillna(0, ["row_count", "error_count"])
     return counts.select(
         F.lit(table_name).alias("table_name"),
         F.lit(environment).alias("environment"),
@@ -60,6 +65,38 @@ def audit_rows(
     )
 
 
+def failure_rows(
+    spark: SparkSession,
+    table_name: str,
+    environment: str,
+    query_type: str,
+    files: Sequence[str | None],
+    message: str,
+    start: datetime | str,
+) -> DataFrame:
+    """One row per file of a try that failed. Nothing is known of its records, so ``row_parsed`` is NULL."""
+    rows = spark.createDataFrame([(f,) for f in files], "file string")
+    unknown = F.lit(None).cast("long")
+    return rows.select(
+        F.lit(table_name).alias("table_name"),
+        F.lit(environment).alias("environment"),
+        F.lit(query_type).alias("query_type"),
+        "file",
+        F.lit(FAILED).alias("status"),
+        unknown.alias("row_parsed"),
+        F.lit(0).cast("long").alias("row_count"),
+        unknown.alias("error_count"),
+        F.lit(message[:MESSAGE_LENGTH]).alias("error_message"),
+        now_ntz(start).alias("start_time"),
+        now_ntz().alias("last_load_time"),
+    )
+
+
+def recorded(audit: DataFrame) -> DataFrame:
+    """Files of loads that landed; a try that failed does not count."""
+    return (audit.filter(F.col("row_parsed").isNotNull()) if "row_parsed" in audit.columns else audit).select("file")
+
+
 def load_status(row_count: Column, error_count: Column) -> Column:
     return F.when(error_count == 0, LOADED).when(row_count > 0, PARTIAL).otherwise(FAILED)
 
@@ -69,8 +106,8 @@ def load_status(row_count: Column, error_count: Column) -> Column:
 DAY_IN_PATH = (
     r"/(\d{4})/(\d{2})/(\d{2})/[^/]*$",
     r"/(\d{4})-(\d{2})-(\d{2})/[^/]*$",
-    r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/[^/]*$",
-    r"/dt=(\d{4})-(\d{2})-(\d{2})/[^/]*$",
+    r"/y=(\d{4})/m=(\d{2})/d=(\d{2})/",
+    r"/dt=(\d{4})-(\d{2})-(\d{2})/",
 )
 
 
@@ -85,7 +122,7 @@ def file_day(file: Column) -> Column:
 
 def new_files(files: DataFrame, audit: DataFrame) -> DataFrame:
     """Files no load has recorded yet."""
-    return files.join(audit.select("file"), "file", "left_anti")
+    return files.join(recorded(audit), "file", "left_anti")
 
 
 def expired_files(files: DataFrame, audit: DataFrame, now: datetime | str, days: int = STAGED_DAYS) -> DataFrame:
@@ -94,7 +131,7 @@ def expired_files(files: DataFrame, audit: DataFrame, now: datetime | str, days:
     A file still waiting to be loaded is kept whatever its age.
     """
     last_kept = F.date_sub(F.lit(str(now)).cast("timestamp_ntz").cast("date"), days)
-    return files.filter(F.col("dt") < last_kept).join(audit.select("file"), "file", "left_semi")
+    return files.filter(F.col("dt") < last_kept).join(recorded(audit), "file", "left_semi")
 
 
 def load_history(audit: DataFrame, table_name: str, start: datetime | str, only_problems: bool = False) -> DataFrame:

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.records import parse_lines, parse_records
-from millrace.functions.typed import apply_length, cast_field, convert_record, typed
-from millrace.operators.files import expired_files, load_errors, load_history, load_status, new_files
+from millrace.functions.typed import BAD_FIELDS, apply_length, cast_field, convert_record, split_bad, typed
+from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files
 from millrace.operators.routes import ROUTE, bin_counts, with_route
 from millrace.plans import feeds
 from millrace.plans.procedure import merge_cdc_batch
 from millrace.plans.registry import query
 from millrace.session import scratch_dir
-from millrace.sources.landing import operation_of
+from millrace.sources.landing import change_time_of, operation_of, to_raw
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm, object_pull
-from millrace.sources.stage import LAYOUT_DAY, write_stage
+from millrace.sources.stage import LAYOUT_DAY, list_files, read_stage, stage_path, write_stage
 from millrace.specs import ACCOUNTS, CUSTOMERS, OP_DELETE, OP_UPDATE, ORDERS, SOURCE_FILE, Field
 from millrace.storage import Store
-from millrace.streaming.loader import LoadOptions, copy_into_raw, pull_once, start_stream
+from millrace.streaming.loader import BadRecords, LoadOptions, copy_into_raw, load_batch, parsed_records, pull_once, start_stream
 
 EVENT_TEXT = feeds.EVENT_TEXT_SQL
 
@@ -120,18 +120,29 @@ def paths_extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "varchar_limit",
     """
-    SELECT doc_id, substring(text, 1, 100) AS last_name, length(text) > 100 AS is_long FROM documents
+    SELECT doc_id, substring(text, 1, 100) AS last_name, length(text) > 100 AS is_long,
+           CASE WHEN length(text) <= 100 THEN text END AS loaded,
+           CASE WHEN length(text) > 100 THEN 'bad value: last_name' END AS reason
+    FROM documents
     """,
 )
-def long_strings_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = feeds.table(spark, sf_dir, "documents").select("doc_id", feeds.record(last_name=F.col("text")))
+def long_strings_cut_or_set_aside(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text as a name: cut where that is asked for; else a long one is set aside with its reason."""
+    docs = feeds.table(spark, sf_dir, "documents").select("doc_id", feeds.record(id=F.col("doc_id"), last_name=F.col("text")))
     field = CUSTOMERS.field("last_name")
     value = cast_field(F.col("record"), field)
-    return docs.select(
+    raw = to_raw(docs.withColumn(SOURCE_FILE, feeds.null_text()), CUSTOMERS, load_ts=feeds.FIRST_LOAD, position=feeds.position(F.col("doc_id")))
+    good, bad = split_bad(typed(raw, CUSTOMERS, on_long="quarantine"))
+    reason = F.concat(F.lit("bad value: "), F.array_join(BAD_FIELDS, ", "))
+    outcome = good.select("id", F.col("last_name").alias("loaded"), feeds.null_text().alias("reason")).unionByName(
+        bad.select("id", feeds.null_text().alias("loaded"), reason.alias("reason"))
+    )
+    cut = docs.select(
         "doc_id",
         apply_length(value, field, "truncate").alias("last_name"),
         (F.length(value) > field.length).alias("is_long"),
     )
+    return cut.join(outcome, F.col("doc_id") == F.col("id")).drop("id")
 
 
 @query(
@@ -322,117 +333,161 @@ def mark_moves_on(spark: SparkSession, sf_dir: str) -> DataFrame:
     "changelog_scan",
     """
     SELECT event_id, user_id AS id,
-           CASE WHEN event_id % 10 = 0 THEN 'DELETE' WHEN event_id % 10 <= 3 THEN 'UPDATE' ELSE 'INSERT' END AS operation,
-           ts AS cdc_timestamp
+           CASE WHEN event_id % 23 = 0 THEN NULL
+                WHEN event_id % 10 = 0 THEN 'DELETE' WHEN event_id % 10 <= 3 THEN 'UPDATE' ELSE 'INSERT' END AS operation,
+           CASE WHEN event_id % 17 <> 0 THEN ts END AS cdc_timestamp,
+           CASE WHEN event_id % 23 = 0 THEN 'unknown operation' WHEN event_id % 17 = 0 THEN 'no change time' END AS reason
     FROM events
     """,
 )
 def change_events_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = feeds.table(spark, sf_dir, "events").withColumn("op", F.lower(feeds.event_operation()))
-    line = F.to_json(
-        F.struct("op", "ts", F.col("user_id").alias("id"), "event_id"),
-        {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"},
+    """Changes of a log; one without a known operation or a time to order it by is refused."""
+    number = F.col("event_id")
+    events = feeds.table(spark, sf_dir, "events").select(
+        number,
+        F.col("user_id").alias("id"),
+        F.when(number % 23 == 0, "truncate").otherwise(F.lower(feeds.event_operation())).alias("op"),
+        F.when(number % 17 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).otherwise(
+            F.when(number % 34 == 0, "at noon")
+        ).alias("ts"),
     )
-    good, _ = parse_records(events.select(line.alias("value")))
+    lines = events.select(F.to_json(F.struct("op", "ts", "id", "event_id"), {"ignoreNullFields": "false"}).alias("value"))
     record = F.col("record")
-    return good.select(
+    return parsed_records(lines, CUSTOMERS.as_changelog()).select(
         F.variant_get(record, "$.event_id", "bigint").alias("event_id"),
         F.variant_get(record, "$.id", "bigint").alias("id"),
         operation_of(record).alias("operation"),
-        F.variant_get(record, "$.ts", "timestamp_ntz").alias("cdc_timestamp"),
+        change_time_of(record).alias("cdc_timestamp"),
+        "reason",
     )
 
 
 # -- files --------------------------------------------------------------------
 
-
-def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staged files that would hold the events: one a day and event type."""
-    day = F.col("ts").cast("date")
-    events = feeds.table(spark, sf_dir, "events")
-    name = F.concat(F.date_format("ts", "yyyy/MM/dd/"), F.col("event_type"), F.lit(".json"))
-    return events.groupBy(name.alias("file"), day.alias("dt"), "event_type").agg(F.count("*").alias("n_rows"))
+# Event types whose files arrive when the first load is over.
+LATE_TYPES = ("error", "view")
 
 
-def event_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load history of the events' files; lines that do not parse are their errors."""
-    texts = feeds.event_text(spark, sf_dir).withColumnRenamed(SOURCE_FILE, "file")
+def stage_event_texts(spark: SparkSession, sf_dir: str, root: str, late: bool) -> None:
+    """The events' texts as staged lines, a folder a day and a file each event type, with an empty array for each day."""
+    path = stage_path(root, CUSTOMERS.namespace, CUSTOMERS.name)
     events = feeds.table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    parsed = parse_lines(texts.select("event_id", "value")).join(events, "event_id")
-    name = F.concat(F.date_format("ts", "yyyy/MM/dd/"), F.col("event_type"), F.lit(".json"))
-    failed = F.col("reason").isNotNull()
-    return parsed.groupBy(name.alias("file")).agg(
-        F.lit("customers_raw").alias("table_name"),
-        F.lit("dev").alias("environment"),
-        F.lit("COPY").alias("query_type"),
-        F.count_if(~failed).alias("row_count"),
-        F.count_if(failed).alias("error_count"),
-        F.min("reason").alias("error_message"),
-        F.max("ts").alias("start_time"),
-        (F.date_trunc("day", F.max("ts")).cast("timestamp_ntz") + F.expr("INTERVAL '1' DAY")).alias("last_load_time"),
-        F.max("event_type").alias("event_type"),
-    )
+    day = {c: F.date_format("ts", p) for c, p in (("y", "yyyy"), ("m", "MM"), ("d", "dd"))}
+    kind = F.col("event_type").isin(*LATE_TYPES)
+    lines = feeds.event_text(spark, sf_dir).join(events.filter(kind if late else ~kind), "event_id")
+    out = lines.withColumns(day).select("value", "y", "m", "d", F.col("event_type").alias("kind"))
+    if not late:
+        none = events.withColumns(day).select(F.lit("[]").alias("value"), "y", "m", "d", F.lit("none").alias("kind"))
+        out = out.unionByName(none.distinct())
+    # one folder is one file, since all its lines are in one partition
+    out.repartition("y", "m", "d", "kind").write.mode("append").partitionBy("y", "m", "d", "kind").text(path)
+
+
+def audited_store(spark: SparkSession, sf_dir: str, label: str) -> tuple[Store, str]:
+    """A store that has loaded the first files in several micro-batches; the late files are staged after that."""
+    root = scratch_dir(spark, label)
+    store = Store(spark, root)
+    stage_event_texts(spark, sf_dir, root, late=False)
+    options = LoadOptions(merge=False, load_ts=feeds.FIRST_LOAD)
+    start_stream(store, root, CUSTOMERS, {"availableNow": True}, options, maxFilesPerTrigger=64).awaitTermination()
+    stage_event_texts(spark, sf_dir, root, late=True)
+    return store, root
+
+
+def stop_at_late_files(spark: SparkSession, store: Store, root: str) -> None:
+    """A load of the late files that stops at its first bad record; the history has a row for each of them then."""
+    late = read_stage(spark, root, CUSTOMERS.namespace, CUSTOMERS.name).filter(F.col(SOURCE_FILE).rlike(f"kind=({'|'.join(LATE_TYPES)})/"))
+    files = [r[0] for r in late.select(SOURCE_FILE).distinct().collect()]
+    options = LoadOptions(on_error="abort", merge=False, load_ts=feeds.SECOND_LOAD)
+    try:
+        load_batch(store, CUSTOMERS, late, 1000, options, files)
+    except BadRecords:
+        return
+    raise AssertionError("no late file has a bad record")
+
+
+def file_label(file: str = "file") -> Column:
+    """Day and event type of a staged file, which its folders name."""
+    parts = [F.regexp_extract(file, rf"/{p}=(\w+)/", 1) for p in ("y", "m", "d", "kind")]
+    return F.concat_ws("/", *parts).alias("file")
+
+
+def staged_files(spark: SparkSession, root: str) -> DataFrame:
+    files = list_files(spark, stage_path(root, CUSTOMERS.namespace, CUSTOMERS.name))
+    return files.withColumn("dt", file_day(F.col("file")))
 
 
+# What the first load's files hold; days have an empty one besides.
 EVENT_AUDIT_SQL = f"""
-  SELECT strftime(ts, '%Y/%m/%d/') || event_type || '.json' AS file, any_value(event_type) AS event_type,
-         count(*) FILTER (WHERE json_valid(line)) AS row_count,
-         count(*) FILTER (WHERE NOT json_valid(line)) AS error_count,
-         max(ts) AS start_time, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS last_load_time
-  FROM events JOIN ({EVENT_TEXT}) USING (event_id) GROUP BY 1
+  SELECT strftime(ts, '%Y/%m/%d/') || event_type AS file, count(*) FILTER (WHERE json_valid(line)) AS row_count,
+         count(*) FILTER (WHERE NOT json_valid(line)) AS error_count
+  FROM events JOIN ({EVENT_TEXT}) USING (event_id) WHERE event_type NOT IN ('error', 'view') GROUP BY 1
+  UNION ALL
+  SELECT DISTINCT strftime(ts, '%Y/%m/%d/') || 'none', 0, 0 FROM events
 """
 
 
 @query(
     "load_once",
     """
-    SELECT strftime(ts, '%Y/%m/%d/') || event_type || '.json' AS file, count(*) AS n_rows
-    FROM events WHERE event_type IN ('error', 'view') GROUP BY 1
+    SELECT DISTINCT strftime(ts, '%Y/%m/%d/') || event_type AS file FROM events WHERE event_type IN ('error', 'view')
     """,
 )
 def files_not_loaded_yet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = event_files(spark, sf_dir)
-    loaded = files.filter(~F.col("event_type").isin("error", "view"))
-    return new_files(files, loaded).select("file", "n_rows")
+    """Staged files beside the load history: files without records were loaded, files of a stopped load were not."""
+    store, root = audited_store(spark, sf_dir, "load_once")
+    stop_at_late_files(spark, store, root)
+    return new_files(staged_files(spark, root), store.audit(CUSTOMERS)).select(file_label())
 
 
 @query(
     "retention_expired",
     """
-    SELECT DISTINCT strftime(ts, '%Y/%m/%d/') || event_type || '.json' AS file
-    FROM events WHERE event_type <> 'error' AND CAST(ts AS DATE) < DATE '2024-01-28' - 3
+    SELECT DISTINCT strftime(ts, '%Y/%m/%d/') || kind AS file
+    FROM (SELECT ts, event_type AS kind FROM events WHERE event_type NOT IN ('error', 'view')
+          UNION ALL SELECT ts, 'none' FROM events)
+    WHERE CAST(ts AS DATE) < DATE '2024-01-28' - 3
     """,
 )
 def files_past_their_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = event_files(spark, sf_dir)
-    loaded = files.filter(F.col("event_type") != "error")
-    return expired_files(files, loaded, "2024-01-28 09:00:00").select("file")
+    """Old files the history has; those that still wait to be loaded are kept."""
+    store, root = audited_store(spark, sf_dir, "retention_expired")
+    return expired_files(staged_files(spark, root), store.audit(CUSTOMERS), "2024-01-28 09:00:00").select(file_label())
 
 
 @query(
     "copy_history",
     f"""
-    SELECT file, row_count, error_count, last_load_time,
-           CASE WHEN error_count = 0 THEN 'Loaded' WHEN row_count > 0 THEN 'Partially loaded' ELSE 'Load failed' END AS status
-    FROM ({EVENT_AUDIT_SQL}) WHERE last_load_time >= TIMESTAMP '2024-01-20' AND error_count > 0
+    SELECT file, row_count, error_count, TIMESTAMP '2024-02-01' AS last_load_time,
+           CASE WHEN row_count > 0 THEN 'Partially loaded' ELSE 'Load failed' END AS status
+    FROM ({EVENT_AUDIT_SQL}) WHERE error_count > 0
     """,
 )
 def loads_with_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    audit = event_audit(spark, sf_dir)
-    audit = audit.withColumn("status", load_status(F.col("row_count"), F.col("error_count")))
-    history = load_history(audit, "customers_raw", "2024-01-20 00:00:00", only_problems=True)
-    return history.select("file", "row_count", "error_count", "last_load_time", "status")
+    store, _ = audited_store(spark, sf_dir, "copy_history")
+    history = load_history(store.audit(CUSTOMERS), CUSTOMERS.raw_name, "2024-01-20 00:00:00", only_problems=True)
+    return history.select(file_label(), "row_count", "error_count", "last_load_time", "status")
 
 
 @query(
     "load_errors",
     f"""
-    SELECT file, 'malformed' AS error_message, start_time FROM ({EVENT_AUDIT_SQL})
-    WHERE error_count > 0 ORDER BY start_time DESC, file LIMIT 20
+    (SELECT strftime(ts, '%Y/%m/%d/') || event_type AS file, 'Load failed' AS status, CAST(NULL AS BIGINT) AS error_count,
+            'malformed' AS reason, TIMESTAMP '2024-02-02' AS start_time
+     FROM events WHERE event_type IN ('error', 'view') GROUP BY 1
+     UNION ALL
+     SELECT file, CASE WHEN row_count > 0 THEN 'Partially loaded' ELSE 'Load failed' END, error_count, 'malformed',
+            TIMESTAMP '2024-02-01'
+     FROM ({EVENT_AUDIT_SQL}) WHERE error_count > 0)
+    ORDER BY start_time DESC, file LIMIT 20
     """,
 )
 def newest_failed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_errors(event_audit(spark, sf_dir), "dev").select("file", "error_message", "start_time")
+    """A load that stopped at its first bad record, and before it one that went on; files of both, newest first."""
+    store, root = audited_store(spark, sf_dir, "load_errors")
+    stop_at_late_files(spark, store, root)
+    reason = F.regexp_extract("error_message", r"(\w+)$", 1).alias("reason")
+    return load_errors(store.audit(CUSTOMERS), "dev").select(file_label(), "status", "error_count", reason, "start_time")
 
 
 # -- whole loads ---------------------------------------------------------------
@@ -523,7 +578,7 @@ def staged_files_streamed_into_typed(spark: SparkSession, sf_dir: str) -> DataFr
 def procedure_called(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A replay of all raw rows, the same again, and a table nobody knows."""
     store = Store(spark, scratch_dir(spark, "procedure_dispatch"))
-    store.write_load(feeds.event_raw(spark, sf_dir), store.raw_path(CUSTOMERS), 0)
+    store.write_landed(feeds.event_raw(spark, sf_dir), CUSTOMERS, 0)
     options = LoadOptions(load_ts=feeds.FIRST_LOAD)
     calls = []
     for number, name in enumerate(["customers", "customers", "invoices"], start=1):

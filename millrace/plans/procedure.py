@@ -6,11 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from millrace.functions.typed import typed
-from millrace.operators.merge import as_changes, reduce_batch
 from millrace.specs import BATCH_ID, LOAD_ID, SPECS, TableSpec
 from millrace.storage import Store
-from millrace.streaming.loader import LoadOptions
+from millrace.streaming.loader import LoadOptions, merge_load
 
 # The two answers of the procedure.
 MERGED = "OK: merged batch {batch} for table {table}"
@@ -27,7 +25,8 @@ def merge_cdc_batch(
     """Merges raw rows of ``table`` into its typed table and says so.
 
     Without ``batch_id`` all raw rows are replayed, with one only that batch's. Running
-    it again leaves the same typed rows. One writer per table at a time.
+    it again leaves the same typed rows. Values that do not cast and strings that are too long
+    are treated as ``options`` say, as in a load. One writer per table at a time.
     """
     spec = specs.get(table)
     if spec is None:
@@ -36,7 +35,5 @@ def merge_cdc_batch(
     if batch_id is not None:
         raw = raw.filter(F.col(BATCH_ID) == batch_id)
     load_id = store.load_id(spec, "hand", uuid.uuid4().hex)
-    rows = typed(raw.drop(LOAD_ID), spec, "fail", options.on_long, options.normalize_utc)
-    changes = rows if spec.changelog else as_changes(reduce_batch(rows, spec), spec, options.started())
-    store.write_changes(spec, changes, load_id)
+    merge_load(store, spec, raw.drop(LOAD_ID), load_id, options, options.started())
     return MERGED.format(batch="all" if batch_id is None else batch_id, table=table)

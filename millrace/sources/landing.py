@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -40,8 +41,9 @@ def to_raw(
     cdc_ts: Column | None = None,
     position: Column | None = None,
     record_col: str = "record",
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Raw rows of parsed records.
+    """Raw rows of parsed records, with the columns ``also`` as they are.
 
     Needs ``record`` and ``_source_file``. The batch id is the file's path unless
     given. A polled feed writes a constant operation and the load time; a change log
@@ -61,6 +63,7 @@ def to_raw(
         F.col(SOURCE_FILE),
         batch_id.alias(BATCH_ID),
         (F.col(POSITION) if position is None else position).alias(POSITION),
+        *also,
     ]
     return good.select(*columns)
 

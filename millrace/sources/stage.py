@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.folders import read_text
 from millrace.specs import POSITION, SOURCE_FILE
 
 # The staged folder and the two date layouts under <table>/.
@@ -61,13 +64,39 @@ def record_position(item: str | Column = "item") -> Column:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files under ``path`` with size and time; their content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified"))
-    )
+    """Files under ``path`` with size and time, named as ``_metadata.file_path`` names them; their content is not read.
+
+    Spark scans no file without bytes, so those come from the listing alone, without a time.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = spark.createDataFrame([(as_in_metadata(f),) for f in found.inputFiles()], "file string")
+    sizes = found.select(F.col("_metadata.file_path").alias("file"), "length", F.col("modificationTime").alias("modified"))
+    return names.join(sizes, "file", "left").fillna(0, ["length"])
+
+
+def as_in_metadata(file: str) -> str:
+    """A file's name as ``_metadata.file_path`` has it: local ones with one slash."""
+    return "file:/" + file.removeprefix("file:///") if file.startswith("file:///") else file
+
+
+def batch_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
+    """The files of a micro-batch of one file source, also those without a line, as its checkpoint lists them.
+
+    ``offsets`` tells up to which listing each batch goes, ``sources/0`` holds the listings; every tenth
+    repeats those before it in a file of its own.
+    """
+
+    def listed_to(batch: int) -> int:
+        last = (read_text(spark, f"{checkpoint}/offsets/{batch}") or "").strip().split("\n")[-1]
+        return json.loads(last)["logOffset"] if last.startswith("{") else -1
+
+    found = []
+    for n in range(listed_to(batch_id - 1) + 1, listed_to(batch_id) + 1):
+        path = f"{checkpoint}/sources/0/{n}"
+        text = read_text(spark, path) or read_text(spark, f"{path}.compact") or ""
+        entries = [json.loads(line) for line in text.split("\n") if line.startswith("{")]
+        found += [as_in_metadata(e["path"]) for e in entries if e["batchId"] == n]
+    return sorted(set(found))
 
 
 def write_stage(

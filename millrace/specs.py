@@ -13,6 +13,8 @@ SOURCE_FILE = "_source_file"
 BATCH_ID = "_batch_id"
 RECORD = "_raw_json"
 POSITION = "_record_pos"
+RAW_KEY = "_key"
+RAW_CURSOR = "_cursor"
 LOAD_ID = "_load_id"
 ETL_LOADED_AT = "_etl_loaded_at"
 ETL_BATCH_ID = "_etl_batch_id"

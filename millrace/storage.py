@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.folders import folder_bytes, folder_names, path_exists, remove_folder
+from millrace.functions.typed import cast_field
 from millrace.loads import LoadIds
+from millrace.operators.files import ERROR_DAYS
 from millrace.operators.merge import apply_changelog, fold_loads, insert_all, merge_changes
 from millrace.specs import (
     BATCH_ID,
@@ -18,12 +22,24 @@ from millrace.specs import (
     LOADED_AT,
     POSITION,
     POSITION_TYPE,
+    RAW_CURSOR,
+    RAW_KEY,
+    RECORD,
     SOURCE_FILE,
     TableSpec,
 )
 
 LOAD_FIELD = T.StructField(LOAD_ID, T.LongType())
 
+# How a landed record came out, and the day of its load.
+OUTCOME, GOOD, BAD = "_outcome", "good", "bad"
+DAY = "_day"
+
+# Bytes of a file of a folded day, about.
+FOLDED_FILE_BYTES = 512 * 1024 * 1024
+# Values of a key column in one file that its bloom filter is made for, and how often that says yes for nothing.
+BLOOM_KEYS, BLOOM_ERROR = 1_000_000, 0.01
+
 # Columns of the error area.
 ERROR_SCHEMA = T.StructType(
     [
@@ -73,25 +89,6 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything lies at ``path`` in its file system."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def remove_folder(spark: SparkSession, path: str) -> bool:
-    """Deletes a folder; False when there was none."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of what lies directly in a folder; none when there is no such folder."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return sorted(f.getPath().getName() for f in fs.listStatus(target)) if fs.exists(target) else []
-
-
 def bucket_of(key: str, buckets: int) -> Column:
     """The bucket of a key: the partition that Spark's hash partitioning and bucketing give it."""
     return F.pmod(F.hash(key), F.lit(buckets))
@@ -102,6 +99,31 @@ def if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
+def landed_schema(spec: TableSpec) -> T.StructType:
+    """Good and refused records of a load as they lie on disk.
+
+    The key and the cursor are real columns beside the record, so that Parquet skips what a filter on them rules out.
+    """
+    out = T.StructType(list(spec.raw_schema.fields))
+    key, cursor = (T.DataType.fromDDL(spec.field(c).type) for c in (spec.key, spec.cursor))
+    return out.add(RAW_KEY, key).add(RAW_CURSOR, cursor).add("line", T.StringType()).add("reason", T.StringType())
+
+
+def stored_raw_schema(spec: TableSpec) -> T.StructType:
+    """A raw row as it is read: the record with its lineage, the real columns, and its load."""
+    own = [f for f in landed_schema(spec).fields if f.name not in ("line", "reason")]
+    return T.StructType([*own, LOAD_FIELD])
+
+
+def bloom_options(column: str) -> dict[str, str]:
+    return {
+        f"parquet.bloom.filter.enabled#{column}": "true",
+        f"parquet.bloom.filter.expected.ndv#{column}": str(BLOOM_KEYS),
+        f"parquet.bloom.filter.fpp#{column}": str(BLOOM_ERROR),
+        "parquet.bloom.filter.adaptive.enabled": "true",
+    }
+
+
 def with_load_id(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, LOAD_FIELD])
 
@@ -142,14 +164,22 @@ class Store:
     # -- folders ---------------------------------------------------------
 
     def raw_path(self, spec: TableSpec) -> str:
+        """Landed records by load and outcome, until their day is folded."""
         return f"{self.root}/raw/{spec.raw_name}"
 
+    def days_path(self, spec: TableSpec) -> str:
+        """Raw rows of folded loads by day."""
+        return f"{self.root}/raw_days/{spec.raw_name}"
+
     def errors_path(self, spec: TableSpec) -> str:
         return f"{self.root}/errors/{spec.name}"
 
     def audit_path(self, spec: TableSpec) -> str:
         return f"{self.root}/audit/{spec.name}"
 
+    def failures_path(self, spec: TableSpec) -> str:
+        return f"{self.root}/failures/{spec.name}"
+
     def base_path(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.namespace}/{spec.name}/base"
 
@@ -169,8 +199,32 @@ class Store:
             writer = writer.partitionBy(by)
         writer.parquet(f"{path}/{LOAD_ID}={load_id}")
 
+    def write_landed(
+        self, rows: DataFrame, spec: TableSpec, load_id: int, max_records: int | None = None
+    ) -> None:
+        """Records of a load in one job, parted by outcome and sorted by key; a repeat overwrites them.
+
+        ``rows`` has the raw columns, and ``reason`` and ``line`` where records were refused.
+        """
+        if "reason" not in rows.columns:
+            rows = rows.withColumns({"reason": F.lit(None).cast("string"), "line": F.lit(None).cast("string")})
+        record = F.col(RECORD)
+        rows = rows.select(
+            *spec.raw_schema.names,
+            cast_field(record, spec.field(spec.key), strict=False).alias(RAW_KEY),
+            cast_field(record, spec.field(spec.cursor), strict=False).alias(RAW_CURSOR),
+            "line",
+            "reason",
+            F.when(F.col("reason").isNull(), GOOD).otherwise(BAD).alias(OUTCOME),
+        )
+        writer = rows.sortWithinPartitions(OUTCOME, RAW_KEY).write.mode("overwrite").partitionBy(OUTCOME)
+        writer = writer.options(**bloom_options(RAW_KEY))
+        if max_records:
+            writer = writer.option("maxRecordsPerFile", max_records)
+        writer.parquet(f"{self.raw_path(spec)}/{LOAD_ID}={load_id}")
+
     def write_errors(self, spec: TableSpec, step: str, load_id: int, errors: DataFrame | None) -> None:
-        """Refused records of one step of a load; None clears what an earlier try left."""
+        """Refused records of a step after landing; None clears what an earlier try left."""
         path = f"{self.errors_path(spec)}/step={step}"
         if errors is None:
             if not path_exists(self.spark, f"{path}/{LOAD_ID}={load_id}"):
@@ -188,31 +242,164 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", path).parquet(folder)
 
+    def open_loads(self, spec: TableSpec) -> list[int]:
+        """Loads whose records lie in folders of their own, those of finished folds left out."""
+        names = folder_names(self.spark, self.raw_path(spec))
+        loads = sorted(int(n.removeprefix(f"{LOAD_ID}=")) for n in names if n.startswith(f"{LOAD_ID}="))
+        folds = [v for v in self._folds(spec) if loads and v >= loads[0]]
+        if not folds:
+            return loads
+        # a fold that could not remove its folders, or a load that was repeated after it
+        taken = self.spark.read.schema(T.StructType([LOAD_FIELD])).parquet(*[f"{self._marks_path(spec)}/v={v}" for v in folds])
+        gone = {r[0] for r in taken.filter(F.col(LOAD_ID).isin(loads)).collect()}
+        return [n for n in loads if n not in gone]
+
+    def _landed(self, spec: TableSpec, loads: list[int]) -> DataFrame:
+        """Landed records of some loads, good and bad."""
+        path = self.raw_path(spec)
+        schema = T.StructType([*landed_schema(spec).fields, LOAD_FIELD, T.StructField(OUTCOME, T.StringType())])
+        if not loads:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{LOAD_ID}={n}" for n in loads])
+
+    def landed(self, spec: TableSpec, load_id: int) -> DataFrame:
+        """All records of a load that is not folded yet, with the reason of those that were refused."""
+        return self._landed(spec, [load_id])
+
     def raw(self, spec: TableSpec, load_id: int | None = None) -> DataFrame:
-        """Raw rows of all loads or of one; an append-only table that may repeat records."""
-        return self.read(self.raw_path(spec), with_load_id(spec.raw_schema), load_id)
+        """Raw rows of all loads or of one; an append-only table that may repeat records.
+
+        Beside the record and its lineage a row has ``_key`` and ``_cursor``, which filters should use: Parquet
+        skips row groups by them. Folded days come first, then the loads since.
+        """
+        names = stored_raw_schema(spec).names
+        if load_id is not None and path_exists(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={load_id}"):
+            return self._landed(spec, [load_id]).filter(F.col(OUTCOME) == GOOD).select(*names)
+        rows = self._landed(spec, [] if load_id is not None else self.open_loads(spec)).filter(F.col(OUTCOME) == GOOD).select(*names)
+        folds = self._folds(spec)
+        if folds:
+            rows = self._days(spec, folds).select(*names).unionByName(rows)
+        return rows if load_id is None else rows.filter(F.col(LOAD_ID) == load_id)
 
     def errors(self, spec: TableSpec) -> DataFrame:
-        return self.read(self.errors_path(spec), ERROR_SCHEMA)
+        """Refused records of landing and of later steps."""
+        rows = self._as_errors(self._landed(spec, self.open_loads(spec)).filter(F.col(OUTCOME) == BAD))
+        later = self.read(self.errors_path(spec), ERROR_SCHEMA)
+        return rows.unionByName(later.filter((F.col("step") != "parse") | F.col(LOAD_ID).isin(self._folds(spec))))
+
+    def _all_loads(self, spec: TableSpec) -> list[int]:
+        names = folder_names(self.spark, self.raw_path(spec))
+        return sorted(int(n.removeprefix(f"{LOAD_ID}=")) for n in names if n.startswith(f"{LOAD_ID}="))
+
+    def _as_errors(self, rows: DataFrame) -> DataFrame:
+        return rows.select(
+            "line", SOURCE_FILE, "reason", LOADED_AT, F.col(LOADED_AT).cast("date").alias("dt"), F.lit("parse").alias("step"), LOAD_ID
+        )
 
     def load_errors(self, spec: TableSpec, step: str, load_id: int) -> DataFrame:
         """Refused records of one step of one load."""
+        if step == "parse" and path_exists(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={load_id}"):
+            return self._as_errors(self._landed(spec, [load_id]).filter(F.col(OUTCOME) == BAD))
         schema = T.StructType([f for f in ERROR_SCHEMA.fields if f.name != "step"])
         return self.read(f"{self.errors_path(spec)}/step={step}", schema, load_id)
 
-    def audit(self, spec: TableSpec) -> DataFrame:
-        return self.read(self.audit_path(spec), AUDIT_SCHEMA)
+    # -- days ------------------------------------------------------------
 
-    def base_versions(self, spec: TableSpec) -> list[int]:
-        """The finished bases, by the load up to which each goes; a listing, not a job."""
+    def _marks_path(self, spec: TableSpec) -> str:
+        return f"{self.days_path(spec)}/folds"
+
+    def _folds(self, spec: TableSpec) -> list[int]:
+        """Finished folds of landed loads, each by its last load."""
+        return self._finished(self._marks_path(spec))
+
+    def _finished(self, path: str) -> list[int]:
+        """The versions under ``path`` whose job is done; a listing, not a job."""
         found = []
-        for name in folder_names(self.spark, self.bases_path(spec)):
-            parts = folder_names(self.spark, f"{self.bases_path(spec)}/{name}")
+        for name in folder_names(self.spark, path):
             # Spark shows a file only once its job is done
-            if any(not part.startswith(("_", ".")) for part in parts):
+            if any(not part.startswith(("_", ".")) for part in folder_names(self.spark, f"{path}/{name}")):
                 found.append(int(name.removeprefix("v=")))
         return sorted(found)
 
+    def _days(self, spec: TableSpec, folds: list[int]) -> DataFrame:
+        """Rows of folded days; ``_day`` prunes whole folders."""
+        path = f"{self.days_path(spec)}/rows"
+        schema = T.StructType([*stored_raw_schema(spec).fields, T.StructField("v", T.LongType()), T.StructField(DAY, T.DateType())])
+        there = [f"{path}/v={v}" for v in folds if path_exists(self.spark, f"{path}/v={v}")]
+        if not there:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*there)
+
+    def fold_days(self, spec: TableSpec, before: date | str, file_bytes: int = FOLDED_FILE_BYTES) -> list[int]:
+        """Moves the loads that ended before a day into a few files a day, sorted by key; which loads.
+
+        Their refused records move to the error area. A key with much of a day spreads over several files. What is
+        folded is marked last, and folders of loads go after that, so a crash loses and repeats nothing. Not to be run
+        beside a load that is being repeated.
+        """
+        loads = self.open_loads(spec)
+        landed = self._landed(spec, loads)
+        ended = landed.groupBy(LOAD_ID).agg(F.max(LOADED_AT).alias("last"))
+        later = {r[0] for r in ended.filter(F.col("last") >= F.lit(str(before)).cast("date")).select(LOAD_ID).collect()}
+        closed = [n for n in loads if n not in later]
+        if closed:
+            version, path = max(closed), self.days_path(spec)
+            for name in folder_names(self.spark, f"{path}/rows"):
+                if int(name.removeprefix("v=")) not in self._folds(spec):
+                    remove_folder(self.spark, f"{path}/rows/{name}")
+            landed = self._landed(spec, closed)
+            rows = landed.filter(F.col(OUTCOME) == GOOD).select(*stored_raw_schema(spec).names, F.col(LOADED_AT).cast("date").alias(DAY))
+            size = sum(folder_bytes(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={n}") for n in closed)
+            order = [DAY, RAW_KEY, LOAD_ID, SOURCE_FILE, POSITION]
+            rows = rows.repartitionByRange(max(1, -(-size // file_bytes)), *order).sortWithinPartitions(DAY, RAW_KEY)
+            rows.write.mode("overwrite").partitionBy(DAY).options(**bloom_options(RAW_KEY)).parquet(f"{path}/rows/v={version}")
+            bad = self._as_errors(landed.filter(F.col(OUTCOME) == BAD)).drop("step", LOAD_ID)
+            bad.coalesce(1).write.mode("overwrite").partitionBy("dt").parquet(f"{self.errors_path(spec)}/step=parse/{LOAD_ID}={version}")
+            marks = self.spark.createDataFrame([(n,) for n in closed], T.StructType([LOAD_FIELD]))
+            marks.coalesce(1).write.mode("overwrite").parquet(f"{self._marks_path(spec)}/v={version}")
+        for n in [*closed, *(n for n in self._all_loads(spec) if n not in loads)]:
+            remove_folder(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={n}")
+        return closed
+
+    def expire_days(self, spec: TableSpec, before: date | str) -> list[str]:
+        """Removes folded raw rows of the days before one, whole folders without reading them; which."""
+        path, gone = f"{self.days_path(spec)}/rows", []
+        for version in folder_names(self.spark, path):
+            for day in folder_names(self.spark, f"{path}/{version}"):
+                if day.startswith(f"{DAY}=") and day.removeprefix(f"{DAY}=") < str(before)[:10]:
+                    remove_folder(self.spark, f"{path}/{version}/{day}")
+                    gone.append(day.removeprefix(f"{DAY}="))
+        return sorted(set(gone))
+
+    def expire_errors(self, spec: TableSpec, now: datetime | str, days: int = ERROR_DAYS) -> list[str]:
+        """Removes refused records older than ``days``; those of loads not folded yet stay with them. Which days went."""
+        last_kept = str(datetime.fromisoformat(str(now)).date() - timedelta(days=days))
+        gone = []
+        for step in folder_names(self.spark, self.errors_path(spec)):
+            for load in folder_names(self.spark, f"{self.errors_path(spec)}/{step}"):
+                folder = f"{self.errors_path(spec)}/{step}/{load}"
+                for day in folder_names(self.spark, folder):
+                    if day.startswith("dt=") and day.removeprefix("dt=") < last_kept:
+                        remove_folder(self.spark, f"{folder}/{day}")
+                        gone.append(day.removeprefix("dt="))
+        return sorted(set(gone))
+
+    # -- history and typed tables ----------------------------------------
+
+    def audit(self, spec: TableSpec) -> DataFrame:
+        """One row per file of each load, and one per file of each try that failed (``row_parsed`` is NULL there)."""
+        failed = self.read(self.failures_path(spec), AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
+        return self.read(self.audit_path(spec), AUDIT_SCHEMA).unionByName(failed)
+
+    def write_failure(self, spec: TableSpec, load_id: int | None, rows: DataFrame) -> None:
+        """History of a try that failed. It has a folder of its own, so that the repeat that succeeds does not hide it."""
+        out = rows.select(*[F.col(f.name).cast(f.dataType) for f in AUDIT_SCHEMA.fields if f.name != LOAD_ID])
+        out.withColumn(LOAD_ID, F.lit(load_id).cast("long")).coalesce(1).write.parquet(f"{self.failures_path(spec)}/try={uuid.uuid4().hex}")
+
+    def base_versions(self, spec: TableSpec) -> list[int]:
+        """The finished bases, by the load up to which each goes."""
+        return self._finished(self.bases_path(spec))
+
     def base_version(self, spec: TableSpec) -> int | None:
         """The load up to which the newest finished base goes."""
         return max(self.base_versions(spec), default=None)
@@ -256,7 +443,7 @@ class Store:
 
     def _highest(self, spec: TableSpec) -> int | None:
         """The highest id that raw or typed data have."""
-        found = [self.raw(spec).agg(F.max(LOAD_ID)).first()[0], self.last_load(spec)]
+        found = [*self._all_loads(spec)[-1:], *self._folds(spec)[-1:], self.last_load(spec)]
         return max((n for n in found if n is not None), default=None)
 
     def write_changes(self, spec: TableSpec, changes: DataFrame, load_id: int) -> None:

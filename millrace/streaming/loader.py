@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.records import REASON, parse_lines, split_parsed
-from millrace.functions.typed import BAD_FIELDS, cast_field, split_bad, typed
-from millrace.operators.files import audit_rows
+from millrace.functions.records import NO_CHANGE_TIME, REASON, parse_lines, without_lead
+from millrace.functions.typed import BAD_FIELDS, cast_field, cut_fields, split_bad, typed
+from millrace.operators.files import COPY, MERGE, audit_rows, failure_rows
 from millrace.operators.merge import as_changes, now_ntz, reduce_batch
 from millrace.sources.landing import UNKNOWN_OPERATION, change_time_of, epoch_millis_batch_id, operation_of, to_raw
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm
-from millrace.sources.stage import read_stage, record_position, with_line_numbers
+from millrace.sources.stage import as_in_metadata, batch_files, read_stage, record_position, with_line_numbers
 from millrace.specs import LOADED_AT, OP_POLLED, POSITION_TYPE, RECORD, SOURCE_FILE, TableSpec
 from millrace.storage import Store
 
@@ -33,7 +35,7 @@ class LoadOptions:
 
     on_error: str = "continue"
     on_bad: str = "fail"
-    on_long: str = "truncate"
+    on_long: str = "quarantine"
     normalize_utc: bool = False
     merge: bool = True
     compact_every: int | None = None
@@ -45,21 +47,30 @@ class LoadOptions:
 
 
 def parsed_records(lines: DataFrame, spec: TableSpec) -> DataFrame:
-    """Numbered lines parsed into records; a change log also needs a known operation."""
+    """Numbered lines parsed into records; a change log also needs a known operation and a time to order by."""
     parsed = parse_lines(with_line_numbers(lines))
     if spec.changelog:
-        unknown = F.col(REASON).isNull() & operation_of(F.col("record")).isNull()
-        parsed = parsed.withColumn(REASON, F.when(unknown, UNKNOWN_OPERATION).otherwise(F.col(REASON)))
+        record = F.col("record")
+        lacking = F.when(operation_of(record).isNull(), UNKNOWN_OPERATION).when(change_time_of(record).isNull(), NO_CHANGE_TIME)
+        parsed = parsed.withColumn(REASON, F.coalesce(REASON, lacking))
     return parsed
 
 
-def raw_of(good: DataFrame, spec: TableSpec, load_ts: datetime | str | None) -> DataFrame:
-    """Raw rows of good records; a change log brings its own operation and time."""
-    position = record_position()
+def landed_of(parsed: DataFrame, spec: TableSpec, load_ts: datetime | str | None) -> DataFrame:
+    """Raw rows of all parsed records; refused ones have no record but their text and the reason.
+
+    A change log brings its own operation and time. Of an array only the refused item is kept as text.
+    """
+    refused = F.col(REASON).isNotNull()
+    text = F.when(without_lead(F.col("value")).startswith("["), F.to_json("record"))
+    parsed = parsed.withColumns(
+        {"line": F.when(refused, F.coalesce(text, F.col("value"))), "record": F.when(~refused, F.col("record"))}
+    )
+    position, also = record_position(), ("line", REASON)
     if not spec.changelog:
-        return to_raw(good, spec, OP_POLLED, load_ts, position=position)
+        return to_raw(parsed, spec, OP_POLLED, load_ts, position=position, also=also)
     record = F.col("record")
-    return to_raw(good, spec, operation_of(record), load_ts, cdc_ts=change_time_of(record), position=position)
+    return to_raw(parsed, spec, operation_of(record), load_ts, cdc_ts=change_time_of(record), position=position, also=also)
 
 
 def _errors(rows: DataFrame, load_ts: datetime | str) -> DataFrame:
@@ -67,65 +78,127 @@ def _errors(rows: DataFrame, load_ts: datetime | str) -> DataFrame:
     return rows.select("line", SOURCE_FILE, "reason", loaded.alias(LOADED_AT), loaded.cast("date").alias("dt"))
 
 
+# Stands before the text with which a load stops at its first refused record.
+_ABORT = "refused record in ["
+
+
 def copy_into_raw(
     store: Store, spec: TableSpec, lines: DataFrame, load_id: int, options: LoadOptions, load_ts: datetime | str
 ) -> None:
-    """Appends the good records of ``lines`` to the raw table as load ``load_id``.
+    """Appends the records of ``lines`` to the raw table as load ``load_id``, in one pass over the lines.
 
-    Bad records go to the error area with their reason, or with ``on_error='abort'``
-    stop the load before anything is written.
+    Refused records go to the error area with their reason, or with ``on_error='abort'``
+    the first one stops the load and nothing of it is seen.
     """
+    if options.on_error not in ("continue", "abort"):
+        raise ValueError(f"unknown error policy {options.on_error!r}")
     parsed = parsed_records(lines, spec)
-    _, bad = split_parsed(parsed)
     if options.on_error == "abort":
-        first = bad.select(SOURCE_FILE, REASON).take(1)
-        if first:
-            raise BadRecords(f"{first[0][SOURCE_FILE]}: {first[0][REASON]}")
-    elif options.on_error != "continue":
-        raise ValueError(f"unknown error policy {options.on_error!r}")
-    seen = Observation()
-    good, _ = split_parsed(parsed.observe(seen, F.count_if(F.col(REASON).isNotNull()).alias("bad")))
-    store.write_load(raw_of(good, spec, load_ts), store.raw_path(spec), load_id, options.max_records_per_file)
-    # The lines are read again only when something was refused.
-    errors = bad.withColumnRenamed("value", "line") if seen.get["bad"] else None
-    store.write_errors(spec, "parse", load_id, None if errors is None else _errors(errors, load_ts))
+        stop = F.raise_error(F.concat(F.lit(_ABORT), F.col(SOURCE_FILE), F.lit(": "), F.col(REASON), F.lit("]")))
+        parsed = parsed.withColumn(REASON, F.when(F.col(REASON).isNotNull(), stop.cast("string")))
+    try:
+        store.write_landed(landed_of(parsed, spec, load_ts), spec, load_id, options.max_records_per_file)
+    except PySparkException as e:
+        if options.on_error == "abort" and _ABORT in str(e):
+            raise BadRecords(str(e).split(_ABORT, 1)[1].split("\n")[0].rsplit("]", 1)[0]) from e
+        raise
 
 
 def merge_load(
     store: Store, spec: TableSpec, raw: DataFrame, load_id: int, options: LoadOptions, load_ts: datetime | str
 ) -> None:
-    """Writes the changes that load ``load_id`` brings to the typed table."""
-    rows = typed(raw, spec, options.on_bad, options.on_long, options.normalize_utc)
+    """Writes the changes that load ``load_id`` brings to the typed table.
+
+    Records set aside for a value go to the error area under the step ``cast``; records with a string that was cut are
+    listed there under ``cut``. Both are read again only when there are any.
+    """
+    policy = (options.on_bad, options.on_long, options.normalize_utc)
+    seen = Observation()
+    aside, cut = F.lit(0).cast("long"), F.lit(0).cast("long")
+    rows = typed(raw, spec, *policy)
+    if BAD_FIELDS in rows.columns:
+        aside = F.count_if(F.size(BAD_FIELDS) > 0)
+    if options.on_long == "truncate":
+        cut = F.count_if(F.size(cut_fields(spec)) > 0)
+        rows = typed(raw, spec, *policy, keep_record=True)
+    rows = rows.observe(seen, aside.alias("aside") if BAD_FIELDS in rows.columns else F.count_if(F.lit(False)).alias("aside"), cut.alias("cut") if options.on_long == "truncate" else F.count_if(F.lit(False)).alias("cut"))
     if BAD_FIELDS in rows.columns:
         rows, _ = split_bad(rows)
-        with_record = typed(raw, spec, options.on_bad, options.on_long, options.normalize_utc, keep_record=True)
-        _, bad = split_bad(with_record)
-        bad = bad.withColumn("line", F.to_json(RECORD)).withColumn(
-            "reason", F.concat(F.lit("bad value: "), F.array_join(BAD_FIELDS, ", "))
-        )
-        store.write_errors(spec, "cast", load_id, _errors(bad, load_ts))
-    changes = rows if spec.changelog else as_changes(reduce_batch(rows, spec), spec, load_ts)
+    changes = rows.drop(RECORD) if spec.changelog else as_changes(reduce_batch(rows.drop(RECORD), spec), spec, load_ts)
     store.write_changes(spec, changes, load_id)
+    bad = long = None
+    if seen.get["aside"]:
+        _, bad = split_bad(typed(raw, spec, *policy, keep_record=True))
+        bad = _told(bad, "bad value: ", F.col(BAD_FIELDS))
+    if seen.get["cut"]:
+        long = _told(raw.filter(F.size(cut_fields(spec)) > 0), "cut: ", cut_fields(spec))
+    for step, errors in (("cast", bad), ("cut", long)):
+        store.write_errors(spec, step, load_id, None if errors is None else _errors(errors, load_ts))
+
 
+def _told(rows: DataFrame, what: str, fields: Column) -> DataFrame:
+    return rows.withColumns({"line": F.to_json(RECORD), "reason": F.concat(F.lit(what), F.array_join(fields, ", "))})
 
-def write_audit(store: Store, spec: TableSpec, load_id: int, started: datetime | str, ended: datetime | str) -> None:
-    """Per-file counts of a load, taken from what was written."""
-    loaded, errors = store.raw(spec, load_id), store.load_errors(spec, "parse", load_id)
-    rows = audit_rows(loaded, errors, spec.raw_name, store.environment, started, ended)
+
+def write_audit(
+    store: Store, spec: TableSpec, load_id: int, started: datetime | str, ended: datetime | str, files: Sequence[str] = ()
+) -> None:
+    """Per-file counts of a load, taken from what was written; a file of ``files`` without records has a row too."""
+    listed = store.spark.createDataFrame([(f,) for f in files], "file string") if files else None
+    rows = audit_rows(store.landed(spec, load_id), spec.raw_name, store.environment, started, ended, listed)
     store.write_load(rows, store.audit_path(spec), load_id)
 
 
-def load_batch(store: Store, spec: TableSpec, lines: DataFrame, load_id: int, options: LoadOptions) -> None:
-    """One load from lines to raw rows, audit and typed changes; repeating it is safe."""
+def files_of(lines: DataFrame) -> list[str]:
+    """The files behind a batch frame, also those without a line."""
+    return sorted({as_in_metadata(f) for f in lines.inputFiles()})
+
+
+def _message(error: BaseException) -> str:
+    """What an error says without the frames of its stack, so that its causes are not cut off."""
+    lines = [line for line in str(error).split("\n") if line.strip() and not line.lstrip().startswith(("at ", "... "))]
+    return "\n".join(dict.fromkeys(lines))
+
+
+class _Failures:
+    """Writes a row to the load history for each file of a try that fails; the failure itself goes on."""
+
+    def __init__(self, store: Store, spec: TableSpec, load_id: int, started: datetime | str, files: Sequence[str]):
+        self.store, self.spec, self.load_id, self.started, self.files = store, spec, load_id, started, files
+        self.step = COPY
+
+    def __enter__(self) -> _Failures:
+        return self
+
+    def __exit__(self, kind: Any, error: BaseException | None, trace: Any) -> None:
+        if not isinstance(error, Exception):
+            return
+        rows = failure_rows(
+            self.store.spark, self.spec.raw_name, self.store.environment, self.step, list(self.files) or [None], _message(error), self.started
+        )
+        self.store.write_failure(self.spec, self.load_id, rows)
+
+
+def load_batch(
+    store: Store, spec: TableSpec, lines: DataFrame, load_id: int, options: LoadOptions, files: Sequence[str] | None = None
+) -> None:
+    """One load from lines to raw rows, audit and typed changes; repeating it is safe.
+
+    ``files`` names the batch's files where the frame itself does not. A try that fails leaves
+    rows in the load history, whatever becomes of the load later.
+    """
     started = options.started()
-    copy_into_raw(store, spec, lines, load_id, options, started)
-    write_audit(store, spec, load_id, started, options.started())
-    if options.merge:
-        merge_load(store, spec, store.raw(spec, load_id), load_id, options, started)
-        if options.compact_every:
-            base = store.base_version(spec)
-            if load_id - (-1 if base is None else base) >= options.compact_every:
-                store.compact(spec)
+    files = files_of(lines) if files is None else files
+    with _Failures(store, spec, load_id, started, files) as trying:
+        copy_into_raw(store, spec, lines, load_id, options, started)
+        write_audit(store, spec, load_id, started, options.started(), files)
+        if options.merge:
+            trying.step = MERGE
+            merge_load(store, spec, store.raw(spec, load_id), load_id, options, started)
+            if options.compact_every:
+                base = store.base_version(spec)
+                if load_id - (-1 if base is None else base) >= options.compact_every:
+                    store.compact(spec)
 
 
 def start_stream(
@@ -147,13 +220,16 @@ def start_stream(
     generation = PullState(store.spark, store.root).get(stream_feed(spec))["generation"]
     lines = read_stage(store.spark, stage_root, spec.namespace, spec.name, stream=True, whole=whole, **rate)
 
+    checkpoint = store.checkpoint_path(spec, generation)
+
     def body(batch: DataFrame, batch_id: int) -> None:
-        load_batch(store, spec, batch, store.load_id(spec, "stream", f"{generation}/{batch_id}"), options)
+        files = batch_files(store.spark, checkpoint, batch_id)
+        load_batch(store, spec, batch, store.load_id(spec, "stream", f"{generation}/{batch_id}"), options, files)
 
     return (
         lines.writeStream.foreachBatch(body)
         .queryName(f"load_{spec.namespace}_{spec.name}_{generation}")
-        .option("checkpointLocation", store.checkpoint_path(spec, generation))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
     )
@@ -198,12 +274,11 @@ def pull_once(
     )
     no_position = F.lit(None).cast(POSITION_TYPE)
     raw = to_raw(records, spec, OP_POLLED, started, epoch_millis_batch_id(started), position=no_position)
-    store.write_load(raw, store.raw_path(spec), load_id, options.max_records_per_file)
+    store.write_landed(raw, spec, load_id, options.max_records_per_file)
     written = store.raw(spec, load_id)
     hwm = next_hwm(written, cast_field(F.col(RECORD), spec.field(spec.cursor)))
     if hwm is None:
         return None
-    store.write_errors(spec, "parse", load_id, None)
     write_audit(store, spec, load_id, started, options.started())
     if options.merge:
         merge_load(store, spec, written, load_id, options, started)

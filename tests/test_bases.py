@@ -15,7 +15,7 @@ from millrace.streaming.loader import LoadOptions, merge_load
 
 def load(spark, store, load_id, records, spec=CUSTOMERS):
     raw = raw_customers(spark, [(r,) if isinstance(r, dict) else r for r in records], spec, loaded=load_id)
-    store.write_load(raw, store.raw_path(spec), load_id)
+    store.write_landed(raw, spec, load_id)
     merge_load(store, spec, store.raw(spec, load_id), load_id, LoadOptions(), at(load_id))
     return raw
 
