@@ -70,7 +70,7 @@ def typed(
     raw: DataFrame,
     spec: TableSpec,
     on_bad: str = "fail",
-    on_long: str = "fail",
+    on_long: str | None = None,
     normalize_utc: bool = False,
     keep_record: bool = False,
 ) -> DataFrame:
@@ -78,12 +78,13 @@ def typed(
 
     ``on_bad='fail'`` stops on a bad cast or a missing key. ``on_bad='quarantine'``
     keeps the row and lists the offending columns in ``_bad_fields``; ``split_bad``
-    then parts the rows. A string over its length stops or is set aside too; it is cut only
-    when ``on_long='truncate'`` asks for it. ``keep_record`` leaves the record itself in.
+    then parts the rows. A string over its length stops or is set aside likewise, unless ``on_long``
+    says otherwise; it is cut only when ``on_long='truncate'`` asks for it. ``keep_record`` leaves the record itself in.
     """
     if on_bad not in ("fail", "quarantine"):
         raise ValueError(f"unknown cast policy {on_bad!r}")
     strict = on_bad == "fail"
+    on_long = on_long or on_bad
     record = F.col(RECORD)
     columns, problems = [], []
     for f in spec.fields:
