@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from millrace.folders import remove_folder
 from millrace.session import scratch_dir
 
 
@@ -18,6 +19,24 @@ def stored(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one run that go as soon as they are told to; what reads them must be stored by then."""
+
+    def __init__(self):
+        self.paths: dict[int, str] = {}
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_dir(df.sparkSession, label)
+        df.write.parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            remove_folder(table.sparkSession, self.paths.pop(id(table)))
+
+
 def shuffle_width(spark) -> int:
     """How many shuffle partitions the session asks for; the user sizes it to the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
