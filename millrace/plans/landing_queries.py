@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.folders import folder_names
 from millrace.functions.records import parse_lines, parse_records
 from millrace.functions.typed import BAD_FIELDS, apply_length, cast_field, convert_record, split_bad, typed
 from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files
@@ -16,11 +18,13 @@ from millrace.plans.procedure import merge_cdc_batch
 from millrace.plans.registry import query
 from millrace.session import scratch_dir
 from millrace.sources.landing import change_time_of, operation_of, to_raw
+from millrace.sources.polling import read_polled
 from millrace.sources.pulls import PullState, incremental_pull, next_hwm, object_pull
 from millrace.sources.stage import LAYOUT_DAY, list_files, read_stage, stage_path, write_stage
-from millrace.specs import ACCOUNTS, CUSTOMERS, OP_DELETE, OP_UPDATE, ORDERS, SOURCE_FILE, Field
+from millrace.specs import ACCOUNTS, CUSTOMERS, OP_DELETE, OP_UPDATE, ORDERS, RAW_KEY, SOURCE_FILE, Field
 from millrace.storage import Store
-from millrace.streaming.loader import BadRecords, LoadOptions, copy_into_raw, load_batch, parsed_records, pull_once, start_stream
+from millrace.streaming.bins import FULL, start_binning, stop_between_batches
+from millrace.streaming.loader import BadRecords, LoadOptions, copy_into_raw, load_batch, parsed_records, pull_once, start_poll, start_stream
 
 EVENT_TEXT = feeds.EVENT_TEXT_SQL
 
@@ -241,13 +245,60 @@ def records_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Bounds of a bin, and what a micro-batch may take beyond its age.
+BIN_RECORDS, BIN_AGE_S, BIN_SLACK_S = 500, 2, 120
+
+
 @query(
     "bin_records",
     """
+    SELECT event_type, count(*) AS n_records, CAST(sum(event_id) AS BIGINT) AS sum_id, count(*) // 500 AS n_full,
+           CAST(0 AS BIGINT) AS n_oversized, CAST(0 AS BIGINT) AS n_overaged, TRUE AS files_agree
+    FROM events GROUP BY 1
+    """,
+)
+def records_binned_by_size_and_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events streamed into bins by type that close when full or old; their files hold every event once."""
+    root = scratch_dir(spark, "bin_records")
+    events = feeds.table(spark, sf_dir, "events")
+    wanted = events.count()
+    events.select("event_type", F.to_json(F.struct("event_id", "event_type")).alias("value")).repartition(4).write.json(f"{root}/in")
+    lines = spark.readStream.schema("event_type string, value string").json(f"{root}/in")
+    stream = start_binning(spark, lines, f"{root}/out", f"{root}/checkpoint", ["event_type"], BIN_RECORDS, BIN_AGE_S)
+    try:
+        # the last bins are not full and close by their age, which no source end brings about
+        until = time.time() + BIN_SLACK_S
+        while time.time() < until and not binned(spark, f"{root}/out/bins", wanted):
+            if stream.exception():
+                raise stream.exception()
+            time.sleep(0.5)
+    finally:
+        stop_between_batches(stream)
+    made = spark.read.parquet(f"{root}/out/bins").select("event_type", "lane", "number", "opened", "closed", "reason", "n_records")
+    files = spark.read.option("basePath", f"{root}/out/files").text(f"{root}/out/files")
+    per_file = files.groupBy("event_type", F.col("_metadata.file_path")).agg(F.count("*").alias("n"), F.sum(F.get_json_object("value", "$.event_id").cast("long")).alias("ids"))
+    per_type = per_file.groupBy("event_type").agg(F.sum("n").alias("n_records"), F.sum("ids").alias("sum_id"), F.count("*").alias("n_files"), F.count_if(F.col("n") > BIN_RECORDS).alias("n_oversized"))
+    aged = F.col("closed") - F.col("opened") > 1000 * (BIN_AGE_S + BIN_SLACK_S)
+    told = made.groupBy("event_type").agg(F.count("*").alias("n_bins"), F.count_if(F.col("reason") == FULL).alias("n_full"), F.count_if(aged).alias("n_overaged"))
+    agree = (F.col("n_files") == F.col("n_bins")).alias("files_agree")
+    return per_type.join(told, "event_type").select("event_type", "n_records", "sum_id", "n_full", "n_oversized", "n_overaged", agree)
+
+
+def binned(spark: SparkSession, path: str, wanted: int) -> bool:
+    """Whether so many records are in closed bins."""
+    if not any(n.startswith("batch=") for n in folder_names(spark, path)):
+        return False
+    rows = spark.read.schema("n_records int, batch int").parquet(path)
+    return (rows.agg(F.sum("n_records")).first()[0] or 0) >= wanted
+
+
+@query(
+    "bin_counts",
+    """
     SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS bin_start, count(*) AS n_records FROM events GROUP BY 1
     """,
 )
-def records_binned_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records_counted_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bin_counts(feeds.table(spark, sf_dir, "events"), "ts", "5 minutes")
 
 
@@ -293,6 +344,42 @@ def rows_past_the_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "object_pull",
     """
+    WITH t AS (
+      SELECT lpad(CAST(s_suppkey AS VARCHAR), 18, '0') AS sf_id, s_name AS name,
+             TIMESTAMP '2024-01-01' + to_days(CAST(s_suppkey % 30 AS INTEGER)) AS last_modified_date, FALSE AS is_deleted
+      FROM supplier
+    ),
+    s AS (
+      SELECT lpad(CAST(c_custkey AS VARCHAR), 18, '0') AS sf_id, c_name AS name, c_custkey % 9 = 0 AS is_deleted,
+             TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 45 AS INTEGER)) AS last_modified_date
+      FROM customer
+    ),
+    n AS (SELECT * FROM s WHERE last_modified_date > (SELECT max(last_modified_date) FROM t))
+    SELECT coalesce(t.sf_id, n.sf_id) AS sf_id, coalesce(n.name, t.name) AS name,
+           coalesce(n.last_modified_date, t.last_modified_date) AS last_modified_date,
+           coalesce(n.is_deleted, t.is_deleted) AS is_deleted,
+           CASE WHEN t.sf_id IS NULL THEN TIMESTAMP '2024-01-05' ELSE TIMESTAMP '2024-01-01' END AS created_date,
+           (t.sf_id IS NOT NULL)::INT + (n.sf_id IS NOT NULL)::INT AS n_pulled
+    FROM t FULL OUTER JOIN n ON t.sf_id = n.sf_id
+    """,
+)
+def objects_pulled_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Account objects polled by their age field as a stream; the second pull goes on where the first one stopped."""
+    store, path = Store(spark, scratch_dir(spark, "object_pull")), scratch_dir(spark, "objects")
+    options = LoadOptions(load_ts=feeds.FIRST_LOAD)
+    for objects in (feeds.supplier_objects(spark, sf_dir), feeds.customer_objects(spark, sf_dir)):
+        fields = [f for f in ACCOUNTS.fields if f.path]
+        plain = objects.select(*[F.variant_get("_raw_json", f.path, f.type).alias(f.path.removeprefix("$.")) for f in fields])
+        plain.write.mode("append").parquet(path)
+        start_poll(store, ACCOUNTS, path, "LastModifiedDate", {"availableNow": True}, options).awaitTermination()
+    pulled = store.raw(ACCOUNTS).groupBy(F.col(RAW_KEY).alias("sf_id")).agg(F.count("*").cast("int").alias("n_pulled"))
+    columns = ["sf_id", "name", "last_modified_date", "is_deleted", "created_date", "n_pulled"]
+    return store.typed(ACCOUNTS).join(pulled, "sf_id").select(*columns)
+
+
+@query(
+    "objects_past_a_mark",
+    """
     SELECT lpad(CAST(c_custkey AS VARCHAR), 18, '0') AS sf_id, c_name AS name,
            TIMESTAMP '2024-01-01' + to_days(CAST(c_custkey % 45 AS INTEGER)) AS last_modified_date
     FROM customer
@@ -305,8 +392,46 @@ def objects_past_the_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed(fresh, ACCOUNTS).select("sf_id", "name", "last_modified_date")
 
 
+# Three polls: the first half, what came after it, and all again with a new checkpoint.
+POLL_ROUNDS_SQL = """
+  SELECT 1 AS round, * FROM events WHERE ts < TIMESTAMP '2024-01-16'
+  UNION ALL
+  SELECT 2, * FROM events WHERE ts >= TIMESTAMP '2024-01-16'
+  UNION ALL
+  SELECT 3, * FROM events
+"""
+
+
 @query(
     "hwm_advance",
+    f"""
+    SELECT 'ts' AS mark, round, count(*) AS n_rows, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS hwm
+    FROM ({POLL_ROUNDS_SQL}) GROUP BY round
+    UNION ALL
+    SELECT 'event_id', round, count(*), CAST(max(event_id) AS VARCHAR) FROM ({POLL_ROUNDS_SQL}) GROUP BY round
+    """,
+)
+def marks_move_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A growing table polled as a stream by a time and by a number; the marks are the stream's offsets."""
+    path, out = scratch_dir(spark, "polled"), scratch_dir(spark, "hwm_advance")
+    events = feeds.table(spark, sf_dir, "events")
+    first = F.col("ts") < feeds.at("2024-01-16")
+    for number, new in ((1, events.filter(first)), (2, events.filter(~first)), (3, events.limit(0))):
+        new.write.mode("append").parquet(path)
+        for mark in ("ts", "event_id"):
+
+            def body(batch: DataFrame, batch_id: int, folder: str = f"{out}/mark={mark}/round={number}") -> None:
+                batch.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+            checkpoint = f"{out}-checkpoints/{mark}/{'again' if number == 3 else 'first'}"
+            polled = read_polled(spark, path, mark).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+            polled.trigger(availableNow=True).start().awaitTermination()
+    top = F.when(F.col("mark") == "ts", F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).otherwise(F.max("event_id").cast("string"))
+    return spark.read.parquet(out).groupBy("mark", "round").agg(F.count("*").alias("n_rows"), top.alias("hwm"))
+
+
+@query(
+    "stored_marks",
     """
     SELECT 1 AS round, count(*) AS n_rows, max(ts) AS hwm FROM events WHERE ts < TIMESTAMP '2024-01-16'
     UNION ALL
@@ -316,8 +441,8 @@ def objects_past_the_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def mark_moves_on(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three polls: the first half, the rest after the stored mark, and all again after a reset."""
-    state = PullState(spark, scratch_dir(spark, "hwm_advance"))
+    """Three pulls of a source of any format: the first half, the rest after the stored mark, and all again after a reset."""
+    state = PullState(spark, scratch_dir(spark, "stored_marks"))
     events = feeds.table(spark, sf_dir, "events")
     rounds = []
     for number, source in enumerate([events.filter(F.col("ts") < feeds.at("2024-01-16")), events, events], start=1):

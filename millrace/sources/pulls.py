@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime, timedelta
 from typing import Any
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.typed import cast_field
+from millrace.sources.marks import packed_mark, unpacked_mark
 from millrace.specs import RECORD, Field
 from millrace.storage import if_exists
 
@@ -31,18 +33,21 @@ def incremental_pull(
     cursor_col: str | Column,
     hwm: Any = None,
     overlap: timedelta | int | None = None,
+    keep_null: bool = False,
 ) -> DataFrame:
     """Rows of ``src`` past ``hwm``; all rows when there is none yet.
 
     The comparison is a plain filter, so Parquet and JDBC sources evaluate it
     themselves. ``overlap`` steps the mark back to catch rows committed late with an
-    older cursor; the merge absorbs the repeats.
+    older cursor; the merge absorbs the repeats. ``keep_null`` takes rows without a cursor too,
+    each time, since no mark tells which of them are new.
     """
     if hwm is None:
         return src
     cursor = F.col(cursor_col) if isinstance(cursor_col, str) else cursor_col
     floor = hwm - overlap if overlap is not None else hwm
-    return src.filter(cursor > mark_literal(floor))
+    past = cursor > mark_literal(floor)
+    return src.filter(past | cursor.isNull() if keep_null else past)
 
 
 def object_pull(objects: DataFrame, age_field: Field, hwm: Any = None, overlap: timedelta | None = None) -> DataFrame:
@@ -60,11 +65,14 @@ def next_hwm(df: DataFrame, cursor_col: str | Column) -> Any:
     A zoned cursor gives its wall clock in the session's zone, which is also how
     ``incremental_pull`` compares it.
     """
+    return df.agg(top_of(df, cursor_col).alias("hwm")).first()["hwm"]
+
+
+def top_of(df: DataFrame, cursor_col: str | Column) -> Column:
+    """The aggregate behind ``next_hwm``."""
     cursor = F.col(cursor_col) if isinstance(cursor_col, str) else cursor_col
-    top = df.agg(F.max(cursor).alias("hwm"))
-    if top.schema["hwm"].dataType == T.TimestampType():
-        top = top.select(F.col("hwm").cast("timestamp_ntz"))
-    return top.first()["hwm"]
+    zoned = df.select(cursor.alias("hwm")).schema["hwm"].dataType == T.TimestampType()
+    return F.max(cursor.cast("timestamp_ntz") if zoned else cursor)
 
 
 STATE_SCHEMA = T.StructType(
@@ -72,14 +80,14 @@ STATE_SCHEMA = T.StructType(
         T.StructField("feed", T.StringType()),
         T.StructField("generation", T.LongType()),
         T.StructField("seq", T.LongType()),
-        T.StructField("hwm", T.TimestampNTZType()),
+        T.StructField("mark", T.StringType()),
         T.StructField("batch_id", T.StringType()),
     ]
 )
 
 
 class PullState:
-    """The high-water mark of each feed, one row, kept in two files written in turn.
+    """The high-water mark of each feed, of whatever type, one row, kept in two files written in turn.
 
     A crash while one is written leaves the other, which then only makes the last
     pull repeat. ``reset`` forgets the mark, so the next pull reads everything again.
@@ -99,13 +107,14 @@ class PullState:
             rows += slot.collect() if slot is not None else []
         if not rows:
             return {"feed": feed, "generation": 0, "seq": 0, "hwm": None, "batch_id": None}
-        return max(rows, key=lambda r: r["seq"]).asDict()
+        now = max(rows, key=lambda r: r["seq"]).asDict()
+        return now | {"hwm": unpacked_mark(json.loads(now.pop("mark")))}
 
-    def _put(self, feed: str, generation: int, seq: int, hwm: datetime | None, batch_id: str | None) -> None:
-        row = self.spark.createDataFrame([(feed, generation, seq, hwm, batch_id)], STATE_SCHEMA)
+    def _put(self, feed: str, generation: int, seq: int, hwm: Any, batch_id: str | None) -> None:
+        row = self.spark.createDataFrame([(feed, generation, seq, json.dumps(packed_mark(hwm)), batch_id)], STATE_SCHEMA)
         row.coalesce(1).write.mode("overwrite").parquet(self._slot(feed, seq))
 
-    def advance(self, feed: str, hwm: datetime | None, batch_id: str | None) -> None:
+    def advance(self, feed: str, hwm: Any, batch_id: str | None) -> None:
         """Keeps the later of the old and the new mark."""
         now = self.get(feed)
         marks = [m for m in (now["hwm"], hwm) if m is not None]

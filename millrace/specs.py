@@ -54,6 +54,11 @@ class TableSpec:
     def raw_name(self) -> str:
         return f"{self.name}_raw"
 
+    @property
+    def folder(self) -> str:
+        """The table's name in folders; a change log's rows never lie beside those of polls."""
+        return f"{self.name}_changelog" if self.changelog else self.name
+
     def field(self, name: str) -> Field:
         return next(f for f in self.fields if f.name == name)
 

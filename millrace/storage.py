@@ -165,29 +165,29 @@ class Store:
 
     def raw_path(self, spec: TableSpec) -> str:
         """Landed records by load and outcome, until their day is folded."""
-        return f"{self.root}/raw/{spec.raw_name}"
+        return f"{self.root}/raw/{spec.folder}_raw"
 
     def days_path(self, spec: TableSpec) -> str:
         """Raw rows of folded loads by day."""
-        return f"{self.root}/raw_days/{spec.raw_name}"
+        return f"{self.root}/raw_days/{spec.folder}_raw"
 
     def errors_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/errors/{spec.name}"
+        return f"{self.root}/errors/{spec.folder}"
 
     def audit_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/audit/{spec.name}"
+        return f"{self.root}/audit/{spec.folder}"
 
     def failures_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/failures/{spec.name}"
+        return f"{self.root}/failures/{spec.folder}"
 
     def base_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/{spec.namespace}/{spec.name}/base"
+        return f"{self.root}/{spec.namespace}/{spec.folder}/base"
 
     def bases_path(self, spec: TableSpec) -> str:
-        return f"{self.root}/{spec.namespace}/{spec.name}/bases"
+        return f"{self.root}/{spec.namespace}/{spec.folder}/bases"
 
     def checkpoint_path(self, spec: TableSpec, generation: int) -> str:
-        return f"{self.root}/checkpoints/{spec.name}/generation={generation}"
+        return f"{self.root}/checkpoints/{spec.folder}/generation={generation}"
 
     def write_load(
         self, df: DataFrame, path: str, load_id: int, max_records: int | None = None, by: str | None = None
@@ -416,7 +416,7 @@ class Store:
         Such a table is never changed: each base has one of its own, under a name nothing else has.
         """
         made, buckets, versions = self._manifest(spec, version)
-        name = f"millrace_{spec.namespace}_{spec.name}_{made}"
+        name = f"millrace_{spec.namespace}_{spec.folder}_{made}"
         if not self.spark.catalog.tableExists(name):
             folder = self.base_path(spec)
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.typed_schema.fields)
@@ -431,14 +431,14 @@ class Store:
 
     def changes_path(self, spec: TableSpec, base: int | None) -> str:
         """Changes lie beside those of the same base, so a read lists only what it needs."""
-        return f"{self.root}/{spec.namespace}/{spec.name}/changes/after={'start' if base is None else base}"
+        return f"{self.root}/{spec.namespace}/{spec.folder}/changes/after={'start' if base is None else base}"
 
     def load_id(self, spec: TableSpec, source: str, batch: str) -> int:
         """The id of a source's batch: the one it had if it is repeated, else one no load of the table has.
 
         Streams, polls and merges by hand all ask here, so none can take another's folders.
         """
-        ids = LoadIds(self.spark, f"{self.root}/state/loads/{spec.namespace}_{spec.name}")
+        ids = LoadIds(self.spark, f"{self.root}/state/loads/{spec.namespace}_{spec.folder}")
         return ids.take(source, batch, None if ids.started() else lambda: self._highest(spec))
 
     def _highest(self, spec: TableSpec) -> int | None:
@@ -514,7 +514,7 @@ class Store:
         """Writes rows by bucket under the version ``upto``, over what an unfinished try left; which buckets there are."""
         path = f"{self.base_path(spec)}/v={upto}"
         remove_folder(self.spark, path)
-        name = f"millrace_{spec.namespace}_{spec.name}_{uuid.uuid4().hex}"
+        name = f"millrace_{spec.namespace}_{spec.folder}_{uuid.uuid4().hex}"
         out = rows.withColumn(BUCKET, bucket_of(spec.key, buckets))
         out.write.partitionBy(BUCKET).bucketBy(buckets, spec.key).option("path", path).saveAsTable(name, format="parquet")
         # the table was only a way to write; its files stay
@@ -538,7 +538,7 @@ class Store:
         for version in old:
             made, _, _ = self._manifest(spec, version)
             remove_folder(self.spark, f"{self.bases_path(spec)}/v={version}")
-            self.spark.sql(f"DROP TABLE IF EXISTS millrace_{spec.namespace}_{spec.name}_{made}")
+            self.spark.sql(f"DROP TABLE IF EXISTS millrace_{spec.namespace}_{spec.folder}_{made}")
         if old:
             self._remove_unneeded(spec, needed, versions[-1])
         return old

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.records import NO_CHANGE_TIME, REASON, parse_lines, without_lead
-from millrace.functions.typed import BAD_FIELDS, cast_field, cut_fields, split_bad, typed
+from millrace.functions.typed import BAD_FIELDS, cut_fields, split_bad, typed
 from millrace.operators.files import COPY, MERGE, audit_rows, failure_rows
 from millrace.operators.merge import as_changes, now_ntz, reduce_batch
 from millrace.sources.landing import UNKNOWN_OPERATION, change_time_of, epoch_millis_batch_id, operation_of, to_raw
-from millrace.sources.pulls import PullState, incremental_pull, next_hwm
+from millrace.sources.polling import read_polled
+from millrace.sources.pulls import PullState, incremental_pull, top_of
 from millrace.sources.stage import as_in_metadata, batch_files, read_stage, record_position, with_line_numbers
 from millrace.specs import LOADED_AT, OP_POLLED, POSITION_TYPE, RECORD, SOURCE_FILE, TableSpec
 from millrace.storage import Store
@@ -228,7 +229,7 @@ def start_stream(
 
     return (
         lines.writeStream.foreachBatch(body)
-        .queryName(f"load_{spec.namespace}_{spec.name}_{generation}")
+        .queryName(f"load_{spec.namespace}_{spec.folder}_{generation}")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
@@ -236,7 +237,7 @@ def start_stream(
 
 
 def stream_feed(spec: TableSpec) -> str:
-    return f"stream_{spec.namespace}_{spec.name}"
+    return f"stream_{spec.namespace}_{spec.folder}"
 
 
 def reset_stream(store: Store, spec: TableSpec) -> None:
@@ -245,7 +246,28 @@ def reset_stream(store: Store, spec: TableSpec) -> None:
 
 
 def pull_feed(spec: TableSpec) -> str:
-    return f"pull_{spec.namespace}_{spec.name}"
+    return f"pull_{spec.namespace}_{spec.folder}"
+
+
+def load_rows(
+    store: Store, spec: TableSpec, rows: DataFrame, load_id: int, options: LoadOptions, cursor_col: str
+) -> tuple[int, Any]:
+    """One load of rows of a source table: raw rows, audit and typed changes. How many there were, and their largest cursor."""
+    started, name = options.started(), f"{spec.namespace}/{spec.name}"
+    with _Failures(store, spec, load_id, started, [name]) as trying:
+        seen = Observation()
+        top = top_of(rows, cursor_col)
+        record = F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("record")
+        records = rows.observe(seen, F.count(F.lit(1)).alias("n"), top.alias("top")).select(record, F.lit(name).alias(SOURCE_FILE))
+        no_position = F.lit(None).cast(POSITION_TYPE)
+        raw = to_raw(records, spec, OP_POLLED, started, epoch_millis_batch_id(started), position=no_position)
+        store.write_landed(raw, spec, load_id, options.max_records_per_file)
+        if seen.get["n"]:
+            write_audit(store, spec, load_id, started, options.started())
+            if options.merge:
+                trying.step = MERGE
+                merge_load(store, spec, store.raw(spec, load_id), load_id, options, started)
+    return seen.get["n"], seen.get["top"]
 
 
 def pull_once(
@@ -253,39 +275,55 @@ def pull_once(
     spec: TableSpec,
     source: DataFrame,
     cursor_col: str,
-    overlap: timedelta | None = None,
+    overlap: timedelta | int | None = None,
     options: LoadOptions = LoadOptions(),
 ) -> Any:
-    """One poll of a source table: rows past the mark become raw rows and typed changes.
+    """One poll of a source table: rows past the mark of ``cursor_col`` become raw rows and typed changes.
 
-    The mark moves only after everything is written. A crash before that makes the next
-    poll read the same rows again under the same load id. Returns the new mark, or None
-    when nothing was new.
+    The mark may be of any type that orders. It moves only after everything is written; a crash
+    before that makes the next poll read the same rows again under the same load id. Rows without a
+    cursor come with every poll. Returns the mark after the poll, or None when no row came.
     """
     state = PullState(store.spark, store.root)
     feed = pull_feed(spec)
     mark = state.get(feed)
-    started = options.started()
     load_id = store.load_id(spec, "pull", f"{mark['generation']}/{mark['seq']}")
-    fresh = incremental_pull(source, cursor_col, mark["hwm"], overlap)
-    records = fresh.select(
-        F.to_variant_object(F.struct(*[F.col(c) for c in source.columns])).alias("record"),
-        F.lit(f"{spec.namespace}/{spec.name}").alias(SOURCE_FILE),
-    )
-    no_position = F.lit(None).cast(POSITION_TYPE)
-    raw = to_raw(records, spec, OP_POLLED, started, epoch_millis_batch_id(started), position=no_position)
-    store.write_landed(raw, spec, load_id, options.max_records_per_file)
-    written = store.raw(spec, load_id)
-    hwm = next_hwm(written, cast_field(F.col(RECORD), spec.field(spec.cursor)))
-    if hwm is None:
+    fresh = incremental_pull(source, cursor_col, mark["hwm"], overlap, keep_null=True)
+    n, top = load_rows(store, spec, fresh, load_id, options, cursor_col)
+    if not n:
         return None
-    write_audit(store, spec, load_id, started, options.started())
-    if options.merge:
-        merge_load(store, spec, written, load_id, options, started)
-    state.advance(feed, hwm, str(load_id))
-    return hwm
+    state.advance(feed, top, str(load_id))
+    return state.get(feed)["hwm"]
+
+
+def start_poll(
+    store: Store,
+    spec: TableSpec,
+    path: str,
+    cursor_col: str,
+    trigger: dict[str, Any] | None = None,
+    options: LoadOptions = LoadOptions(),
+) -> StreamingQuery:
+    """Polls a Parquet table that grows, as a stream whose offsets are the marks of ``cursor_col``.
+
+    Marks, restart and the repeat of an unfinished poll are Spark's; ``reset_pull`` gives the next start a new
+    checkpoint, so that it reads everything again.
+    """
+    generation = PullState(store.spark, store.root).get(pull_feed(spec))["generation"]
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        load_rows(store, spec, batch, store.load_id(spec, "poll", f"{generation}/{batch_id}"), options, cursor_col)
+
+    return (
+        read_polled(store.spark, path, cursor_col)
+        .writeStream.foreachBatch(body)
+        .queryName(f"poll_{spec.namespace}_{spec.folder}_{generation}")
+        .option("checkpointLocation", f"{store.root}/checkpoints/poll_{spec.folder}/generation={generation}")
+        .trigger(**(trigger or DEFAULT_TRIGGER))
+        .start()
+    )
 
 
 def reset_pull(store: Store, spec: TableSpec) -> None:
-    """Forgets the mark: the next poll reads the whole source again."""
+    """Forgets the mark: the next poll, or the next start of a polling stream, reads the whole source again."""
     PullState(store.spark, store.root).reset(pull_feed(spec))
