@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace.functions.typed import cast_field
 from millrace.operators.merge import fits_broadcast
@@ -40,6 +41,29 @@ def field_conformance(raw: DataFrame, fields: Iterable[Field], record: str = REC
     return _stacked(wide, [f.name for f in fields], ["n_null", "n_bad"], "field")
 
 
+def column_conformance(df: DataFrame, expected: StructType) -> DataFrame:
+    """Per expected column: whether it is there with its type, rows, rows where it is NULL, and strings over their length.
+
+    One pass over the table, whatever the number of columns; counts of a column that is not there are NULL.
+    """
+    found = {f.name.lower(): f for f in df.schema.fields}
+    aggregates, states = [F.count("*").alias("n_rows")], []
+    for i, f in enumerate(expected.fields):
+        own = found.get(f.name.lower())
+        limit = (f.metadata or {}).get("max_length")
+        is_long = F.count_if(F.length(f.name) > limit) if own is not None and limit and own.dataType == f.dataType else F.lit(0).cast("long")
+        unknown = F.lit(None).cast("long")
+        aggregates += [
+            (unknown if own is None else F.count_if(F.col(f.name).isNull())).alias(f"n_null__{i}"),
+            (unknown if own is None else is_long).alias(f"n_long__{i}"),
+        ]
+        states.append((own is not None, own is not None and own.dataType == f.dataType))
+    wide = df.agg(*aggregates)
+    for i, (is_there, has_type) in enumerate(states):
+        wide = wide.withColumns({f"is_there__{i}": F.lit(is_there), f"has_type__{i}": F.lit(has_type)})
+    return _stacked(wide, expected.names, ["is_there", "has_type", "n_null", "n_long"], "column_name")
+
+
 def required_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per required column: rows and rows where it is NULL."""
     aggregates = [F.count("*").alias("n_rows")]

@@ -111,8 +111,8 @@ def write_stage(
 ) -> str:
     """Writes records as JSON lines under the feed's table, in folders by date.
 
-    ``max_records`` bounds the records of one file. Timestamps keep microseconds.
-    The frame's columns are the record; ``date_col`` only picks the folder.
+    ``max_records`` bounds the records of one file. Timestamps keep microseconds, with or without a zone.
+    The frame's columns are the record, whatever their names; ``date_col`` only picks the folder.
     """
     day = F.col(date_col).cast("date")
     if layout == LAYOUT_YMD_FOLDERS:
@@ -121,14 +121,18 @@ def write_stage(
         parts = {"dt": F.date_format(day, "yyyy-MM-dd")}
     else:
         raise ValueError(f"unknown date layout {layout!r}")
-    out = df.withColumns(parts)
+    options = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
+    clash = {c.lower() for c in df.columns} & set(parts)
+    # a record may have a field named like a folder: then it becomes text before the folders are named
+    out = df.select(F.to_json(F.struct("*"), options).alias("value"), *[c.alias(n) for n, c in parts.items()]) if clash else df.withColumns(parts)
     # Rebalancing on the folder columns keeps a quiet day to one file and splits a busy one.
     out = out.hint("rebalance", *[F.col(p) for p in parts])
-    writer = out.write.mode(mode).partitionBy(*parts).option(
-        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    ).option("ignoreNullFields", False)
+    writer = out.write.mode(mode).partitionBy(*parts)
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     path = stage_path(root, feed, table)
-    writer.json(path)
+    if clash:
+        writer.text(path)
+    else:
+        writer.options(**options).json(path)
     return path

@@ -14,6 +14,7 @@ from millrace.functions.typed import cast_field
 from millrace.loads import LoadIds
 from millrace.operators.files import ERROR_DAYS
 from millrace.operators.merge import apply_changelog, fold_loads, insert_all, merge_changes
+from millrace.operators.sketches import SUMMARY_SCHEMA, merged_summaries, summaries
 from millrace.specs import (
     BATCH_ID,
     LINEAGE_OP,
@@ -180,6 +181,9 @@ class Store:
     def failures_path(self, spec: TableSpec) -> str:
         return f"{self.root}/failures/{spec.folder}"
 
+    def summaries_path(self, spec: TableSpec) -> str:
+        return f"{self.root}/summaries/{spec.folder}"
+
     def base_path(self, spec: TableSpec) -> str:
         return f"{self.root}/{spec.namespace}/{spec.folder}/base"
 
@@ -303,6 +307,27 @@ class Store:
         schema = T.StructType([f for f in ERROR_SCHEMA.fields if f.name != "step"])
         return self.read(f"{self.errors_path(spec)}/step={step}", schema, load_id)
 
+    # -- summaries -------------------------------------------------------
+
+    def write_summaries(self, spec: TableSpec, load_id: int) -> None:
+        """Delays and keys of a load, small enough to answer for months of loads."""
+        self.write_load(summaries(self.raw(spec, load_id)), f"{self.summaries_path(spec)}/loads", load_id)
+
+    def summaries(self, spec: TableSpec) -> DataFrame:
+        """Summaries of all loads, those of folded days merged."""
+        path = self.summaries_path(spec)
+        loads = [f"{path}/loads/{LOAD_ID}={n}" for n in self.open_loads(spec)]
+        folds = [f"{path}/folds/v={v}" for v in self._folds(spec)]
+        there = [p for p in (*loads, *folds) if path_exists(self.spark, p)]
+        return self.spark.read.schema(SUMMARY_SCHEMA).parquet(*there) if there else self.spark.createDataFrame([], SUMMARY_SCHEMA)
+
+    def _fold_summaries(self, spec: TableSpec, loads: list[int], version: int) -> None:
+        path = self.summaries_path(spec)
+        there = [p for p in (f"{path}/loads/{LOAD_ID}={n}" for n in loads) if path_exists(self.spark, p)]
+        if there:
+            merged = merged_summaries(self.spark.read.schema(SUMMARY_SCHEMA).parquet(*there))
+            merged.coalesce(1).write.mode("overwrite").parquet(f"{path}/folds/v={version}")
+
     # -- days ------------------------------------------------------------
 
     def _marks_path(self, spec: TableSpec) -> str:
@@ -355,10 +380,12 @@ class Store:
             rows.write.mode("overwrite").partitionBy(DAY).options(**bloom_options(RAW_KEY)).parquet(f"{path}/rows/v={version}")
             bad = self._as_errors(landed.filter(F.col(OUTCOME) == BAD)).drop("step", LOAD_ID)
             bad.coalesce(1).write.mode("overwrite").partitionBy("dt").parquet(f"{self.errors_path(spec)}/step=parse/{LOAD_ID}={version}")
+            self._fold_summaries(spec, closed, version)
             marks = self.spark.createDataFrame([(n,) for n in closed], T.StructType([LOAD_FIELD]))
             marks.coalesce(1).write.mode("overwrite").parquet(f"{self._marks_path(spec)}/v={version}")
         for n in [*closed, *(n for n in self._all_loads(spec) if n not in loads)]:
             remove_folder(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={n}")
+            remove_folder(self.spark, f"{self.summaries_path(spec)}/loads/{LOAD_ID}={n}")
         return closed
 
     def expire_days(self, spec: TableSpec, before: date | str) -> list[str]:

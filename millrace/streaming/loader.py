@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.records import NO_CHANGE_TIME, REASON, parse_lines, without_lead
 from millrace.functions.typed import BAD_FIELDS, cut_fields, split_bad, typed
-from millrace.operators.files import COPY, MERGE, audit_rows, failure_rows
+from millrace.operators.files import COPY, ERROR_DAYS, MERGE, audit_rows, failure_rows
 from millrace.operators.merge import as_changes, now_ntz, reduce_batch
 from millrace.sources.landing import UNKNOWN_OPERATION, change_time_of, epoch_millis_batch_id, operation_of, to_raw
 from millrace.sources.polling import read_polled
@@ -144,10 +144,11 @@ def _told(rows: DataFrame, what: str, fields: Column) -> DataFrame:
 def write_audit(
     store: Store, spec: TableSpec, load_id: int, started: datetime | str, ended: datetime | str, files: Sequence[str] = ()
 ) -> None:
-    """Per-file counts of a load, taken from what was written; a file of ``files`` without records has a row too."""
+    """Per-file counts of a load and its summaries, taken from what was written; a file of ``files`` without records has a row too."""
     listed = store.spark.createDataFrame([(f,) for f in files], "file string") if files else None
     rows = audit_rows(store.landed(spec, load_id), spec.raw_name, store.environment, started, ended, listed)
     store.write_load(rows, store.audit_path(spec), load_id)
+    store.write_summaries(spec, load_id)
 
 
 def files_of(lines: DataFrame) -> list[str]:
@@ -327,3 +328,17 @@ def start_poll(
 def reset_pull(store: Store, spec: TableSpec) -> None:
     """Forgets the mark: the next poll, or the next start of a polling stream, reads the whole source again."""
     PullState(store.spark, store.root).reset(pull_feed(spec))
+
+
+def maintain(store: Store, spec: TableSpec, now: datetime | str, raw_days: int | None = None, error_days: int = ERROR_DAYS) -> dict[str, Any]:
+    """What keeps a table's folders few, once a day and not beside its loads; says what was done.
+
+    Folds the days that are over, writes a new base, removes old bases, errors past their time, and with ``raw_days``
+    raw rows older than that.
+    """
+    today = datetime.fromisoformat(str(now)).date()
+    done: dict[str, Any] = {"folded": store.fold_days(spec, today), "base": store.compact(spec), "pruned": store.prune(spec)}
+    done["expired errors"] = store.expire_errors(spec, now, error_days)
+    if raw_days is not None:
+        done["expired days"] = store.expire_days(spec, today - timedelta(days=raw_days))
+    return done

@@ -6,16 +6,17 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import at, customer, plan, raw_customers, rows, write_file
 from millrace.functions.records import NO_CHANGE_TIME
-from millrace.operators.checks import raw_in_list, raw_point_lookup
+from millrace.operators.checks import column_conformance, raw_in_list, raw_point_lookup
 from millrace.operators.files import expired_files, file_day, load_errors, new_files
 from millrace.plans.procedure import merge_cdc_batch
-from millrace.sources.stage import list_files, read_stage, stage_path
+from millrace.sources.stage import list_files, read_stage, stage_path, write_stage
 from millrace.specs import CUSTOMERS, LOAD_ID, RAW_KEY
 from millrace.storage import DAY, Store
-from millrace.streaming.loader import LoadOptions, copy_into_raw, load_batch, merge_load, start_stream
+from millrace.streaming.loader import LoadOptions, copy_into_raw, load_batch, maintain, merge_load, start_stream
 
 STAGE = "staged/postgres_cdc/customers/2024/01/02"
 NOW = {"availableNow": True}
@@ -278,3 +279,42 @@ def test_the_procedure_treats_bad_values_as_asked(spark, root):
     assert merge_cdc_batch(store, "customers", None, LoadOptions(on_bad="quarantine")).startswith("OK")
     assert rows(store.typed(CUSTOMERS), "id") == [(1,)]
     assert [r.reason for r in store.errors(CUSTOMERS).collect()] == ["bad value: updated_at"]
+
+
+# -- upkeep ----------------------------------------------------------------------
+
+
+def test_upkeep_leaves_the_tables_as_they_are(spark, root):
+    store = Store(spark, root, bucket_rows=2)
+    for n, day in enumerate((0, 0, 1, 2)):
+        write_file(root, f"{STAGE}/{n}.json", lines(customer(n, "a", n), customer(9, f"s{n}", n)) + "broken\n")
+        batch = read_stage(spark, root, "postgres_cdc", "customers").filter(F.col("_source_file").endswith(f"/{n}.json"))
+        load_batch(store, CUSTOMERS, batch, n, LoadOptions(load_ts=at(24 * day)))
+    before = rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns)
+    done = maintain(store, CUSTOMERS, "2024-01-03 05:00:00", raw_days=1, error_days=1)
+    assert done == {"folded": [0, 1, 2], "base": 3, "pruned": [], "expired errors": ["2024-01-01"], "expired days": ["2024-01-01"]}
+    assert rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns) == before
+    assert rows(store.raw(CUSTOMERS), RAW_KEY) == [(2,), (3,), (9,), (9,)] and store.errors(CUSTOMERS).count() == 2
+    assert maintain(store, CUSTOMERS, "2024-01-03 05:00:00")["folded"] == []
+
+
+def test_records_keep_fields_named_like_folders_and_their_microseconds(spark, root):
+    moment = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
+    df = spark.createDataFrame([(1, "why", moment)], "id int, y string, changed timestamp_ntz")
+    df = df.withColumn("zoned", F.col("changed").cast("timestamp"))
+    path = write_stage(df, root, "postgres_cdc", "customers", "changed")
+    (line,) = read_stage(spark, root, "postgres_cdc", "customers").collect()
+    record = json.loads(line.value)
+    assert record == {"id": 1, "y": "why", "changed": "2024-01-02T03:04:05.678901", "zoned": "2024-01-02T03:04:05.678901Z"}
+    assert "/y=2024/m=01/d=02/" in line._source_file and path.endswith("/customers/")
+    write_stage(df.drop("y"), root, "salesforce", "accounts", "changed")
+    (line,) = read_stage(spark, root, "salesforce", "accounts").collect()
+    assert json.loads(line.value)["zoned"] == "2024-01-02T03:04:05.678901Z"
+
+
+def test_columns_of_a_table(spark):
+    df = spark.createDataFrame([(1, "abc"), (None, "abcdef")], "a int, B string")
+    expected = T.StructType().add("a", T.LongType()).add("b", T.StringType(), True, {"max_length": 4}).add("c", T.IntegerType())
+    assert rows(column_conformance(df, expected), "column_name", "is_there", "has_type", "n_rows", "n_null", "n_long") == [
+        ("a", True, False, 2, 1, 0), ("b", True, True, 2, 0, 1), ("c", False, False, 2, None, None)
+    ]
