@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -55,15 +56,27 @@ class Block:
     linked: int
     skipped: bool
     region: int  # 0 outside any article, else the article's number
-    marks: tuple[int, ...] = ()  # the marked elements around it
-    title: bool = False  # within h1 or main
+    mark: int = -1  # the innermost marked element around it
+    title: bool = False  # within h1 or main, inside that element
 
 
 @dataclass
 class Mark:
-    """What a marked element's words say."""
+    """What a marked element's words say, and the next marked element around it."""
 
     fluent: bool
+    parent: int = -1
+
+
+@dataclass
+class Open:
+    """An open element and what holds within it."""
+
+    name: str
+    skipped: bool = False
+    region: int = 0
+    mark: int = -1
+    title: bool = False
 
 
 def _mark(attributes: str) -> Mark | None:
@@ -83,15 +96,24 @@ def blocks_of(page: str) -> tuple[list[Block], list[Mark]]:
     out: list[Block] = []
     text: list[str] = []
     marks: list[Mark] = []
-    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []  # open elements: name, whether skipped, article number, marked elements
+    stack: list[Open] = []
+    opened: Counter[str] = Counter()  # names on the stack
     state = {"linked": 0, "links": 0, "articles": 0}
 
+    def leave(name: str):
+        """Closes elements up to the innermost one of this name, which is open."""
+        while True:
+            last = stack.pop()
+            opened[last.name] -= 1
+            if last.name == name:
+                return
+
     def close_block():
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             if whole:
-                _, skipped, region, own = stack[-1] if stack else ("", False, 0, ())
-                out.append(Block(whole, state["linked"], skipped, region, own, bool(own) and any(x[0] in ("h1", "main") and x[3] == own for x in stack)))
+                around = stack[-1] if stack else Open("")
+                out.append(Block(whole, state["linked"], around.skipped, around.region, around.mark, around.mark >= 0 and around.title))
         text.clear()
         state["linked"] = 0
 
@@ -130,28 +152,32 @@ def blocks_of(page: str) -> tuple[list[Block], list[Mark]]:
         close_block()
         state["links"] = 0
         if end:
-            names = [x[0] for x in stack]
-            if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
+            if opened[name]:
+                leave(name)
             continue
-        if name == "p" and any(x[0] == "p" for x in stack):
-            del stack[next(i for i, x in enumerate(stack) if x[0] == "p") :]
+        if name == "p":
+            while opened["p"]:
+                leave("p")
         if name == "body":
             stack.clear()
-        skipped, region, own = stack[-1][1:] if stack else (False, 0, ())
+            opened.clear()
+        around = stack[-1] if stack else Open("")
+        region = around.region
         # an article within an article may be a comment
-        mark = _mark(attributes) if attributes and (name not in WHOLE or (name == "article" and any(x[0] == "article" for x in stack))) else None
-        skipped = skipped or _hidden(attributes) or name in SKIPPED
+        mark = _mark(attributes) if attributes and (name not in WHOLE or (name == "article" and opened["article"])) else None
+        skipped = around.skipped or _hidden(attributes) or name in SKIPPED
         if name in ("article", "main") and not skipped and not region:
             state["articles"] += 1
             region = state["articles"]
         skipped = skipped or (name == "header" and not region)
         if attributes.rstrip().endswith("/") and name not in ("p", "div"):
             continue
+        title = name in ("h1", "main") or (around.title and not mark)
         if mark:
+            mark.parent = around.mark
             marks.append(mark)
-            own = (*own, len(marks) - 1)
-        stack.append((name, skipped, region, own))
+        stack.append(Open(name, skipped, region, len(marks) - 1 if mark else around.mark, title))
+        opened[name] += 1
     close_block()
     return out, marks
 
@@ -163,22 +189,33 @@ def _skip_marked(blocks: list[Block], marks: list[Mark]) -> None:
     """
     labels = [_first_pass(b) for b in blocks]
     open_ = sum(len(b.text) for b, label in zip(blocks, labels) if label is not False)
-    within: list[list[int]] = [[] for _ in marks]
-    for i, b in enumerate(blocks):
-        for k in b.marks:
-            within[k].append(i)
+    own, words = [0] * len(marks), [0] * len(marks)  # open text and words of main text, of what is inside and stays
+    main, titled = [False] * len(marks), [False] * len(marks)
+    for b, label in zip(blocks, labels):
+        if b.mark < 0 or b.skipped:
+            continue
+        titled[b.mark] |= b.title
+        if label is not False:
+            own[b.mark] += len(b.text)
+        if label:
+            main[b.mark] = True
+            words[b.mark] += len(_WORD.findall(b.text))
+    gone = [False] * len(marks)
     for k in range(len(marks) - 1, -1, -1):
-        held = [i for i in within[k] if not blocks[i].skipped]
-        own = sum(len(blocks[i].text) for i in held if labels[i] is not False)
-        main = [blocks[i] for i in held if labels[i]]
-        stays = any(blocks[i].title and blocks[i].marks[-1] == k for i in held)
-        if not marks[k].fluent and main:
-            stays = stays or own > HALF * open_
-            stays = stays or sum(len(_WORD.findall(b.text)) for b in main) >= MUCH_WORDS and own >= MUCH_SHARE * open_
+        stays = titled[k]
+        if not marks[k].fluent and main[k]:
+            stays = stays or own[k] > HALF * open_ or words[k] >= MUCH_WORDS and own[k] >= MUCH_SHARE * open_
         if not stays:
-            open_ -= own
-            for i in held:
-                blocks[i].skipped, labels[i] = True, False
+            open_ -= own[k]
+            gone[k] = True
+        elif marks[k].parent >= 0:
+            own[marks[k].parent] += own[k]
+            words[marks[k].parent] += words[k]
+            main[marks[k].parent] |= main[k]
+    for k, mark in enumerate(marks):  # an outer element has the smaller number
+        gone[k] |= mark.parent >= 0 and gone[mark.parent]
+    for b in blocks:
+        b.skipped |= b.mark >= 0 and gone[b.mark]
 
 
 def _first_pass(b: Block) -> bool | None:
@@ -201,7 +238,7 @@ def main_text(page: str) -> str:
     enough stop words is main text. Second pass: what is still open takes the label of the nearest decided block of its region (the
     one before on a tie). In a region without any, blocks of an article are main text, others are not. Once a page has
     an article with main text, blocks outside of articles are boilerplate. A mark on an element that holds the article does not count.
-    Blocks are joined by one line feed.
+    Blocks are joined by two line feeds.
     """
     blocks, marks = blocks_of(page)
     _skip_marked(blocks, marks)
@@ -226,7 +263,7 @@ def main_text(page: str) -> str:
             label = min(near, key=lambda x: abs(x[0] - i))[1] if near else bool(b.region)
         if label:
             kept.append(b.text)
-    return "\n".join(reversed(kept))
+    return "\n\n".join(reversed(kept))
 
 
 def extract(pages: DataFrame) -> DataFrame:

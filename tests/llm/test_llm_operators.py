@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -270,7 +271,7 @@ def test_html():
     page = """<html><head><title>t</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><header>Site</header><div class="cookie-notice">We use cookies on the site and that is that, you know.</div>
     <article><h1>Head &amp; tail</h1><p>This is the first of the paragraphs and it has <b>many</b> of the words.<p>Short.<br>One</p><div class="comments"><p>I like this article a lot and so do all of my friends in the town.</p></div>
     <script>var x="</p>";</script><form><p>Your name and the other things that we need to know from you are here</p></form><p>The last of the paragraphs is here and it is also long enough for the rule.</p></article><footer>&copy; all</footer></body>"""
-    assert html_text.main_text(page) == "Head & tail\nThis is the first of the paragraphs and it has many of the words.\nShort. One\nThe last of the paragraphs is here and it is also long enough for the rule."
+    assert html_text.main_text(page) == "Head & tail\n\nThis is the first of the paragraphs and it has many of the words.\n\nShort. One\n\nThe last of the paragraphs is here and it is also long enough for the rule."
     assert html_text.main_text("") == "" == html_text.main_text("<nav>x</nav>") and html_text.main_text("a < b <p") == ""
 
 
@@ -292,12 +293,36 @@ P2 = "The last of the paragraphs is here and it is also long enough for the rule
 def test_html_marks_on_what_holds_the_article(opening, closing):
     aside = "<div class='comments'><p>I like this article a lot and so do all of my friends in the town.</p><article class='comment'><p>So it is for me and for all of us in here.</p></article></div>"
     page = f"{opening}<p>{P1}</p><p>{P2}</p>{aside}<div class='ad'><p>This is an advert for the best of all of the shoes in the world.</p></div>{closing}"
-    assert html_text.main_text(page) == f"{P1}\n{P2}"
+    assert html_text.main_text(page) == f"{P1}\n\n{P2}"
 
 
 def test_html_marks_on_a_section():
     page = f"<body><article><p>{P1}</p><section id='related-work'><p>{P2}</p><p>{P1}</p></section><div class='related'><a href=x>{P2}</a></div><div hidden><p>{P2}</p></div></article></body>"
-    assert html_text.main_text(page) == f"{P1}\n{P2}\n{P1}"
+    assert html_text.main_text(page) == f"{P1}\n\n{P2}\n\n{P1}"
+
+
+def test_html_extract(spark):
+    """NULL, empty and repeated rows, columns with unlucky names, white space and references, and an empty table."""
+    page = f"<body><article><p>{P1}</p><p>A&nbsp;b \t\n &lt;c&gt; &#x41;&eacute;</p><p>{P2}</p></article></body>"
+    rows = [(1, "u1", page), (1, "u1", page), (2, None, None), (3, "u3", ""), (None, "u4", "<nav><a href=x>y</a></nav>"), (5, "u5", "no markup at all")]
+    pages = spark.createDataFrame([(*r, 7, "x") for r in rows], "page_id long, url string, html string, n_chars int, text string")
+    got = collections.Counter(map(tuple, html_text.extract(pages).collect()))
+    text = f"{P1}\n\nA b <c> A\u00e9\n\n{P2}"
+    assert got == collections.Counter([(1, "u1", text, len(text))] * 2 + [(2, None, "", 0), (3, "u3", "", 0), (None, "u4", "", 0), (5, "u5", "", 0)])
+    assert html_text.extract(spark.createDataFrame([], "page_id int, url string, html string")).columns == ["page_id", "url", "text", "n_chars"]
+
+
+@pytest.mark.parametrize("element", ["div", "div class=ad", "div class='content with-sidebar'", "p", "ul", "span class=ad"])
+def test_html_nested_pages_take_linear_time(element):
+    times = []
+    for size in (1 << 17, 1 << 20):
+        opening = f"<{element}>"
+        n = size // (len(opening) + 8)
+        page = "<body>" + (opening + "x ") * n + P1 + f"</{element.split()[0]}>" * n + f"<article><p>{P2}</p></article></body>"
+        began = time.process_time()
+        html_text.main_text(page)
+        times.append(time.process_time() - began)
+    assert times[1] < 20 and times[1] < 30 * max(times[0], 0.05)
 
 
 def test_line_dedup(spark):
