@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import itertools
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +21,8 @@ CAPACITY = 4096
 _KNOWN_WORDS = 400_000
 #: New words are encoded this many at a time, with this character between them where it has an id of its own.
 _AT_ONCE, _BETWEEN = 500, "\x01"
+#: Characters of the texts whose words are looked up together.
+_TEXT_RUN = 1 << 19
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -26,7 +30,8 @@ class WordTokenizer:
     """Ids of a text by a tokenizers file whose tokens never reach across white space.
 
     A text is cut at ``[\\x20\\x09-\\x0D]`` and each distinct word is encoded once; that gives the ids of the
-    whole text for any file whose pre-tokenizer splits at white space and drops it. Ids are little-endian 32-bit.
+    whole text for any file whose pre-tokenizer splits at white space and drops it, and whose special strings hold none.
+    A special string in a text has its id, as the file says. Ids are little-endian 32-bit.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -36,7 +41,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -63,22 +67,38 @@ class WordTokenizer:
             out += [raw[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
         return out
 
-    def ids(self, text: str) -> bytes:
-        words = text.encode("utf-8", "surrogatepass").split()
-        new = {w for w in words if w not in self.known}
-        if new:
-            if len(self.known) + len(new) > _KNOWN_WORDS:
-                self.older, self.known = self.known, {}
-                new = set(words)
-            unseen = []
-            for word in new:
-                found = self.older.get(word)
-                if found is None:
-                    unseen.append(word)
-                else:
-                    self.known[word] = found
-            self.known.update(zip(unseen, self._encoded(unseen)))
-        return b"".join(map(self.known.__getitem__, words)) + self.end
+    def _learn(self, words: set[bytes]) -> None:
+        """Makes sure that the ids of these words are known."""
+        new = words.difference(self.known)
+        if not new:
+            return
+        if len(self.known) + len(new) > _KNOWN_WORDS:
+            self.older, self.known, new = self.known, {}, words
+        found = [(w, self.older[w]) for w in new if w in self.older]
+        self.known.update(found)
+        unseen = list(new.difference(self.known) if found else new)
+        self.known.update(zip(unseen, self._encoded(unseen)))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; texts that come together share the cost of their new words."""
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        self._learn(set().union(*split))
+        of = self.known.__getitem__
+        return [b"".join(map(of, words)) + self.end for words in split]
+
+
+def _together(texts: list[str | None]) -> Iterator[list[str]]:
+    """Runs of texts of some size in all, or one longer text."""
+    run, size = [], 0
+    for text in texts:
+        text = text or ""
+        if run and size + len(text) > _TEXT_RUN:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += len(text)
+    if run:
+        yield run
 
 
 _TOKENIZERS: dict[tuple[str, int | None], WordTokenizer] = {}
@@ -102,8 +122,8 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int | None =
         tokenizer = _tokenizer(tokenizer_path, end_id)
         for batch in batches:
             rows = [[] for _ in range(6)]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = tokenizer.ids(text.as_py() or "")
+            found = itertools.chain.from_iterable(map(tokenizer.ids, _together(batch.column("text").to_pylist())))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]

@@ -137,6 +137,44 @@ def test_packing_round_trip(spark):
     assert packing.pack(packing.tokenized_pieces(empty(spark), path)).count() == 0
 
 
+def test_packing_special_strings_and_odd_words(spark, monkeypatch):
+    """The ids are those of the whole text, also with special strings, the character between words, and a cache that is full."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y<|startoftext|>", "<|endoftext|>", "one \x01 two\x01three", "no\u00a0break \u2003wide", "it's I'LL 3.14 \u00e9t\u00e9 e\u0301", "", None, "\u6771\u4eac \U0001f600"]
+    rng = np.random.default_rng(9)
+    texts += [" ".join("".join(rng.choice(list("abcxyz'1<|>"), rng.integers(1, 9))) for _ in range(60)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(texts)}
+    assert want[0][1] == 49407
+    assert {r.doc_id: r.ids for r in packing.tokenized_pieces(docs, path, with_ids=True).collect()} == want
+    monkeypatch.setattr(packing, "_KNOWN_WORDS", 50)
+    monkeypatch.setattr(packing, "_AT_ONCE", 7)
+    small = packing.WordTokenizer(path, 2)
+    got = [np.frombuffer(x, "<u4").tolist() for run in packing._together(texts) for x in small.ids(run)]
+    assert got == list(want.values()) and got == [np.frombuffer(small.ids([t or ""])[0], "<u4").tolist() for t in texts]
+
+
+def test_sequences(spark):
+    """Sequences hold their pieces in order and are padded, except at a power of two."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(i, "word " * n) for i, n in enumerate([15, 4, 2, 0, 9, 30, 7, 7])], "doc_id long, text string")
+    packed = packing.pack(packing.tokenized_pieces(docs, path, capacity=16, with_ids=True), 16)
+    pieces = {(r.sequence_id, r.offset): r for r in packed.collect()}
+    for pad in (None, 5):
+        rows = packing.sequences(packed, pad, 16).collect()
+        assert len(rows) == len({k[0] for k in pieces})
+        for r in rows:
+            own = [pieces[k] for k in sorted(k for k in pieces if k[0] == r.sequence_id)]
+            ids = [x for p in own for x in p.ids]
+            padded = pad is not None and len(ids) & (len(ids) - 1)
+            assert r.input_ids == (ids + [5] * (16 - len(ids)) if padded else ids)
+            assert (r.doc_ids, r.starts, r.lengths) == ([p.doc_id for p in own], [p.start for p in own], [p.length for p in own])
+    assert packing.sequences(packed.limit(0), 5, 16).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_shortest_pack_first(seed):
     rng = np.random.default_rng(seed)
