@@ -49,15 +49,12 @@ def _signature(u: np.ndarray) -> bytes:
     return np.array([mix(u).sum(dtype=np.uint64), mix(u ^ np.uint64(0xA5A5A5A55A5A5A5A)).sum(dtype=np.uint64)], np.uint64).tobytes()
 
 
-#: Elements and names travel as 5 bytes each. Two that coincide can only let a set through that need not be.
-_SHORT = (1 << 40) - 1
-
-
 def _ref(signature: bytes) -> np.uint64:
-    """A short name of a set, never 0."""
-    return np.frombuffer(signature, np.uint64)[0] & np.uint64(_SHORT) | np.uint64(1)
+    """A name of a set, never 0."""
+    return np.frombuffer(signature, np.uint64)[0] | np.uint64(1)
 
 
+# Elements travel as 5 bytes each. Two that coincide can only let a set through that need not be.
 def _packed(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
 
@@ -103,7 +100,7 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         firsts = np.concatenate([[0], cuts]).astype(int)
         ends = np.concatenate([cuts, [len(bucket)]]).astype(int)
-        return [(int(bucket[a]), False, _packed(elements[a:b]), _packed(refs[a:b])) for a, b in zip(firsts, ends)]
+        return [(int(bucket[a]), False, _packed(elements[a:b]), refs[a:b].tobytes()) for a, b in zip(firsts, ends)]
 
     def flush(held):
         sets = {ref: u for ref, u in held}  # equal sets count once
@@ -147,7 +144,7 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     counts.append(np.frombuffer(b, np.uint64))
                 else:
                     elements.append(_unpacked(a))
-                    refs.append(_unpacked(b))
+                    refs.append(np.frombuffer(b, np.uint64))
         if elements:
             e, r = np.concatenate(elements), np.concatenate(refs)
             del elements, refs
@@ -326,7 +323,7 @@ def set_groups(docs: DataFrame, signs: DataFrame, width: int = WIDTH, percent: i
         if hubs is not None:
             found = found.join(hubs.select("a", "b"), ["a", "b"], "left_anti").join(hubs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         found = stored(_verified(found, sets), "hub-pairs")
-        hubs = found if hubs is None else hubs.unionByName(found)
+        hubs = found if hubs is None else stored(hubs.unionByName(found), "hubs")
         links = found.filter(linked).select("a", "b")
         groups, postings, turn = _merged(groups, links), lists.drop("group"), turn + 1
     rest = stored(_verified(_other_pairs(lists, hubs.select("a", "b", "distance"), percent), sets).filter(linked).select("a", "b"), "rest-links")
@@ -347,19 +344,33 @@ def near_duplicate_components(docs: DataFrame, width: int = WIDTH, percent: int
     No pair is lost: a linked pair meets in the list of the first element that both prefixes hold. There it
     is either compared, or both are in one component already, or their known distances to a hub differ by too much.
     """
-    signs = stored(set_signatures(docs, width), "signatures")
-    own = signs.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("low"))
-    own = own.join(set_groups(docs, signs, width, percent), "set_id", "left").select("set_id", "low", F.coalesce("group", "set_id").alias("group"))
-    own = stored(own, "groups")
-    low = own.groupBy("group").agg(F.min("low").alias("component_id"))
-    named = own.join(low, "group").select("set_id", "component_id", F.lit(True).alias("grouped"))
-    out = signs.join(named, "set_id", "left")
-    component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
+    named = _grouped_rows(docs, width, percent)
+    low = stored(named.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc_id").alias("low")), "least-ids")
+    out = named.join(low, "group", "left")
+    component = F.when(F.col("group").isNotNull(), F.col("low")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _grouped_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, text_key, n_shingles, group`` per row; the group is that of its set, NULL for an empty one."""
+    signs = stored(set_signatures(docs, width), "signatures")
+    groups = set_groups(docs, signs, width, percent)
+    out = signs.join(groups, "set_id", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("group", "set_id").alias("group"))
+    return stored(out, "groups")
+
+
 def keep_representatives(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the one with the smallest doc_id, with all columns. Rows without doc_id stay."""
-    gone = near_duplicate_components(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone_id")).distinct()
+    """The rows of ``docs`` that stay, with all columns: of each group one text.
+
+    That is the text of the smallest doc_id, of several the one with the smallest hash; rows without doc_id come after all
+    others. A row is known by its doc_id and text, so of rows with one doc_id only those go whose text is like another
+    one's, and repeated rows of a text that stays stay. Texts without words are in no group and stay.
+    """
+    named = _grouped_rows(docs, width, percent).filter("group IS NOT NULL")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key").alias("own")
+    first = stored(named.select("group", own).groupBy("group").agg(F.min("own").alias("first")), "first-rows")
+    gone = named.select("group", own).join(first, "group").filter("own <> first").select("own.doc_id", "own.text_key").distinct()
+    gone = gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return row.join(gone, F.col("row.doc_id") == F.col("_gone_id"), "left_anti").select("row.*")
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_gone_id")) & F.xxhash64("row.text").eqNullSafe(F.col("_gone_key"))
+    return row.join(gone, same, "left_anti").select("row.*")

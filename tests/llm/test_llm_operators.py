@@ -108,6 +108,40 @@ def test_jaccard_join_chains_and_shared_passages(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_representatives_by_id_and_text(spark):
+    """Rows with one doc_id or none: only the text that is like another one's goes, and one of each group stays."""
+    rng = np.random.default_rng(21)
+    one, two, three = (sentence(rng, 70) for _ in range(3))
+    near = lambda t, k: " ".join(w if i != k else "changed" for i, w in enumerate(t.split()))
+    rows = [(1, one), (2, near(one, 9)), (2, two), (None, three), (None, near(three, 5)), (None, near(three, 60)), (4, ""), (5, None), (None, "a b"), (6, near(two, 30))]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, text_key string, own int")
+    left = collections.Counter((r.doc_id, r.text) for r in jaccard_join.keep_representatives(docs).collect())
+    like_three = [t for i, t in rows[3:6] if left.pop((None, t), 0)]
+    assert len(like_three) == 1
+    assert left == collections.Counter([(1, one), (2, two), (4, ""), (5, None), (None, "a b")])
+    assert jaccard_join.keep_representatives(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, few):
+    from millrace.llm import _graph
+
+    monkeypatch.setattr(_graph, "FEW_EDGES", few)
+    rng = np.random.default_rng(2)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 120, (90, 2))] + [(500 + k, 501 + k) for k in range(40)] + [(7, None)]
+    low = {}
+    for a, b in pairs:
+        if b is not None and a != b:
+            low.setdefault(a, {a}), low.setdefault(b, {b})
+            both = low[a] | low[b]
+            for x in both:
+                low[x] = both
+    name = lambda x: None if x is None else x.to_bytes(3, "big")
+    edges = spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "a binary, b binary")
+    got = {bytes(r.node): bytes(r.component) for r in _graph.components(edges).collect()}
+    assert got == {name(x): name(min(s)) for x, s in low.items()}
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
