@@ -52,17 +52,22 @@ def record_fingerprint(record: Column) -> Column:
     return F.sha2(F.regexp_replace(F.schema_of_variant(record), _SCALARS, "_"), 256)
 
 
-def table_fingerprint(schema: T.StructType) -> str:
-    """A hash of those top-level field paths that some turn table names; further columns do not matter."""
-    known = {c for table in TURN_TABLES for c in table}
-    return hashlib.sha256("\n".join(sorted(f.name for f in schema if f.name in known)).encode()).hexdigest()
+def _names_hash(names) -> str:
+    return hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest()
+
+
+def table_fingerprint(schema: T.StructType, known: tuple[str, ...]) -> str:
+    """A hash of those top-level field paths that are among ``known``; further columns do not matter."""
+    return _names_hash({f.name for f in schema} & set(known))
 
 
 def turns_of_table(rows: DataFrame) -> DataFrame:
-    """``conv_id, turn, role, text`` of a table with a row per turn; the fingerprint of its schema picks the mapping."""
-    own = table_fingerprint(rows.schema)
+    """``conv_id, turn, role, text`` of a table with a row per turn; the fingerprint of its schema picks the mapping.
+
+    The first mapping counts whose columns are all there; columns of other mappings, or any others, change nothing.
+    """
     for names in TURN_TABLES:
-        if hashlib.sha256("\n".join(sorted(names)).encode()).hexdigest() == own:
+        if table_fingerprint(rows.schema, names) == _names_hash(names):
             conv, turn, role, text = names
             return rows.select(F.col(conv).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     raise ValueError("no mapping for these columns: " + ", ".join(rows.columns))

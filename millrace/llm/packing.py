@@ -20,7 +20,7 @@ CAPACITY = 4096
 #: Words whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
 _KNOWN_WORDS = 400_000
 #: New words are encoded this many at a time, with this character between them where it has an id of its own.
-_AT_ONCE, _BETWEEN = 500, "\x01"
+_AT_ONCE, _BETWEEN = 64, "\x01"
 #: Characters of the texts whose words are looked up together.
 _TEXT_RUN = 1 << 19
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"

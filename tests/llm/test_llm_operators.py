@@ -257,6 +257,70 @@ def test_decontamination(spark):
     assert decontamination.contaminated(empty(spark), bench).count() == 0 == decontamination.contaminated(docs, bench.limit(0)).count()
 
 
+def overlaps(doc, item):
+    """Brute force: the best stretch of any alignment that a mask, or an item too short for one as a whole, fixes."""
+    best = None
+    for shift in range(-len(item), len(doc)):
+        same = [0 <= p + shift < len(doc) and doc[p + shift] == item[p] for p in range(len(item))]
+        masks = [[k for k, x in enumerate(m) if x == "1"] for m in decontamination.MASKS]
+        starts = [p for p in range(len(item) - decontamination.SPAN + 1) if 0 <= p + shift <= len(doc) - decontamination.SPAN]
+        word = lambda t, p: t[p] if p < len(t) else None
+        hit = any(all(word(item, p + k) == word(doc, p + shift + k) for k in mask) for p in starts for mask in masks)
+        hit = hit or len(item) < decontamination.SPAN and all(same)
+        if not hit:
+            continue
+        top, score, equal, begin = (0, 0, 0, -1), 0, 0, 0
+        for p in range(max(0, -shift), min(len(item), len(doc) - shift)):
+            if score <= 0:
+                score, equal, begin = 0, 0, p
+                if not same[p]:
+                    continue
+            score, equal = score + (1 if same[p] else -decontamination.SUBSTITUTION), equal + same[p]
+            if score > top[0]:
+                top = (score, equal, begin, p)
+        _, equal, first, last = top
+        n = len(item)
+        least = 13 if n >= 13 else -(-3 * n // 4) if n >= 9 else n
+        if last >= 0 and equal >= least and equal >= 0.75 * (last - first + 1):
+            found = (equal, -(last - first + 1), -(first + shift))
+            best = max(best or found, found)
+    return best and (best[0], -best[1], -best[2])
+
+
+@pytest.mark.parametrize("seeds", [0, 10**6])
+def test_decontamination_equals_brute_force(spark, monkeypatch, seeds):
+    """Items of all lengths, whole and damaged, in short and long documents, by the broadcast and by the shuffle."""
+    monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", seeds)
+    rng = np.random.default_rng(17)
+    items = {k: sentence(rng, n).split() for k, n in enumerate([1, 3, 3, 8, 9, 10, 11, 12, 13, 14, 20, 40])}
+    items[0] = ["solo"]
+    docs = {100: [], 101: ["solo"], 102: sentence(rng, 4000).split() + items[11] + sentence(rng, 50).split()}
+    for i in range(60):
+        words = list(items[int(rng.integers(1, 12))])
+        for k in rng.integers(0, len(words), int(rng.integers(0, 1 + len(words) // 5))):
+            words[k] = "odd"
+        a = int(rng.integers(0, 2))
+        docs[i] = sentence(rng, int(rng.integers(0, 12))).split() + words[a:] + sentence(rng, int(rng.integers(0, 12))).split()
+    frame = spark.createDataFrame([(i, " ".join(w), "x", 0, 1) for i, w in docs.items()] + [(200, None, "x", 0, 1)], "doc_id long, text string, words string, seed int, `at` int")
+    bench = spark.createDataFrame([(i, " ".join(w), "x") for i, w in items.items()] + [(50, "", "x"), (51, None, "x")], "item_id long, text string, words string")
+    want = {(d, i): overlaps(x, y) for d, x in docs.items() for i, y in items.items()}
+    got = {(r.doc_id, r.item_id): (r.matched_words, r.overlap_words, r.doc_word) for r in decontamination.contaminated(frame, bench).collect()}
+    assert got == {k: v for k, v in want.items() if v}
+    assert sum(i in (4, 5, 6, 7) and v[0] < len(items[i]) for (_, i), v in got.items()) > 0
+
+
+@pytest.mark.parametrize("extra", ["content", "value", "from", "conversation_id", "message_index", "formatted", "place"])
+def test_chat_tables_with_columns_of_other_layouts(spark, extra):
+    rows = [(1, 0, "user", "hi", "z"), (1, 1, "assistant", "ho", "z"), (2, 0, None, None, "z")]
+    table = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, `{extra}` string")
+    got = sorted(tuple(r) for r in chat_format.turns_of_table(table).fillna("").collect())
+    assert got == [(1, 0, "user", "hi"), (1, 1, "assistant", "ho"), (2, 0, "", "")]
+    none = chat_format.parsed(chat_format.formatted(chat_format.turns_of_table(table.limit(0))))
+    assert none.count() == 0
+    with pytest.raises(ValueError):
+        chat_format.turns_of_table(table.drop("role"))
+
+
 def test_chat_formatting(spark):
     hard = ["<|turn|>user<|text|>", "<\\|end|>", "a\\b </s>[INST] ok [/INST] <<SYS>>", "", None, "x" * 50_000, "<\\\\|<|"]
     rows = [(1, k, role, t) for k, (role, t) in enumerate(zip(itertools.cycle(["user", "assistant"]), hard))] + [(2, 0, "assistant", "same"), (2, 0, "assistant", "same"), (None, None, None, None)]
