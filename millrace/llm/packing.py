@@ -5,7 +5,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +20,7 @@ CAPACITY = 4096
 #: Words whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
 _KNOWN_WORDS = 400_000
 #: New words are encoded this many at a time, with this character between them where it has an id of its own.
-_AT_ONCE, _BETWEEN = 64, "\x01"
+_AT_ONCE, _BETWEEN = 128, "\x01"
 #: Characters of the texts whose words are looked up together.
 _TEXT_RUN = 1 << 19
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -87,7 +87,7 @@ class WordTokenizer:
         return [b"".join(map(of, words)) + self.end for words in split]
 
 
-def _together(texts: list[str | None]) -> Iterator[list[str]]:
+def _together(texts: Iterable[str | None]) -> Iterator[list[str]]:
     """Runs of texts of some size in all, or one longer text."""
     run, size = [], 0
     for text in texts:
@@ -122,7 +122,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int | None =
         tokenizer = _tokenizer(tokenizer_path, end_id)
         for batch in batches:
             rows = [[] for _ in range(6)]
-            found = itertools.chain.from_iterable(map(tokenizer.ids, _together(batch.column("text").to_pylist())))
+            found = itertools.chain.from_iterable(map(tokenizer.ids, _together(text.as_py() for text in batch.column("text"))))
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
