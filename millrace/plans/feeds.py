@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.folders import folder_bytes
 from millrace.sources.landing import to_raw
 from millrace.specs import (
     ACCOUNTS,
@@ -20,13 +21,23 @@ from millrace.specs import (
     SOURCE_FILE,
 )
 
+# Fixed values below: record field names as the specs' paths have them.
 # Load times are literals here, so results do not depend on the clock.
 FIRST_LOAD = "2024-02-01 00:00:00"
 SECOND_LOAD = "2024-02-02 00:00:00"
 
 
+# A table of so many bytes is worth a shuffle if its file cannot be split.
+SPREAD_BYTES = 1024 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. One whose files leave most cores idle, such as one row group, is spread over them before any work on its rows."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rows, cores = spark.read.parquet(path), spark.sparkContext.defaultParallelism
+    if folder_bytes(spark, path) < SPREAD_BYTES or 2 * rows.rdd.getNumPartitions() > cores:
+        return rows
+    return rows.repartition(cores, rows.columns[0])
 
 
 def record(**fields: Column) -> Column:

@@ -128,14 +128,19 @@ class TableSpec:
         return replace(self, changelog=True)
 
     def row_bytes(self) -> int:
-        """Largest in-memory size of one typed row (four bytes per character)."""
+        """Largest in-memory size of one typed row (four bytes per character); a string without a length has no bound."""
         total = 0
         for f in self.typed_schema.fields:
             limit = (f.metadata or {}).get("max_length")
+            if limit is None and isinstance(f.dataType, T.StringType):
+                return UNBOUNDED
             total += 16 if limit is None else 16 + 4 * limit
         return total
 
 
+# More bytes than any broadcast may hold.
+UNBOUNDED = 1 << 62
+
 # Where a record stood in its file: start of the file part, line, item of an outer array.
 POSITION_TYPE = T.StructType(
     [

@@ -248,8 +248,10 @@ class Store:
 
     def open_loads(self, spec: TableSpec) -> list[int]:
         """Loads whose records lie in folders of their own, those of finished folds left out."""
-        names = folder_names(self.spark, self.raw_path(spec))
-        loads = sorted(int(n.removeprefix(f"{LOAD_ID}=")) for n in names if n.startswith(f"{LOAD_ID}="))
+        return self._not_folded(spec, self._all_loads(spec))
+
+    def _not_folded(self, spec: TableSpec, loads: list[int]) -> list[int]:
+        """Those of ``loads``, in order, that no finished fold holds."""
         folds = [v for v in self._folds(spec) if loads and v >= loads[0]]
         if not folds:
             return loads
@@ -292,7 +294,10 @@ class Store:
         return rows.unionByName(later.filter((F.col("step") != "parse") | F.col(LOAD_ID).isin(self._folds(spec))))
 
     def _all_loads(self, spec: TableSpec) -> list[int]:
-        names = folder_names(self.spark, self.raw_path(spec))
+        return self._loads_under(self.raw_path(spec))
+
+    def _loads_under(self, path: str) -> list[int]:
+        names = folder_names(self.spark, path)
         return sorted(int(n.removeprefix(f"{LOAD_ID}=")) for n in names if n.startswith(f"{LOAD_ID}="))
 
     def _as_errors(self, rows: DataFrame) -> DataFrame:
@@ -381,11 +386,13 @@ class Store:
             bad = self._as_errors(landed.filter(F.col(OUTCOME) == BAD)).drop("step", LOAD_ID)
             bad.coalesce(1).write.mode("overwrite").partitionBy("dt").parquet(f"{self.errors_path(spec)}/step=parse/{LOAD_ID}={version}")
             self._fold_summaries(spec, closed, version)
+            self._fold_audit(spec, closed, version)
             marks = self.spark.createDataFrame([(n,) for n in closed], T.StructType([LOAD_FIELD]))
             marks.coalesce(1).write.mode("overwrite").parquet(f"{self._marks_path(spec)}/v={version}")
         for n in [*closed, *(n for n in self._all_loads(spec) if n not in loads)]:
             remove_folder(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={n}")
             remove_folder(self.spark, f"{self.summaries_path(spec)}/loads/{LOAD_ID}={n}")
+            remove_folder(self.spark, f"{self.audit_path(spec)}/{LOAD_ID}={n}")
         return closed
 
     def expire_days(self, spec: TableSpec, before: date | str) -> list[str]:
@@ -415,8 +422,20 @@ class Store:
 
     def audit(self, spec: TableSpec) -> DataFrame:
         """One row per file of each load, and one per file of each try that failed (``row_parsed`` is NULL there)."""
-        failed = self.read(self.failures_path(spec), AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
-        return self.read(self.audit_path(spec), AUDIT_SCHEMA).unionByName(failed)
+        path = self.audit_path(spec)
+        loads = [f"{path}/{LOAD_ID}={n}" for n in self._not_folded(spec, self._loads_under(path))]
+        folds = [p for p in (f"{path}_days/v={v}" for v in self._folds(spec)) if path_exists(self.spark, p)]
+        rows = self.read(self.failures_path(spec), AUDIT_SCHEMA).select(*AUDIT_SCHEMA.names)
+        if loads:
+            rows = rows.unionByName(self.spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(*loads))
+        return rows.unionByName(self.spark.read.schema(AUDIT_SCHEMA).parquet(*folds)) if folds else rows
+
+    def _fold_audit(self, spec: TableSpec, loads: list[int], version: int) -> None:
+        path = self.audit_path(spec)
+        there = [p for p in (f"{path}/{LOAD_ID}={n}" for n in loads) if path_exists(self.spark, p)]
+        if there:
+            rows = self.spark.read.schema(AUDIT_SCHEMA).option("basePath", path).parquet(*there)
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{path}_days/v={version}")
 
     def write_failure(self, spec: TableSpec, load_id: int | None, rows: DataFrame) -> None:
         """History of a try that failed. It has a folder of its own, so that the repeat that succeeds does not hide it."""

@@ -291,11 +291,15 @@ def test_upkeep_leaves_the_tables_as_they_are(spark, root):
         batch = read_stage(spark, root, "postgres_cdc", "customers").filter(F.col("_source_file").endswith(f"/{n}.json"))
         load_batch(store, CUSTOMERS, batch, n, LoadOptions(load_ts=at(24 * day)))
     before = rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns)
+    history = rows(store.audit(CUSTOMERS), *store.audit(CUSTOMERS).columns)
     done = maintain(store, CUSTOMERS, "2024-01-03 05:00:00", raw_days=1, error_days=1)
     assert done == {"folded": [0, 1, 2], "base": 3, "pruned": [], "expired errors": ["2024-01-01"], "expired days": ["2024-01-01"]}
     assert rows(store.typed(CUSTOMERS), *CUSTOMERS.typed_columns) == before
     assert rows(store.raw(CUSTOMERS), RAW_KEY) == [(2,), (3,), (9,), (9,)] and store.errors(CUSTOMERS).count() == 2
     assert maintain(store, CUSTOMERS, "2024-01-03 05:00:00")["folded"] == []
+    # the history is as it was, in two folders instead of four; each batch frame here names all files there were
+    assert rows(store.audit(CUSTOMERS), *store.audit(CUSTOMERS).columns) == history and len(history) == 1 + 2 + 3 + 4
+    assert [n for n in os.listdir(store.audit_path(CUSTOMERS)) if n.startswith(LOAD_ID)] == [f"{LOAD_ID}=3"]
 
 
 def test_records_keep_fields_named_like_folders_and_their_microseconds(spark, root):

@@ -1,4 +1,5 @@
 import random
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +9,7 @@ from helpers import at, customer, plan, raw_customers, rows
 from millrace.functions.typed import typed
 from millrace.operators import merge as m
 from millrace.operators.latest import latest_per_key, newest_rows
-from millrace.operators.merge import apply_changelog, as_changes, fold_loads, insert_all, merge_changes, merge_upsert, reduce_batch
+from millrace.operators.merge import apply_changelog, as_changes, fits_broadcast, fold_loads, insert_all, merge_changes, merge_upsert, reduce_batch
 from millrace.specs import CUSTOMERS, LOAD_ID, ORDERS, SPECS, table_ddl
 
 LOG = CUSTOMERS.as_changelog()
@@ -149,7 +150,7 @@ def test_every_spec_merges(spark, name):
             default = "2024-01-01T00:00:00" if f.type == "timestamp_ntz" else 1.25
             record[f.path[2:]] = values.get(f.type, default)
     raw = raw_customers(spark, [(record,)]).drop(*([] if spec.change_columns else ["_cdc_operation", "_cdc_timestamp"]))
-    out = merge_upsert(None, typed(raw, spec), spec)
+    out = merge_upsert(None, typed(raw, spec, on_long="truncate"), spec)
     assert tuple(out.columns) == spec.typed_columns
     assert [f.dataType for f in out.schema] == [f.dataType for f in spec.typed_schema]
     assert out.first().is_deleted is spec.carries_deleted
@@ -249,3 +250,8 @@ def test_merge_into_needs_a_table_with_row_level_operations(spark):
     changes = as_changes(reduce_batch(batch(spark, [(customer(1, "a", 1),)]), CUSTOMERS), CUSTOMERS, at(0))
     with pytest.raises(Exception, match="MERGE INTO TABLE"):
         m.merge_into_table("typed.customers", changes, CUSTOMERS)
+
+
+def test_a_string_without_a_length_is_never_small(spark):
+    unbounded = replace(CUSTOMERS, fields=(*CUSTOMERS.fields[:-1], replace(CUSTOMERS.fields[1], name="note", length=None), CUSTOMERS.fields[-1]))
+    assert fits_broadcast(CUSTOMERS, 10) and not fits_broadcast(unbounded, 1)
