@@ -125,6 +125,12 @@ def new_files(files: DataFrame, audit: DataFrame) -> DataFrame:
     return files.join(recorded(audit), "file", "left_anti")
 
 
+def with_line_counts(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """Files with the number of their ``lines``, counted per file inside each task before any shuffle; none for an empty file."""
+    counts = lines.groupBy(F.col(SOURCE_FILE).alias("file")).agg(F.count("*").alias("n_rows"))
+    return files.join(counts, "file", "left").fillna(0, ["n_rows"])
+
+
 def expired_files(files: DataFrame, audit: DataFrame, now: datetime | str, days: int = STAGED_DAYS) -> DataFrame:
     """Files older than ``days`` by their ``dt`` that a load has recorded.
 

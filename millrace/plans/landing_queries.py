@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.folders import folder_names
 from millrace.functions.records import parse_lines, parse_records
 from millrace.functions.typed import BAD_FIELDS, apply_length, cast_field, convert_record, split_bad, typed
-from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files
+from millrace.operators.files import expired_files, file_day, load_errors, load_history, new_files, with_line_counts
 from millrace.operators.routes import ROUTE, bin_counts, with_route
 from millrace.plans import feeds
 from millrace.plans.procedure import merge_cdc_batch
@@ -555,14 +555,17 @@ EVENT_AUDIT_SQL = f"""
 @query(
     "load_once",
     """
-    SELECT DISTINCT strftime(ts, '%Y/%m/%d/') || event_type AS file FROM events WHERE event_type IN ('error', 'view')
+    SELECT strftime(ts, '%Y/%m/%d/') || event_type || '.json' AS file, count(*) AS n_rows
+    FROM events WHERE event_type IN ('error', 'view') GROUP BY 1
     """,
 )
 def files_not_loaded_yet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged files beside the load history: files without records were loaded, files of a stopped load were not."""
+    """Staged files beside the load history, with their lines: files without records were loaded, files of a stopped load were not."""
     store, root = audited_store(spark, sf_dir, "load_once")
     stop_at_late_files(spark, store, root)
-    return new_files(staged_files(spark, root), store.audit(CUSTOMERS)).select(file_label())
+    waiting = new_files(staged_files(spark, root), store.audit(CUSTOMERS))
+    counted = with_line_counts(waiting, read_stage(spark, root, CUSTOMERS.namespace, CUSTOMERS.name))
+    return counted.select(F.concat(file_label(), F.lit(".json")).alias("file"), "n_rows")
 
 
 @query(

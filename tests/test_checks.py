@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from helpers import at, customer, plan, raw_customers, rows
 from millrace.operators import checks, watch
-from millrace.operators.files import expired_files, new_files
+from millrace.operators.files import expired_files, new_files, with_line_counts
 from millrace.operators.routes import split_routes, write_routes
+from millrace.plans import catalog
 from millrace.specs import ACCOUNTS, CUSTOMERS, SPECS, raw_table_ddl, table_ddl
 
 
@@ -192,3 +193,13 @@ def test_a_hot_key_is_split_in_joins_that_keep_rows(spark, root, small_skew_limi
     assert len(listed.collect()) == n and "SortMergeJoin(skew=true)" in plan(listed)
     child = checks.orphans(rows_, spark.range(10, n), "k", "id").select("k", "s")
     assert len(child.collect()) == n // 3 + 6 and "SortMergeJoin(skew=true)" in plan(child)
+
+
+def test_waiting_files_tell_their_lines(spark):
+    files = spark.createDataFrame([("a",), ("b",), ("empty",)], "file string")
+    lines = spark.createDataFrame([("1", "a"), ("2", "a"), ("3", "b"), ("4", "other")], "value string, _source_file string")
+    assert rows(with_line_counts(files, lines), "file", "n_rows") == [("a", 2), ("b", 1), ("empty", 0)]
+
+
+def test_load_once_counts_the_rows_of_each_file():
+    assert "count(*) AS n_rows" in catalog.SQL["load_once"]
