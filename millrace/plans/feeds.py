@@ -40,6 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.repartition(cores, rows.columns[0])
 
 
+# Bytes of a given table's files that one task makes into records, which are many times as large.
+RECORD_BYTES = 4 * 1024 * 1024
+
+
+def record_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table whose rows become records: spread while they are narrow, so that no task lands more than about RECORD_BYTES of files."""
+    rows = table(spark, sf_dir, name)
+    tasks = -(-folder_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") // RECORD_BYTES)
+    return rows.repartition(tasks, rows.columns[0]) if tasks > rows.rdd.getNumPartitions() else rows
+
+
 def record(**fields: Column) -> Column:
     return F.to_variant_object(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("record")
 
@@ -110,14 +121,14 @@ def event_operation() -> Column:
 
 def event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw customer rows, several per customer, as minute polls would land them."""
-    events = table(spark, sf_dir, "events")
+    events = record_table(spark, sf_dir, "events")
     rows = events.select("event_id", "ts", event_record(), event_file().alias(SOURCE_FILE))
     return to_raw(rows, CUSTOMERS, OP_POLLED, poll_time(), position=position(F.col("event_id")))
 
 
 def event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw change-log rows: the operation and time are the event's own."""
-    events = table(spark, sf_dir, "events")
+    events = record_table(spark, sf_dir, "events")
     rows = events.select(
         "event_id", "ts", event_record(), event_file().alias(SOURCE_FILE), event_operation().alias("op")
     )
@@ -157,7 +168,7 @@ CUSTOMER_SHIFT = 100
 
 
 def customer_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "customer").select(
+    rows = record_table(spark, sf_dir, "customer").select(
         record(
             id=F.col("c_custkey") + CUSTOMER_SHIFT,
             first_name=text("Customer"),
@@ -175,7 +186,7 @@ def customer_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").select(
+    rows = record_table(spark, sf_dir, "orders").select(
         record(
             id=F.col("o_orderkey"),
             customer_id=F.col("o_custkey"),
@@ -198,7 +209,7 @@ LINE_SHIFT = 5000
 
 def line_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later versions of orders, one per shipped line; often several on one day."""
-    rows = table(spark, sf_dir, "lineitem").select(
+    rows = record_table(spark, sf_dir, "lineitem").select(
         record(
             id=F.col("l_orderkey") + LINE_SHIFT,
             customer_id=F.col("l_suppkey"),
@@ -221,7 +232,7 @@ def line_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def supplier_objects(spark: SparkSession, sf_dir: str, load_ts: str = FIRST_LOAD) -> DataFrame:
     """Suppliers as account objects."""
-    rows = table(spark, sf_dir, "supplier").select(
+    rows = record_table(spark, sf_dir, "supplier").select(
         record(
             Id=object_id(F.col("s_suppkey")),
             Name=F.col("s_name"),
@@ -241,7 +252,7 @@ def supplier_objects(spark: SparkSession, sf_dir: str, load_ts: str = FIRST_LOAD
 
 def customer_objects(spark: SparkSession, sf_dir: str, load_ts: str = SECOND_LOAD) -> DataFrame:
     """Customers as account objects of a later pull, some of them flagged as deleted."""
-    rows = table(spark, sf_dir, "customer").select(
+    rows = record_table(spark, sf_dir, "customer").select(
         record(
             Id=object_id(F.col("c_custkey")),
             Name=F.col("c_name"),
@@ -261,7 +272,7 @@ def customer_objects(spark: SparkSession, sf_dir: str, load_ts: str = SECOND_LOA
 
 def customer_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as contact objects."""
-    rows = table(spark, sf_dir, "customer").select(
+    rows = record_table(spark, sf_dir, "customer").select(
         record(
             Id=object_id(F.col("c_custkey") + CUSTOMER_SHIFT),
             AccountId=object_id(F.col("c_custkey")),
@@ -282,7 +293,7 @@ def customer_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as contact objects of later pulls, several per contact."""
-    rows = table(spark, sf_dir, "events").select(
+    rows = record_table(spark, sf_dir, "events").select(
         record(
             Id=object_id(F.col("user_id")),
             AccountId=object_id(F.col("user_id")),

@@ -728,7 +728,7 @@ def procedure_called(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_table_polled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source polled twice, the second time only past the stored mark; every row lands once."""
     store = Store(spark, scratch_dir(spark, "pull_and_merge"))
-    events = feeds.table(spark, sf_dir, "events").select(
+    events = feeds.record_table(spark, sf_dir, "events").select(
         F.col("user_id").alias("id"),
         F.col("event_type").alias("status"),
         F.col("ts").alias("created_at"),

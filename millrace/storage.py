@@ -38,6 +38,8 @@ DAY = "_day"
 
 # Bytes of a file of a folded day, about.
 FOLDED_FILE_BYTES = 512 * 1024 * 1024
+# What one task sorts of a fold: rows, and their bytes as they lie on disk, which may be some thirtieth of what they are in memory.
+FOLDED_TASK_ROWS, FOLDED_TASK_BYTES = 500_000, 64 * 1024 * 1024
 # Values of a key column in one file that its bloom filter is made for, and how often that says yes for nothing.
 BLOOM_KEYS, BLOOM_ERROR = 1_000_000, 0.01
 
@@ -363,14 +365,17 @@ class Store:
     def fold_days(self, spec: TableSpec, before: date | str, file_bytes: int = FOLDED_FILE_BYTES) -> list[int]:
         """Moves the loads that ended before a day into a few files a day, sorted by key; which loads.
 
-        Their refused records move to the error area. A key with much of a day spreads over several files. What is
+        Their refused records move to the error area. A key with much of a day spreads over several files. No task sorts
+        more than about FOLDED_TASK_ROWS rows, however many there are. What is
         folded is marked last, and folders of loads go after that, so a crash loses and repeats nothing. Not to be run
         beside a load that is being repeated.
         """
         loads = self.open_loads(spec)
         landed = self._landed(spec, loads)
-        ended = landed.groupBy(LOAD_ID).agg(F.max(LOADED_AT).alias("last"))
-        later = {r[0] for r in ended.filter(F.col("last") >= F.lit(str(before)).cast("date")).select(LOAD_ID).collect()}
+        good, bad = (F.count_if(F.col(OUTCOME) == o) for o in (GOOD, BAD))
+        ended = landed.groupBy(LOAD_ID).agg(F.max(LOADED_AT).alias("last"), good.alias("good"), bad.alias("bad"))
+        counted = ended.select(LOAD_ID, (F.col("last") >= F.lit(str(before)).cast("date")).alias("later"), "good", "bad").collect()
+        later = {r[LOAD_ID] for r in counted if r.later}
         closed = [n for n in loads if n not in later]
         if closed:
             version, path = max(closed), self.days_path(spec)
@@ -381,10 +386,14 @@ class Store:
             rows = landed.filter(F.col(OUTCOME) == GOOD).select(*stored_raw_schema(spec).names, F.col(LOADED_AT).cast("date").alias(DAY))
             size = sum(folder_bytes(self.spark, f"{self.raw_path(spec)}/{LOAD_ID}={n}") for n in closed)
             order = [DAY, RAW_KEY, LOAD_ID, SOURCE_FILE, POSITION]
-            rows = rows.repartitionByRange(max(1, -(-size // file_bytes)), *order).sortWithinPartitions(DAY, RAW_KEY)
+            n_good, n_bad = (sum(r[o] for r in counted if not r.later) for o in ("good", "bad"))
+            tasks = max(1, -(-size // min(file_bytes, FOLDED_TASK_BYTES)), -(-n_good // FOLDED_TASK_ROWS))
+            rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(DAY, RAW_KEY)
             rows.write.mode("overwrite").partitionBy(DAY).options(**bloom_options(RAW_KEY)).parquet(f"{path}/rows/v={version}")
             bad = self._as_errors(landed.filter(F.col(OUTCOME) == BAD)).drop("step", LOAD_ID)
-            bad.coalesce(1).write.mode("overwrite").partitionBy("dt").parquet(f"{self.errors_path(spec)}/step=parse/{LOAD_ID}={version}")
+            spread = max(1, -(-n_bad // FOLDED_TASK_ROWS))
+            bad = bad.coalesce(1) if spread == 1 else bad.repartitionByRange(spread, "dt", SOURCE_FILE, "line")
+            bad.write.mode("overwrite").partitionBy("dt").parquet(f"{self.errors_path(spec)}/step=parse/{LOAD_ID}={version}")
             self._fold_summaries(spec, closed, version)
             self._fold_audit(spec, closed, version)
             marks = self.spark.createDataFrame([(n,) for n in closed], T.StructType([LOAD_FIELD]))

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import at, customer, plan, raw_customers, rows, write_file
+from millrace import storage
 from millrace.functions.records import NO_CHANGE_TIME
 from millrace.operators.checks import column_conformance, raw_in_list, raw_point_lookup
 from millrace.operators.files import expired_files, file_day, load_errors, new_files
+from millrace.plans import feeds
 from millrace.plans.procedure import merge_cdc_batch
 from millrace.sources.stage import list_files, read_stage, stage_path, write_stage
 from millrace.specs import CUSTOMERS, LOAD_ID, RAW_KEY
@@ -322,3 +324,39 @@ def test_columns_of_a_table(spark):
     assert rows(column_conformance(df, expected), "column_name", "is_there", "has_type", "n_rows", "n_null", "n_long") == [
         ("a", True, False, 2, 1, 0), ("b", True, True, 2, 0, 1), ("c", False, False, 2, None, None)
     ]
+
+
+def rows_of_files(df):
+    return [r["count"] for r in df.groupBy(F.col("_metadata.file_path").alias("file")).count().collect()]
+
+
+def test_no_task_of_a_fold_sorts_all_rows(spark, root, monkeypatch):
+    monkeypatch.setattr(storage, "FOLDED_TASK_ROWS", 20)
+    store, day = Store(spark, root), {"updated_at": "2024-01-01T00:00:00"}
+    for n in range(3):
+        land(spark, store, n, [{"id": k, **day} for k in range(40)])
+    before = rows(store.raw(CUSTOMERS), "_key", LOAD_ID)
+    assert store.fold_days(CUSTOMERS, "2024-01-02") == [0, 1, 2]
+    assert rows(store.raw(CUSTOMERS), "_key", LOAD_ID) == before and len(before) == 120
+    held = rows_of_files(spark.read.parquet(f"{store.days_path(CUSTOMERS)}/rows"))
+    assert len(held) >= 5 and max(held) <= 40
+
+
+def test_a_fold_spreads_many_refused_records(spark, root, monkeypatch):
+    monkeypatch.setattr(storage, "FOLDED_TASK_ROWS", 20)
+    store = Store(spark, root)
+    write_file(root, f"{STAGE}/bad.json", "".join(f"{{{n}\n" for n in range(100)) + lines({"id": 1}))
+    run(store, root, options=LoadOptions(merge=False, load_ts="2024-01-02 00:00:00"))
+    before = rows(store.errors(CUSTOMERS), "line", "reason")
+    assert store.fold_days(CUSTOMERS, "2024-02-01") == [0] and len(before) == 100
+    assert rows(store.errors(CUSTOMERS), "line", "reason") == before
+    held = rows_of_files(spark.read.parquet(f"{store.errors_path(CUSTOMERS)}/step=parse"))
+    assert len(held) >= 4 and max(held) <= 50
+
+
+def test_tables_are_spread_before_their_rows_are_records(spark, root, monkeypatch):
+    spark.range(4000).coalesce(1).write.parquet(f"{root}/events.parquet")
+    monkeypatch.setattr(feeds, "RECORD_BYTES", 1000)
+    found = feeds.record_table(spark, root, "events")
+    parts = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(parts) == 4000 and len(parts) >= 8 and max(parts) < 1000
