@@ -8,10 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import chat_format, decontamination, exact_dedup, html_text, jaccard_join, language_id, language_model, line_dedup, packing, toxicity
+from millrace.llm._words import slices, words_of
 
 VOCABULARY = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "pe", "ri", "so", "tu") for b in ("ba", "de", "fi", "go", "hu", "la", "ne", "xo")]
 
@@ -507,3 +509,15 @@ def test_line_dedup_recall_beside_edit_similarity(spark):
             found[key] += 2 * i + 1 in gone
     print({k: (found[k], total[k]) for k in sorted(total)})
     assert all(found[k] >= 0.9 * total[k] for k in total) and found[0, ""] >= 0.97 * total[0, ""]
+
+
+def test_contexts_are_the_most_frequent_words_however_rare(spark):
+    # 1200 words, none of which makes a five-hundredth of any text; the last twenty occur a little more often
+    names = [f"word{k}x" for k in range(1200)]
+    counts = {w: 10 + max(0, k - 1179) for k, w in enumerate(names)}
+    pool = [w for w, n in counts.items() for _ in range(n)]
+    np.random.default_rng(5).shuffle(pool)
+    rows = [(k, " ".join(pool[k::7]), False) for k in range(7)] + [(8, "held " * 5000, True), (9, None, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    (part,) = slices(pa.array([" ".join(names[-language_model.CONTEXTS :])]))
+    assert language_model._contexts(docs).tolist() == sorted(words_of(part).hash.tolist())
