@@ -247,6 +247,23 @@ def records_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Bounds of a bin, and what a micro-batch may take beyond its age.
 BIN_RECORDS, BIN_AGE_S, BIN_SLACK_S = 500, 2, 120
+# Records of a staged file, about, and files a micro-batch takes: it so lasts seconds, however many records wait.
+BIN_FILE_RECORDS, BIN_BATCH_FILES = 125_000, 16
+
+
+def staged_for_bins(events: DataFrame, wanted: int) -> DataFrame:
+    """``event_type, value`` of the events, dealt over files of about BIN_FILE_RECORDS.
+
+    A type has enough records in each of its files to fill bins, so none waits half full for a later file: a frequent one
+    is in all files, any other in one.
+    """
+    files = max(4, -(-wanted // BIN_FILE_RECORDS))
+    counts = events.groupBy("event_type").agg((F.count("*") >= 4 * BIN_RECORDS * files).alias("frequent"))
+    counts = F.broadcast(counts.withColumnRenamed("event_type", "_type"))
+    dealt = events.join(counts, F.col("event_type").eqNullSafe(F.col("_type")), "left")
+    file = F.pmod(F.when(F.col("frequent"), F.xxhash64("event_id")).otherwise(F.xxhash64("event_type")), F.lit(files)).cast("int")
+    lines = F.to_json(F.struct("event_id", "event_type")).alias("value")
+    return dealt.repartitionById(files, file).select("event_type", lines)
 
 
 @query(
@@ -262,18 +279,21 @@ def records_binned_by_size_and_age(spark: SparkSession, sf_dir: str) -> DataFram
     root = scratch_dir(spark, "bin_records")
     events = feeds.table(spark, sf_dir, "events")
     wanted = events.count()
-    events.select("event_type", F.to_json(F.struct("event_id", "event_type")).alias("value")).repartition(4).write.json(f"{root}/in")
-    lines = spark.readStream.schema("event_type string, value string").json(f"{root}/in")
+    staged_for_bins(events, wanted).write.json(f"{root}/in")
+    lines = spark.readStream.schema("event_type string, value string").option("maxFilesPerTrigger", BIN_BATCH_FILES).json(f"{root}/in")
     stream = start_binning(spark, lines, f"{root}/out", f"{root}/checkpoint", ["event_type"], BIN_RECORDS, BIN_AGE_S)
     try:
         # the last bins are not full and close by their age, which no source end brings about
-        until = time.time() + BIN_SLACK_S
-        while time.time() < until and not binned(spark, f"{root}/out/bins", wanted):
+        done, until = -1, time.time() + BIN_SLACK_S
+        while done < wanted and time.time() < until:
             if stream.exception():
                 raise stream.exception()
             time.sleep(0.5)
+            before, done = done, binned(spark, f"{root}/out/bins")
+            if done > before:  # only a stream that stands still is given up
+                until = time.time() + BIN_SLACK_S
     finally:
-        stop_between_batches(stream)
+        stop_between_batches(stream, BIN_SLACK_S)
     made = spark.read.parquet(f"{root}/out/bins").select("event_type", "lane", "number", "opened", "closed", "reason", "n_records")
     files = spark.read.option("basePath", f"{root}/out/files").text(f"{root}/out/files")
     per_file = files.groupBy("event_type", F.col("_metadata.file_path")).agg(F.count("*").alias("n"), F.sum(F.get_json_object("value", "$.event_id").cast("long")).alias("ids"))
@@ -284,12 +304,12 @@ def records_binned_by_size_and_age(spark: SparkSession, sf_dir: str) -> DataFram
     return per_type.join(told, "event_type").select("event_type", "n_records", "sum_id", "n_full", "n_oversized", "n_overaged", agree)
 
 
-def binned(spark: SparkSession, path: str, wanted: int) -> bool:
-    """Whether so many records are in closed bins."""
+def binned(spark: SparkSession, path: str) -> int:
+    """How many records are in closed bins."""
     if not any(n.startswith("batch=") for n in folder_names(spark, path)):
-        return False
+        return 0
     rows = spark.read.schema("n_records int, batch int").parquet(path)
-    return (rows.agg(F.sum("n_records")).first()[0] or 0) >= wanted
+    return rows.agg(F.sum("n_records")).first()[0] or 0
 
 
 @query(

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, rows
+from millrace.plans import landing_queries
 from millrace.sources.marks import packed_mark, unpacked_mark
 from millrace.sources.polling import Piece, PollReader, read_polled
 from millrace.specs import CUSTOMERS, LOAD_ID, RAW_KEY
@@ -183,3 +184,29 @@ def test_a_frequent_kind_fills_several_bins_side_by_side(spark, root):
     gather(spark, root, f"{root}/in", 20, 2, 200, lanes=4)
     bins = spark.read.parquet(f"{root}/out/bins")
     assert bins.select("lane").distinct().count() == 4 and bins.agg(F.sum("n_records"), F.max("n_records")).first()[:] == (200, 20)
+
+
+def test_a_stop_waits_for_one_micro_batch_only(spark, root):
+    stage(root, "1.json", [("a0", "a")])
+    lines = spark.readStream.schema("value string, kind string").json(f"{root}/in")
+    query = start_binning(spark, lines, f"{root}/out", f"{root}/c", ["kind"], 10, 600, trigger={"processingTime": "0 seconds"})
+    until = time.time() + 60
+    while not query.lastProgress and time.time() < until:
+        time.sleep(0.1)
+    began = time.time()
+    stop_between_batches(query, 60)  # empty micro-batches follow each other without a pause
+    assert not query.isActive and time.time() - began < 30
+
+
+def test_bins_of_many_micro_batches(spark, root, monkeypatch):
+    monkeypatch.setattr(landing_queries, "BIN_FILE_RECORDS", 4000)
+    monkeypatch.setattr(landing_queries, "BIN_BATCH_FILES", 1)
+    kind = F.when(F.col("id") % 100 == 0, "rare").otherwise(F.when(F.col("id") % 2 == 0, "even").otherwise("odd"))
+    spark.range(20_000).select(F.col("id").alias("event_id"), kind.alias("event_type")).write.parquet(f"{root}/events.parquet")
+    staged = landing_queries.staged_for_bins(spark.read.parquet(f"{root}/events.parquet"), 20_000)
+    files = staged.select("event_type", F.spark_partition_id().alias("file")).distinct().groupBy("event_type").count().collect()
+    assert {r[0]: r[1] for r in files} == {"rare": 1, "even": 1, "odd": 5}
+    found = landing_queries.records_binned_by_size_and_age(spark, root).collect()
+    assert sorted((r.event_type, r.n_records, r.n_full, r.n_oversized, r.n_overaged, r.files_agree) for r in found) == [
+        ("even", 9800, 19, 0, 0, True), ("odd", 10_000, 20, 0, 0, True), ("rare", 200, 0, 0, 0, True)
+    ]
