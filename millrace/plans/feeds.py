@@ -40,14 +40,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return rows.repartition(cores, rows.columns[0])
 
 
-# Bytes of a given table's files that one task makes into records, which are many times as large.
-RECORD_BYTES = 4 * 1024 * 1024
+# What one task makes into records of a given table: bytes of its files, which are many times as large as records, and rows, since files
+# of few distinct values hold many of them.
+RECORD_BYTES, RECORD_ROWS = 4 * 1024 * 1024, 200_000
 
 
 def record_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table whose rows become records: spread while they are narrow, so that no task lands more than about RECORD_BYTES of files."""
-    rows = table(spark, sf_dir, name)
-    tasks = -(-folder_bytes(spark, f"{sf_dir.rstrip('/')}/{name}.parquet") // RECORD_BYTES)
+    """A given table whose rows become records: spread while they are narrow, so that no task lands more than about RECORD_BYTES of files or RECORD_ROWS rows."""
+    rows, path = table(spark, sf_dir, name), f"{sf_dir.rstrip('/')}/{name}.parquet"
+    held = spark.read.parquet(path).count()  # from the footers
+    tasks = max(-(-folder_bytes(spark, path) // RECORD_BYTES), -(-held // RECORD_ROWS))
     return rows.repartition(tasks, rows.columns[0]) if tasks > rows.rdd.getNumPartitions() else rows
 
 

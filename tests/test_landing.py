@@ -360,3 +360,11 @@ def test_tables_are_spread_before_their_rows_are_records(spark, root, monkeypatc
     found = feeds.record_table(spark, root, "events")
     parts = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(parts) == 4000 and len(parts) >= 8 and max(parts) < 1000
+
+
+def test_rows_that_take_few_bytes_are_spread_too(spark, root, monkeypatch):
+    spark.range(40_000).select(F.col("id").alias("event_id"), F.lit(1).alias("n")).coalesce(1).write.parquet(f"{root}/events.parquet")
+    monkeypatch.setattr(feeds, "RECORD_ROWS", 2000)
+    found = feeds.record_table(spark, root, "events")
+    parts = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(parts) == 40_000 and len(parts) >= 16 and max(parts) < 4000
