@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import heapq
 import itertools
+import json
+import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,21 +20,55 @@ from millrace.llm._arrow import in_arrow
 from millrace.llm._scratch import shuffle_width, stored
 
 CAPACITY = 4096
-#: Words whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
-_KNOWN_WORDS = 400_000
+#: Words, and pieces of words, whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
+_KNOWN_WORDS = 300_000
 #: New words are encoded this many at a time, with this character between them where it has an id of its own.
 _AT_ONCE, _BETWEEN = 128, "\x01"
 #: Characters of the texts whose words are looked up together.
-_TEXT_RUN = 1 << 19
+_TEXT_RUN = 1 << 23
+#: The normalizer and the cuts of files whose words are taken apart before they are encoded.
+_FOLDING = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_CUTS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+#: Letters that NFC leaves as they are and whose lower case is one of them, whatever is beside them (Latin, Cyrillic, kana, Han); and signs.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f\u0400-\u0481\u048a-\u04ff\u1ea0-\u1ef9\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5"
+_SIGNS = "!-/:-@\\[-`{-~\u00a1-\u00a9\u00ab\u00ac\u00ae-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf\u00d7\u00f7\u2010-\u2027\u2030-\u205e\u20a0-\u20bf\u3001-\u3003\u3008-\u3011"
+_ODD = re.compile(f"[^\\n0-9{_LETTERS}{_SIGNS}]")
+_PIECE = re.compile(f"[{_LETTERS}]+|[0-9\\n]|'s|'t|'re|'ve|'m|'ll|'d|[{_SIGNS}]+")
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class _Kept:
+    """Ids by word, of the words that came last."""
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
+        self.encode = encode
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """A table that holds at least these words."""
+        new = words.difference(self.known)
+        if not new:
+            return self.known
+        if len(self.known) + len(new) > _KNOWN_WORDS:
+            self.older, self.known, new = self.known, {}, words
+        found = [(w, self.older[w]) for w in new if w in self.older]
+        self.known.update(found)
+        unseen = list(new.difference(self.known) if found else new)
+        self.known.update(zip(unseen, self.encode(unseen)))
+        return self.known
+
+
 class WordTokenizer:
     """Ids of a text by a tokenizers file whose tokens never reach across white space.
 
     A text is cut at ``[\\x20\\x09-\\x0D]`` and each distinct word is encoded once; that gives the ids of the
     whole text for any file whose pre-tokenizer splits at white space and drops it, and whose special strings hold none.
     A special string in a text has its id, as the file says. Ids are little-endian 32-bit.
+
+    If the file folds case and cuts words as ``_FOLDING`` and ``_CUTS`` say, new words are taken apart first: their case and the signs
+    beside them make most of them new, while their pieces are known. Words with a character beyond ``_LETTERS``, ``_SIGNS`` and digits, or with
+    a special string, are encoded whole.
     """
 
     def __init__(self, path: str, end_id: int | None):
@@ -42,20 +79,31 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
         between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
         self.between = between[0] if len(between) == 1 else None
+        file = json.loads(self.tokenizer.to_str())
+        self.special = [x["content"] for x in file["added_tokens"]]
+        folding, cuts = ((file[k] or {}).get(kinds) for k, kinds in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+        bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        takes_apart = folding == _FOLDING and bool(cuts) and cuts[0] == _CUTS and len(cuts) == 2 and bytes_only.items() <= cuts[1].items()
+        self.words = _Kept(self._taken_apart if takes_apart else self._encoded)
+        self.pieces = _Kept(self._encoded_pieces)
+        #: Of each id, whether a piece ends there.
+        ending, vocabulary = file["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if ending:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(ending)]] = True
+        self.folded = Tokenizer.from_file(path)
+        self.folded.normalizer = None
 
     def _apart(self, words: list[str]) -> list[bytes]:
         return [np.array(found.ids, "<u4").tobytes() for found in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _encoded(self, words: list[bytes]) -> list[bytes]:
+    def _encoded(self, words: list[str]) -> list[bytes]:
         """The ids of each word, in runs that share the cost of a call."""
-        texts = [w.decode("utf-8", "replace") for w in words]
         if self.between is None:
-            return self._apart(texts)
-        runs = [texts[k : k + _AT_ONCE] for k in range(0, len(texts), _AT_ONCE)]
+            return self._apart(words)
+        runs = [words[k : k + _AT_ONCE] for k in range(0, len(words), _AT_ONCE)]
         out = []
         for run, found in zip(runs, self.tokenizer.encode_batch_fast([f" {_BETWEEN} ".join(run) for run in runs], add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
@@ -67,24 +115,55 @@ class WordTokenizer:
             out += [raw[4 * a : 4 * b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)])]
         return out
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Makes sure that the ids of these words are known."""
-        new = words.difference(self.known)
-        if not new:
-            return
-        if len(self.known) + len(new) > _KNOWN_WORDS:
-            self.older, self.known, new = self.known, {}, words
-        found = [(w, self.older[w]) for w in new if w in self.older]
-        self.known.update(found)
-        unseen = list(new.difference(self.known) if found else new)
-        self.known.update(zip(unseen, self._encoded(unseen)))
+    def _encoded_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, which is folded and not cut further; where the ids show each piece's end, nothing stands between them."""
+        runs = [pieces[k : k + _AT_ONCE] for k in range(0, len(pieces), _AT_ONCE)]
+        out = []
+        for run, found in zip(runs, self.folded.encode_batch_fast([" ".join(run) for run in runs], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) != len(run) or cuts[-1] != len(ids):
+                out += self._encoded(run)
+                continue
+            raw = ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *cuts], cuts)]
+        return out
+
+    def _taken_apart(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, put together from those of its pieces."""
+        text = "\n".join(words)
+        odd: list[str] = []
+        if _ODD.search(text) or any(s in text for s in self.special):
+            odd = [w for w in words if _ODD.search(w) or any(s in w for s in self.special)]
+            whole = dict(zip(odd, self._encoded(odd)))
+            words, every = [w for w in words if w not in whole], words
+            text = "\n".join(words)
+        mark = b"\xff\xff\xff\xff"  # no run of ids holds it
+        parts = _PIECE.findall(text.lower())
+        known = self.pieces.learn(set(parts) - {"\n"})
+        known["\n"] = mark
+        out = b"".join(map(known.__getitem__, parts)).split(mark) if words else []
+        if not odd:
+            return out
+        whole.update(zip(words, out))
+        return [whole[w] for w in every]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; texts that come together share the cost of their new words."""
-        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        self._learn(set().union(*split))
-        of = self.known.__getitem__
-        return [b"".join(map(of, words)) + self.end for words in split]
+        """The ids of each text; texts that come together share the cost of their words."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        bounds = split.offsets.to_numpy()
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.words.learn(set(distinct) - {""})
+        known[""] = b""
+        each = list(map(known.__getitem__, distinct))
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        at = words.indices.to_numpy()
+        counts, first = sizes[at], np.cumsum(sizes) - sizes
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = np.frombuffer(b"".join(each), "<u4")[np.repeat(first[at] - ends[:-1], counts) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[bounds]).tolist()
+        return [ids[a:b] + self.end for a, b in zip(cuts, cuts[1:])]
 
 
 def _together(texts: Iterable[str | None]) -> Iterator[list[str]]:
