@@ -234,11 +234,10 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", both.alias("both"), "left", "right").select("a", "b", "both", either.alias("either")).withColumn("distance", 1 - F.col("both") / F.col("either"))
 
 
-def _open_lists(postings: DataFrame, groups: DataFrame) -> DataFrame:
-    """The postings of the lists whose sets are not all in one group yet, with the group of each."""
-    now = postings.join(groups, "set_id")
-    mixed = now.groupBy("element").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("element")
-    return now.join(mixed, "element")
+def _open_lists(grouped: DataFrame) -> DataFrame:
+    """Of the postings with their groups those of the lists whose sets are not all in one group yet."""
+    mixed = grouped.groupBy("element").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("element")
+    return grouped.join(mixed, "element")
 
 
 def _open_work(lists: DataFrame) -> tuple[int, int]:
@@ -259,10 +258,15 @@ def _hub_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     return met.select(F.col("head.a").alias("a"), F.col("set_id").alias("b")).distinct()
 
 
-def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """``set_id, group`` after the groups that ``links`` joins have become one."""
+def _groups_at(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``a, b``: the groups at the two ends of each link."""
     ends = links.join(groups.select(F.col("set_id").alias("a"), F.col("group").alias("x")), "a").join(groups.select(F.col("set_id").alias("b"), F.col("group").alias("y")), "b")
-    named = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return ends.select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def _merged(groups: DataFrame, ends: DataFrame) -> DataFrame:
+    """``set_id, group`` after the groups that ``ends`` joins have become one."""
+    named = components(ends)
     met = groups.join(named, groups["group"] == named["node"], "left")
     return stored(met.select("set_id", F.coalesce("component", "group").alias("group")), "set-groups")
 
@@ -305,29 +309,32 @@ def _other_pairs(lists: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
 def set_groups(docs: DataFrame, signs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``set_id, group`` of the sets that can have a link to a different set; linked sets have one group.
 
-    Turn by turn, one set of each list, drawn anew, is its hub and compared with the members of other groups, and groups
-    with a link become one. When that closes less than a twentieth of what is open, or little is, all pairs still open are compared.
+    Turn by turn, some sets of each list, drawn anew, are its hubs and compared with the members of other groups, and groups with a link become
+    one. All pairs still open are compared as soon as these are no more than a turn compares, or a turn has closed less than a tenth of them.
     """
     sets = _linkable_sets(docs, signs, width, percent)
     postings = stored(_postings(sets, percent), "postings")
     linked = 100 * F.col("both") >= percent * F.col("either")
-    groups = stored(postings.select("set_id").distinct().withColumn("group", F.col("set_id")), "set-groups")
-    hubs, turn, before = None, 0, None
+    grouped = postings.withColumn("group", F.col("set_id"))
+    groups, hubs, turn, before = postings.select("set_id", F.col("set_id").alias("group")).distinct(), None, 0, None
     while True:
-        lists = stored(_open_lists(postings, groups), "open-lists")
+        lists = stored(_open_lists(grouped), "open-lists")
         left, entries = _open_work(lists)
-        if hubs is not None and (left <= 2 * entries or 20 * left > 19 * before):
+        if hubs is not None and (left <= HUBS * entries or 10 * left > 9 * before):
             break
         before = left
         found = _hub_pairs(lists, turn, percent)
         if hubs is not None:
             found = found.join(hubs.select("a", "b"), ["a", "b"], "left_anti").join(hubs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
         found = stored(_verified(found, sets), "hub-pairs")
-        hubs = found if hubs is None else stored(hubs.unionByName(found), "hubs")
         links = found.filter(linked).select("a", "b")
-        groups, postings, turn = _merged(groups, links), lists.drop("group"), turn + 1
+        groups = _merged(groups, links if hubs is None else _groups_at(groups, links))  # in the first turn a set is its own group
+        hubs, turn = found if hubs is None else hubs.unionByName(found), turn + 1
+        grouped = lists.drop("group").join(groups, "set_id")
+    if not left:
+        return groups
     rest = stored(_verified(_other_pairs(lists, hubs.select("a", "b", "distance"), percent), sets).filter(linked).select("a", "b"), "rest-links")
-    return groups if rest.isEmpty() else _merged(groups, rest)
+    return groups if rest.isEmpty() else _merged(groups, _groups_at(groups, rest))
 
 
 def near_duplicate_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
