@@ -21,11 +21,11 @@ from millrace.llm._scratch import shuffle_width, stored
 
 CAPACITY = 4096
 #: Words, and pieces of words, whose ids a task keeps; when full, those stay as the older ones until as many new ones have come.
-_KNOWN_WORDS = 300_000
+_KNOWN_WORDS = 100_000
 #: New words are encoded this many at a time, with this character between them where it has an id of its own.
 _AT_ONCE, _BETWEEN = 128, "\x01"
 #: Characters of the texts whose words are looked up together.
-_TEXT_RUN = 1 << 23
+_TEXT_RUN = 1 << 22
 #: The normalizer and the cuts of files whose words are taken apart before they are encoded.
 _FOLDING = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 _CUTS = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
