@@ -27,6 +27,8 @@ SPARE = 15
 #: Elements gathered before a map task sends them on, and blobs per shuffle partition.
 _SEND = 1 << 19
 _BLOBS = 4
+#: Bytes of the texts whose sets are made together; the arrays on the way take some tens of times that.
+_SLICE = 1 << 18
 #: Hubs of a list in a turn after the first.
 HUBS = 4
 #: The sets a broadcast may hold; beyond it the same join shuffles.
@@ -71,7 +73,7 @@ def set_signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def run(batches):
         for batch in batches:
             n, ids, refs = np.zeros(batch.num_rows, np.int64), [None] * batch.num_rows, np.zeros(batch.num_rows, np.uint64)
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), _SLICE):
                 for r, u in _row_sets(part, width):
                     at = part.first_row + r
                     n[at], ids[at] = len(u), _signature(u)
@@ -120,7 +122,7 @@ def _shared_counts(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def ask(batches):
         held, size = [], 0
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), _SLICE):
                 for _, u in _row_sets(part, width):
                     keep = _prefix(len(u), percent) + len(u) * SPARE // 100
                     held.append((_ref(_signature(u)), u[:keep].copy()))
@@ -196,7 +198,7 @@ def _linkable_sets(docs: DataFrame, signs: DataFrame, width: int, percent: int)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch.column("text")):
+            for part in slices(batch.column("text"), _SLICE):
                 rows = [(_signature(u), len(u), u.view(np.int64)) for _, u in _row_sets(part, width)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.binary()), pa.array([x[1] for x in rows], pa.int64()), pa.array([x[2] for x in rows], pa.list_(pa.int64()))], ["set_id", "n", "elements"])
