@@ -128,7 +128,8 @@ def _met(rows: DataFrame, anchors: DataFrame, stripes: int, parts: int, positive
     spread = lambda df, own, others: df.select(F.struct(*df.columns).alias("x"), F.pmod(F.xxhash64("ids"), F.lit(own)).alias("own"), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("other"))
     left = spread(rows, stripes, parts).select(F.col("own").cast("int").alias("stripe"), F.col("other").alias("part"), F.col("x").alias("r"))
     right = spread(anchors, parts, stripes).select(F.col("other").alias("stripe"), F.col("own").cast("int").alias("part"), F.col("x").alias("a"))
-    found = in_arrow(left.join(right, ["stripe", "part"]).select("r", "a"), run, "anchor_id long, slot int, vec_id long, score long")
+    # the copies for all stripes do not show in Spark's size estimate, so it would broadcast them through the driver
+    found = in_arrow(left.join(right.hint("merge"), ["stripe", "part"]).select("r", "a"), run, "anchor_id long, slot int, vec_id long, score long")
     place = F.row_number().over(Window.partitionBy("anchor_id", "slot").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("place", place).filter(F.col("place") <= k)
 
@@ -170,10 +171,10 @@ def hard_negatives(vectors: DataFrame, every: int = EVERY, positives: int = POSI
     first = first.withColumn("limit", _percent(F.col("positive_score"), high, False)).withColumn("low", _percent(F.col("positive_score"), low, True))
     first = stored(first, "positives")
     limits = first.groupBy(F.col("anchor_id").alias("id")).agg(F.sort_array(F.collect_list("limit"), asc=False).alias("limits"), F.min("low").alias("low"))
-    found = _met(rows, _packed(anchors.join(limits, "id").select("id", "label", "vector", "limits", "low"), scale), stripes, parts, positives, negatives, False)
+    found = _met(rows, _packed(anchors.join(limits.hint("merge"), "id").select("id", "label", "vector", "limits", "low"), scale), stripes, parts, positives, negatives, False)
     found = found.select("anchor_id", F.col("slot").alias("found_slot"), F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     # a positive's window is its own slot and all lower ones, down to its low limit
-    merged = first.join(found, "anchor_id").filter("found_slot >= slot AND negative_score >= low")
+    merged = first.join(found.hint("merge"), "anchor_id").filter("found_slot >= slot AND negative_score >= low")
     rank = F.row_number().over(Window.partitionBy("anchor_id", "slot").orderBy(F.desc("negative_score"), "negative_id"))
     merged = merged.withColumn("rank", rank).filter(F.col("rank") <= negatives)
     return merged.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
